@@ -6,9 +6,6 @@ Computed columns carry the same names as in ``reclab.plans.oracle``.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reclab.functions.hashing import bucket
@@ -19,10 +16,9 @@ from reclab.operators import metrics as mt
 from reclab.operators import split as sp
 from reclab.operators.popularity import popularity_topk
 from reclab.plans import data
+from reclab.plans.registry import register
 from reclab.sources import fixtures as fx
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-
 # Fixed parameters of the registered queries (the oracle SQL uses the same).
 SAMPLE_FRACTION = 0.2
 FIXED_N = {"train": 200, "val": 50, "test": 100}
@@ -31,9 +27,7 @@ METRIC_KS = (10, 50)
 N_FOLDS = 5
 
 
-def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+query = register()
 
 
 # ---- sources -------------------------------------------------------------
@@ -315,3 +309,9 @@ def variant_compare(spark, sf):
     for r in rows[1:]:
         out = out.unionByName(r)
     return out
+
+
+@query
+def sweep_best(spark, sf):
+    """The best count strategy of ``variant_compare`` by MAP (stable ties)."""
+    return variant_compare(spark, sf).orderBy(F.desc("map"), "how").limit(1).select("how", "map")

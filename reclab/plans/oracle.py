@@ -249,3 +249,6 @@ FROM val v JOIN (SELECT track_id, avg(count) AS prediction FROM train GROUP BY t
   ON v.track_id = p.track_id""",
     "variant_compare": _variant_compare(),
 }
+
+ORACLE["sweep_best"] = ("SELECT how, map FROM (" + _variant_compare()
+                        + ") ORDER BY map DESC, how LIMIT 1")
