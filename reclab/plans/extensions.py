@@ -1 +1,258 @@
-"""README extensions: search, cold start, error analysis, factor layout."""
+"""README extensions as registered queries: fast search (exact and two
+approximate methods), cold start from item features, error analysis by item
+group, and a low-dimensional factor layout."""
+
+from __future__ import annotations
+
+import time
+
+from pyspark.sql import functions as F
+
+from reclab.functions.vectors import scale
+from reclab.operators import als as A
+from reclab.operators import analysis as an
+from reclab.operators import coldstart as cs
+from reclab.operators import labels as lb
+from reclab.operators import metrics as mt
+from reclab.operators import search as S
+from reclab.operators.popularity import popularity_topk
+from reclab.plans import data
+from reclab.plans.contracts import RANK, _fitted
+from reclab.plans.oracle import SPLIT, h, with_
+from reclab.plans.registry import register
+from reclab.sources import fixtures as fx
+
+TOP = 10
+PROBES = 2
+
+
+def _unit(spark, sf):
+    return S.vectors(fx.load_table(spark, sf, "embeddings"), "vec_id", "embedding")
+
+
+def _scaled(spark, sf):
+    """Non-unit item vectors: each embedding times (1 + vec_id % 5)."""
+    emb = fx.load_table(spark, sf, "embeddings")
+    return emb.select(F.col("vec_id").cast("long").alias("id"),
+                      scale("embedding", (1 + F.col("vec_id") % 5).cast("double")).alias("v"))
+
+
+def _exact(spark, sf, items):
+    q = _unit(spark, sf)
+    part = S.fit_partitions(items)
+    res = S.mips_exact(q, part, TOP, PROBES, exclude_self=True, digits=5)
+    return res.select(F.col("qid").alias("query_id"), F.col("id").alias("item_id"),
+                      F.col("rank").cast("int").alias("rank"), F.round("score", 5).alias("score"))
+
+
+def _mips_sql(scaled: bool) -> str:
+    factor = "(1 + i.vec_id % 5) * " if scaled else ""
+    return f"""
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+sc AS (SELECT q.vec_id AS query_id, i.vec_id AS item_id,
+              round({factor}list_dot_product(q.e, i.e), 5) AS score
+       FROM v q JOIN v i ON q.vec_id <> i.vec_id)
+SELECT query_id, item_id, CAST(rank AS INTEGER) AS rank, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS rank FROM sc)
+WHERE rank <= {TOP}"""
+
+
+@register(_mips_sql(scaled=True))
+def mips_bruteforce(spark, sf):
+    """Exact top-10 by inner product for every embedding against all other
+    (scaled) embeddings; checked against brute force SQL."""
+    return _exact(spark, sf, _scaled(spark, sf))
+
+
+@register(_mips_sql(scaled=False))
+def mips_exact_unit(spark, sf):
+    return _exact(spark, sf, _unit(spark, sf))
+
+
+RECALL_SQL = """SELECT CAST(count(*) AS BIGINT) AS n_queries, true AS recall_in_range,
+  true AS share_in_range FROM embeddings"""
+
+
+def _recall_row(exact, approx, share):
+    r = S.recall_at_k(exact, approx)
+    return r.select("n_queries", ((F.col("recall") >= 0) & (F.col("recall") <= 1)).alias("recall_in_range"),
+                    F.lit(0.0 < share <= 1.0).alias("share_in_range"))
+
+
+def _search_inputs(spark, sf):
+    q, items = _unit(spark, sf), _scaled(spark, sf)
+    part = S.fit_partitions(items)
+    exact = S.mips_exact(q, part, TOP, PROBES, exclude_self=True).cache()
+    return q, items, part, exact
+
+
+@register(RECALL_SQL)
+def partition_search_recall(spark, sf):
+    q, _, part, exact = _search_inputs(spark, sf)
+    approx = S.mips_partition(q, part, TOP, PROBES, exclude_self=True)
+    return _recall_row(exact, approx, S.candidate_share(q, part, PROBES, True))
+
+
+@register(RECALL_SQL)
+def lsh_recall(spark, sf):
+    q, items, _, exact = _search_inputs(spark, sf)
+    approx, n_pairs = S.mips_lsh(q, items, TOP, bucket_length=0.4, num_tables=2, exclude_self=True)
+    n = q.count()
+    return _recall_row(exact, approx, n_pairs / float(n * (n - 1)))
+
+
+@register()
+def search_report(spark, sf):
+    """Recall@10, share of pairs examined and seconds per method (values
+    depend on clustering and hashing seeds: rows-only check)."""
+    q, items = _unit(spark, sf), _scaled(spark, sf)
+    n = q.count()
+    t0 = time.time()
+    part = S.fit_partitions(items)
+    exact = S.mips_exact(q, part, TOP, PROBES, exclude_self=True).cache()
+    exact.count()
+    rows = [("exact", "probe=2+bound", 1.0, 1.0, time.time() - t0)]
+    for p in (2, 5):
+        t0 = time.time()
+        ap = S.mips_partition(q, part, TOP, p, exclude_self=True)
+        rec = S.recall_at_k(exact, ap).first()["recall"]
+        rows.append(("partition", f"probe={p}", float(rec), S.candidate_share(q, part, p, True),
+                     time.time() - t0))
+    for bl, nt in ((0.4, 1), (0.05, 2)):
+        t0 = time.time()
+        ap, n_pairs = S.mips_lsh(q, items, TOP, bucket_length=bl, num_tables=nt, exclude_self=True)
+        rec = S.recall_at_k(exact, ap).first()["recall"]
+        rows.append(("lsh", f"bucket={bl},tables={nt}", float(rec), n_pairs / float(n * (n - 1)),
+                     time.time() - t0))
+    return spark.createDataFrame(rows, "method string, setting string, recall double, "
+                                       "candidate_share double, seconds double")
+
+
+# ---- cold start -------------------------------------------------------------
+
+@register(with_(SPLIT) + f"""
+SELECT split, ({h("'item:' || track_id")} % 10) = 0 AS cold, CAST(count(*) AS BIGINT) AS n_rows,
+       CAST(count(DISTINCT track_id) AS BIGINT) AS n_items
+FROM split GROUP BY 1, 2""")
+def cold_item_split(spark, sf):
+    df = cs.cold_items(data.split_table(spark, sf))
+    return df.groupBy("split", "cold").agg(F.count(F.lit(1)).alias("n_rows"),
+                                           F.countDistinct("track_id").alias("n_items"))
+
+
+def _side_by_idx(spark, sf, items_map):
+    side = fx.item_side(spark, sf)
+    return side.join(items_map.select(F.col("label").alias("track_id"), F.col("idx").alias("id")),
+                     "track_id")
+
+
+def _cold_setup(spark, sf, rank, iters):
+    users, items, (train, val, _) = data.formatted(spark, sf)
+    cold = (cs.cold_items(items.select("label", "idx"), item_col="label")
+            .where("cold").select(F.col("idx").alias("item")))
+    train, val = train.cache(), val.cache()
+    warm_train = train.join(cold, "item", "left_anti")
+    model_warm = A.fit_als(warm_train, rank=rank, max_iter=iters, seed=0)
+    side = _side_by_idx(spark, sf, items).cache()
+    fmap = cs.fit_feature_map(model_warm.itemFactors, side, rank)
+    pred = cs.predict_factors(fmap, side.join(cold.withColumnRenamed("item", "id"), "id", "left_semi"))
+    return train, val, cold, model_warm, pred
+
+
+@register(with_(SPLIT) + f""",
+cold AS (SELECT DISTINCT track_id FROM split WHERE ({h("'item:' || track_id")} % 10) = 0)
+SELECT CAST((SELECT count(*) FROM cold) AS BIGINT) AS n_cold_items,
+       CAST((SELECT count(*) FROM cold) AS BIGINT) AS n_predicted,
+       CAST({RANK} AS INTEGER) AS len_min, CAST({RANK} AS INTEGER) AS len_max""")
+def cold_start_contract(spark, sf):
+    _, _, cold, _, pred = _cold_setup(spark, sf, RANK, 3)
+    return (cold.agg(F.count(F.lit(1)).alias("n_cold_items")).withColumn("_k", F.lit(1))
+            .join(pred.agg(F.count(F.lit(1)).alias("n_predicted"),
+                           F.min(F.size("features")).alias("len_min"),
+                           F.max(F.size("features")).alias("len_max")).withColumn("_k", F.lit(1)), "_k")
+            .drop("_k"))
+
+
+@register()
+def cold_start_report(spark, sf):
+    """Full model vs warm model + feature-predicted factors for held-out
+    items, scored on all val labels and on val labels of held-out items."""
+    rank, iters, k = 10, 5, 100
+    train, val, cold, model_warm, pred = _cold_setup(spark, sf, rank, iters)
+    model_full = A.fit_als(train, rank=rank, max_iter=iters, seed=0)
+    full_recs = A.to_long(A.recommend_users(model_full, k, val)).select("user", "pos", "item")
+    item_vecs = (model_warm.itemFactors.join(cold.withColumnRenamed("item", "id"), "id", "left_anti")
+                 .unionByName(pred))
+    users = (model_warm.userFactors.join(val.select(F.col("user").alias("id")).distinct(), "id",
+                                         "left_semi"))
+    part = S.fit_partitions(S.vectors(item_vecs, "id", "features"))
+    top = S.mips_exact(S.vectors(users, "id", "features"), part, k, probes=4)
+    cold_recs = top.select(F.col("qid").cast("int").alias("user"),
+                           (F.col("rank") - 1).cast("int").alias("pos"),
+                           F.col("id").cast("int").alias("item"))
+    lab_all = lb.labels(val, "full")
+    lab_cold = lab_all.join(cold, "item", "left_semi")
+    out = None
+    for name, recs in (("full_model", full_recs), ("warm_plus_features", cold_recs)):
+        for scope, lab in (("all_items", lab_all), ("held_out_items", lab_cold)):
+            m = mt.ranking_metrics(recs, lab, ks=(10, k)).select(
+                F.lit(name).alias("model"), F.lit(scope).alias("labels"), "n_users_scored",
+                "precision_at_10", "map", F.col(f"ndcg_at_{k}").alias("ndcg_at_k"))
+            out = m if out is None else out.unionByName(m)
+    return out
+
+
+# ---- error analysis and layout ------------------------------------------------
+
+@register(with_(SPLIT, """pop AS (
+  SELECT track_id FROM (
+    SELECT track_id, row_number() OVER (ORDER BY score DESC, track_id) - 1 AS pos
+    FROM (SELECT track_id, count(*) AS score FROM train GROUP BY track_id)) WHERE pos < 50)""",
+    """side AS (SELECT 'T' || CAST(p_partkey AS VARCHAR) AS track_id, p_type FROM part)""",
+    """lab AS (SELECT DISTINCT user_id, track_id FROM val)""",
+    """c AS (
+  SELECT coalesce(g, 'ALL') AS p_type, sum(r) AS n_rec_slots, sum(l) AS n_label_rows, sum(hh) AS n_hits
+  FROM (
+    SELECT coalesce(s.p_type, 'UNKNOWN') AS g, 1 AS r, 0 AS l, 0 AS hh FROM pop p LEFT JOIN side s USING (track_id)
+    UNION ALL
+    SELECT coalesce(s.p_type, 'UNKNOWN'), 0, 1, CASE WHEN l.track_id IN (SELECT track_id FROM pop) THEN 1 ELSE 0 END
+    FROM lab l LEFT JOIN side s USING (track_id))
+  GROUP BY ROLLUP (g))""") + """
+SELECT p_type, CAST(n_rec_slots AS BIGINT) AS n_rec_slots, CAST(n_label_rows AS BIGINT) AS n_label_rows,
+  CAST(n_hits AS BIGINT) AS n_hits,
+  round(n_rec_slots / (SELECT n_rec_slots FROM c WHERE p_type = 'ALL'), 5) AS rec_share,
+  round(n_label_rows / (SELECT n_label_rows FROM c WHERE p_type = 'ALL'), 5) AS label_share,
+  round(CASE WHEN n_label_rows > 0 THEN (n_rec_slots / (SELECT n_rec_slots FROM c WHERE p_type = 'ALL'))
+        / (n_label_rows / (SELECT n_label_rows FROM c WHERE p_type = 'ALL')) END, 5) AS share_ratio,
+  round(CASE WHEN n_label_rows > 0 THEN n_hits / n_label_rows END, 5) AS hit_rate
+FROM c WHERE n_rec_slots > 0 OR n_label_rows > 0""")
+def error_by_group(spark, sf):
+    """Which item types the top-50 popularity list over/under-represents
+    against the val labels."""
+    train, val, _ = data.splits(spark, sf)
+    recs = popularity_topk(train, 50, user_col="user_id", item_col="track_id")
+    side = fx.item_side(spark, sf)
+    return an.error_by_group(recs, lb.labels(val, "full", "user_id", "track_id"), side, "p_type",
+                             item_col="track_id", user_col="user_id")
+
+
+def _layout(spark, sf):
+    train, _, model = _fitted(spark, sf)
+    _, items, _ = data.formatted(spark, sf)
+    side = _side_by_idx(spark, sf, items).select("id", "p_type", "p_brand")
+    return an.factor_layout(model.itemFactors, side, dims=2, group_col="p_type")
+
+
+@register(with_(SPLIT) + """
+SELECT p.p_type, CAST(count(DISTINCT t.track_id) AS BIGINT) AS n_items, true AS has_centroid
+FROM train t JOIN part p ON t.track_id = 'T' || CAST(p.p_partkey AS VARCHAR) GROUP BY p.p_type""")
+def factor_pca(spark, sf):
+    _, cents = _layout(spark, sf)
+    return cents.select("p_type", "n_items",
+                        (F.col("c0").isNotNull() & F.col("c1").isNotNull()).alias("has_centroid"))
+
+
+@register()
+def factor_layout(spark, sf):
+    layout, _ = _layout(spark, sf)
+    return layout
