@@ -37,8 +37,13 @@ def _idcg(m: Column, k: int) -> Column:
 
 def per_user_metrics(recs: DataFrame, labels: DataFrame, ks=(10,), map_k=(),
                      cold: str = "drop", user_col: str = "user", item_col: str = "item",
-                     pos_col: str = "pos") -> DataFrame:
-    """One row per evaluated user: ``scored`` flag and every metric."""
+                     pos_col: str = "pos", include_unlabeled: bool = False) -> DataFrame:
+    """One row per evaluated user: ``scored`` flag and every metric.
+
+    Users come from ``labels``; ``cold="zero"`` keeps label users without
+    recommendations (scoring 0), ``include_unlabeled`` adds users with
+    recommendations but no labels (scoring 0, as ``RankingMetrics`` does for an
+    empty label set)."""
     if cold not in ("drop", "zero"):
         raise ValueError("cold must be drop or zero")
     lab = labels.select(user_col, item_col)
@@ -56,8 +61,9 @@ def per_user_metrics(recs: DataFrame, labels: DataFrame, ks=(10,), map_k=(),
           .agg(F.array_sort(F.collect_list(F.col(pos_col).cast("int"))).alias("hp")))
     users = m.join(hp, user_col, "left")
     if scored is not None:
-        users = users.join(scored, user_col, "left")
-        users = users.withColumn("scored", F.coalesce("scored", F.lit(False)))
+        users = users.join(scored, user_col, "full" if include_unlabeled else "left")
+        users = (users.withColumn("scored", F.coalesce("scored", F.lit(False)))
+                 .withColumn("m", F.coalesce("m", F.lit(0).cast("long"))))
     else:
         users = users.withColumn("scored", F.lit(True))
     if cold == "drop":
@@ -70,23 +76,25 @@ def per_user_metrics(recs: DataFrame, labels: DataFrame, ks=(10,), map_k=(),
         dcg = _sum_array(F.transform(F.filter(hpc, lambda p: p < k),
                                      lambda p: F.lit(1.0) / F.log2(p + 2)))
         cols += [(n_hit / k).alias(f"precision_at_{k}"),
-                 (n_hit / mc).alias(f"recall_at_{k}"),
+                 F.when(F.col("m") > 0, n_hit / mc).otherwise(0.0).alias(f"recall_at_{k}"),
                  F.when(F.col("m") > 0, dcg / _idcg(F.col("m"), k)).otherwise(0.0)
                  .alias(f"ndcg_at_{k}")]
     ap_terms = F.transform(hpc, lambda p, j: (j + 1).cast("double") / (p + 1))
     cols.append(F.when(F.col("m") > 0, _sum_array(ap_terms) / mc).otherwise(0.0).alias("ap"))
     for k in map_k:
         terms = F.transform(F.filter(hpc, lambda p: p < k), lambda p, j: (j + 1).cast("double") / (p + 1))
-        cols.append((_sum_array(terms) / F.least(mc, F.lit(float(k)))).alias(f"ap_at_{k}"))
+        cols.append(F.when(F.col("m") > 0, _sum_array(terms) / F.least(mc, F.lit(float(k))))
+                    .otherwise(0.0).alias(f"ap_at_{k}"))
     return users.select(*cols)
 
 
 def ranking_metrics(recs: DataFrame, labels: DataFrame, ks=(10,), map_k=(), cold: str = "drop",
                     digits: int | None = 5, user_col: str = "user", item_col: str = "item",
-                    pos_col: str = "pos") -> DataFrame:
+                    pos_col: str = "pos", include_unlabeled: bool = False) -> DataFrame:
     """One row: users averaged, users with labels but no recommendations, and
     the mean of each metric (rounded last, to ``digits`` places)."""
-    pu = per_user_metrics(recs, labels, ks, map_k, cold, user_col, item_col, pos_col)
+    pu = per_user_metrics(recs, labels, ks, map_k, cold, user_col, item_col, pos_col,
+                          include_unlabeled)
     metric_cols = [c for c in pu.columns if c not in (user_col, "scored", "m")]
 
     def r(c):
