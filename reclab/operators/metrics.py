@@ -37,13 +37,15 @@ def _idcg(m: Column, k: int) -> Column:
 
 def per_user_metrics(recs: DataFrame, labels: DataFrame, ks=(10,), map_k=(),
                      cold: str = "drop", user_col: str = "user", item_col: str = "item",
-                     pos_col: str = "pos", include_unlabeled: bool = False) -> DataFrame:
+                     pos_col: str = "pos", include_unlabeled: bool = False,
+                     list_rows: int | None = None) -> DataFrame:
     """One row per evaluated user: ``scored`` flag and every metric.
 
     Users come from ``labels``; ``cold="zero"`` keeps label users without
     recommendations (scoring 0), ``include_unlabeled`` adds users with
     recommendations but no labels (scoring 0, as ``RankingMetrics`` does for an
-    empty label set)."""
+    empty label set).  For a global list, ``list_rows`` (its known size, e.g.
+    the k of a top-k) saves counting it before choosing to broadcast it."""
     if cold not in ("drop", "zero"):
         raise ValueError("cold must be drop or zero")
     lab = labels.select(user_col, item_col)
@@ -53,7 +55,8 @@ def per_user_metrics(recs: DataFrame, labels: DataFrame, ks=(10,), map_k=(),
         scored = recs.select(user_col).distinct().withColumn("scored", F.lit(True))
     else:
         glist = recs.select(item_col, pos_col)
-        if glist.count() <= BROADCAST_LIST_MAX:
+        n_list = list_rows if list_rows is not None else glist.count()
+        if n_list <= BROADCAST_LIST_MAX:
             glist = F.broadcast(glist)
         hits = lab.join(glist, item_col)
         scored = None
@@ -90,11 +93,12 @@ def per_user_metrics(recs: DataFrame, labels: DataFrame, ks=(10,), map_k=(),
 
 def ranking_metrics(recs: DataFrame, labels: DataFrame, ks=(10,), map_k=(), cold: str = "drop",
                     digits: int | None = 5, user_col: str = "user", item_col: str = "item",
-                    pos_col: str = "pos", include_unlabeled: bool = False) -> DataFrame:
+                    pos_col: str = "pos", include_unlabeled: bool = False,
+                    list_rows: int | None = None) -> DataFrame:
     """One row: users averaged, users with labels but no recommendations, and
     the mean of each metric (rounded last, to ``digits`` places)."""
     pu = per_user_metrics(recs, labels, ks, map_k, cold, user_col, item_col, pos_col,
-                          include_unlabeled)
+                          include_unlabeled, list_rows)
     metric_cols = [c for c in pu.columns if c not in (user_col, "scored", "m")]
 
     def r(c):

@@ -256,7 +256,7 @@ def _pop_metrics(spark, sf, how="full", cold="drop"):
     train, val, _ = data.splits(spark, sf)
     recs = _pop(train).select(F.col("track_id").alias("item"), "pos")
     lab = lb.labels(data.string_labels(val), how)
-    return mt.ranking_metrics(recs, lab, ks=METRIC_KS, map_k=(10,), cold=cold)
+    return mt.ranking_metrics(recs, lab, ks=METRIC_KS, map_k=(10,), cold=cold, list_rows=POP_K)
 
 
 @query
@@ -302,7 +302,7 @@ def variant_compare(spark, sf):
         t = cn.transform_counts(train, how, cap=10.0)
         recs = popularity_topk(t, POP_K, by="count", user_col="user_id", item_col="track_id")
         m = mt.ranking_metrics(recs.select(F.col("track_id").alias("item"), "pos"), lab,
-                               ks=(10, POP_K), cold="drop")
+                               ks=(10, POP_K), cold="drop", list_rows=POP_K)
         rows.append(m.select(F.lit(how).alias("how"), "n_users_scored", "precision_at_10",
                              "map", "ndcg_at_50"))
     out = rows[0]

@@ -3,6 +3,7 @@ its hold-out split and the indexed (formatted) splits."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +13,11 @@ from reclab.sources.fixtures import interactions
 
 
 def split_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sp.holdout(interactions(spark, sf_dir))
+    """The split interaction table, persisted: every query of a session that
+    derives from it (splits, index fits, labels, models) reads the cached
+    copy instead of re-running the scan, join and aggregation.  Spark's cache
+    manager matches the plan, so repeated calls share one copy."""
+    return sp.holdout(interactions(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def splits(spark: SparkSession, sf_dir: str):
