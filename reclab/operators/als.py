@@ -4,6 +4,8 @@ in/out-block routing) is Spark's own; nothing here re-implements it."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,20 +48,35 @@ def score(model: ALSModel, pairs: DataFrame, cold: str = "drop") -> DataFrame:
     return model.copy().setColdStartStrategy(cold).transform(pairs)
 
 
+def block_size_for(spark, n_rows: int, n_cols: int) -> int:
+    """Factor block size for top-k: the largest of 4096/2048/1024/512 that
+    still yields at least two block pairs per core (small problems otherwise
+    run in a handful of tasks; large ones keep Spark's 4096)."""
+    want = 2 * spark.sparkContext.defaultParallelism
+    for bs in (4096, 2048, 1024):
+        if math.ceil(n_rows / bs) * math.ceil(n_cols / bs) >= want:
+            return bs
+    return 512
+
+
 def recommend_users(model: ALSModel, k: int, users: DataFrame | None = None) -> DataFrame:
     """Top-``k`` items per user (all users with factors, or a subset).  Spark
     scores blocks of users against blocks of items and keeps a bounded
     top-k per user, so no full score matrix is materialised."""
-    if users is None:
-        return model.recommendForAllUsers(k)
+    spark = model.userFactors.sparkSession
     ucol = model.getUserCol()
-    return model.recommendForUserSubset(users.select(ucol).distinct(), k)
+    subset = None if users is None else users.select(ucol).distinct()
+    n_u = (model.userFactors if subset is None else subset).count()
+    m = model.copy().setBlockSize(block_size_for(spark, n_u, model.itemFactors.count()))
+    return m.recommendForAllUsers(k) if subset is None else m.recommendForUserSubset(subset, k)
 
 
 def recommend_items(model: ALSModel, k: int, items: DataFrame | None = None) -> DataFrame:
-    if items is None:
-        return model.recommendForAllItems(k)
-    return model.recommendForItemSubset(items.select(model.getItemCol()).distinct(), k)
+    spark = model.itemFactors.sparkSession
+    subset = None if items is None else items.select(model.getItemCol()).distinct()
+    n_i = (model.itemFactors if subset is None else subset).count()
+    m = model.copy().setBlockSize(block_size_for(spark, n_i, model.userFactors.count()))
+    return m.recommendForAllItems(k) if subset is None else m.recommendForItemSubset(subset, k)
 
 
 def to_long(recs: DataFrame, key_col: str = "user", value_col: str = "item") -> DataFrame:

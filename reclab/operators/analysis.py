@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -32,9 +32,13 @@ def error_by_group(recs: DataFrame, labels: DataFrame, side: DataFrame, group_co
            .join(counts(rec_rows, "n_rec_slots"), "grp", "full")
            .join(counts(hit_rows, "n_hits"), "grp", "left")
            .fillna(0, ["n_label_rows", "n_rec_slots", "n_hits"]))
-    tot = out.where(F.col("grp") == "ALL").select(
-        F.col("n_label_rows").alias("_tl"), F.col("n_rec_slots").alias("_tr"))
-    out = out.withColumn("_k", F.lit(1)).join(tot.withColumn("_k", F.lit(1)), "_k")
+    # totals from the rollup's own ALL row; the window runs over one row per
+    # group (a handful for item types), not over data rows
+    everything = Window.partitionBy()
+    out = (out.withColumn("_tl", F.max(F.when(F.col("grp") == "ALL", F.col("n_label_rows")))
+                          .over(everything))
+           .withColumn("_tr", F.max(F.when(F.col("grp") == "ALL", F.col("n_rec_slots")))
+                       .over(everything)))
     rec_share = F.col("n_rec_slots") / F.col("_tr")
     lab_share = F.col("n_label_rows") / F.col("_tl")
     return out.select(

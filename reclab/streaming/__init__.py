@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reference is batch only (no watermarks, windows over time, state or late
+data; it has no time column at all), so there is no streaming operator to
+rebuild.  Batch jobs here read whole tables with ``spark.read``.
+"""
