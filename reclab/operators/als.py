@@ -102,3 +102,21 @@ def factor_dot(model: ALSModel, pairs: DataFrame, user_col: str = "user",
     itf = model.itemFactors.select(F.col("id").alias(item_col), F.col("features").alias("_if"))
     return (pairs.join(uf, user_col).join(itf, item_col)
             .withColumn("dot", dot("_uf", "_if")).drop("_uf", "_if"))
+
+
+def als_pipeline(user_col: str = "user_id", item_col: str = "track_id",
+                 rating_col: str = "count", **als_params):
+    """Indexers and ALS as one estimator (string ids in, factor model out).
+
+    Convenient for small data and for parity with the ML-pipeline style; the
+    ML indexers keep their labels on the driver, so large tables should use
+    ``reclab.operators.index`` mappings and ``fit_als`` instead."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import StringIndexer
+
+    params = {"implicitPrefs": True, "coldStartStrategy": "drop", "seed": 0, **als_params}
+    return Pipeline(stages=[
+        StringIndexer(inputCol=user_col, outputCol="user"),
+        StringIndexer(inputCol=item_col, outputCol="item"),
+        ALS(userCol="user", itemCol="item", ratingCol=rating_col, **params),
+    ])

@@ -48,6 +48,7 @@ def per_user_metrics(recs: DataFrame, labels: DataFrame, ks=(10,), map_k=(),
     the k of a top-k) saves counting it before choosing to broadcast it."""
     if cold not in ("drop", "zero"):
         raise ValueError("cold must be drop or zero")
+    ks, map_k = sorted(set(ks)), sorted(set(map_k))
     lab = labels.select(user_col, item_col)
     m = lab.groupBy(user_col).agg(F.count(F.lit(1)).alias("m"))
     if user_col in recs.columns:

@@ -315,3 +315,9 @@ def variant_compare(spark, sf):
 def sweep_best(spark, sf):
     """The best count strategy of ``variant_compare`` by MAP (stable ties)."""
     return variant_compare(spark, sf).orderBy(F.desc("map"), "how").limit(1).select("how", "map")
+
+
+@query
+def head_interactions(spark, sf):
+    """``show()``'s first rows, made deterministic by a key order."""
+    return fx.interactions(spark, sf).orderBy("user_id", "track_id").limit(20)

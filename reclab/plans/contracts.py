@@ -217,3 +217,32 @@ def als_evaluate(spark, sf):
     from reclab.plans.evaluate import flagship
 
     return flagship(spark, sf, max_iter=5)
+
+
+@register(with_(SPLIT) + f"""
+SELECT CAST({N_VAL_WARM_PAIRS} AS BIGINT) AS n_rows, true AS pref_below_counts""")
+def als_rmse_contract(spark, sf):
+    """RMSE of implicit-ALS scores against raw counts (what the reference
+    logged; scores live near 0..1, so it barely moves across models) and
+    against the 0/1 preference the model actually fits."""
+    from reclab.operators import metrics as mt
+
+    _, val, model = _fitted(spark, sf)
+    pred = A.score(model, val, "drop").withColumn("pref", F.lit(1.0)).cache()
+    counts = mt.rmse(pred, "count", "prediction", digits=None)
+    pref = mt.rmse(pred, "pref", "prediction", digits=None).select(F.col("rmse").alias("rmse_pref"))
+    both = _row(counts, pref)
+    return both.select("n_rows", (F.col("rmse_pref") < F.col("rmse")).alias("pref_below_counts"))
+
+
+@register()
+def final_test_eval(spark, sf):
+    """Pick the best of the two-point sweep on validation by MAP, refit, and
+    score on the test split (values are model output: rows only)."""
+    from reclab.plans.evaluate import final_test
+
+    train, val, _ = _fitted(spark, sf)
+    _, _, (_, _, test) = data.formatted(spark, sf)
+    combos = spark.createDataFrame(SWEEP_COMBOS, "variant string, rank int, reg_param double, alpha double")
+    best_row = sw.best(sw.run_sweep(train, val, combos, k=100, parallelism=2, max_iter=ITERS)).first()
+    return final_test(train, test, best_row, k=100, max_iter=ITERS)

@@ -54,3 +54,12 @@ def flagship(spark: SparkSession, sf_dir: str, **overrides) -> DataFrame:
     train = train.cache()
     return fit_and_evaluate(train, val, p["rank"], p["reg_param"], p["alpha"], k=p["k"],
                             max_iter=p["max_iter"])
+
+
+def final_test(train: DataFrame, test: DataFrame, best_row, k: int = 500,
+               max_iter: int = 10) -> DataFrame:
+    """Refit with the chosen parameters and score once on the test split
+    (parameters are tuned on validation only; test is touched last)."""
+    return fit_and_evaluate(train, test, int(best_row["rank"]), float(best_row["reg_param"]),
+                            float(best_row["alpha"]), variant=best_row["variant"], k=k,
+                            max_iter=max_iter)

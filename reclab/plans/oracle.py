@@ -252,3 +252,5 @@ FROM val v JOIN (SELECT track_id, avg(count) AS prediction FROM train GROUP BY t
 
 ORACLE["sweep_best"] = ("SELECT how, map FROM (" + _variant_compare()
                         + ") ORDER BY map DESC, how LIMIT 1")
+
+ORACLE["head_interactions"] = with_(INTER) + "SELECT * FROM inter ORDER BY user_id, track_id LIMIT 20"

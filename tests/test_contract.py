@@ -16,7 +16,8 @@ def test_every_query_has_oracle_or_is_declared_rows_only():
     q, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(q)
     rows_only = set(q) - set(sql)
-    assert rows_only <= {"als_evaluate", "search_report", "cold_start_report", "factor_layout"}
+    assert rows_only <= {"als_evaluate", "search_report", "cold_start_report", "factor_layout",
+                         "final_test_eval"}
 
 
 def test_entry_smoke(spark):
