@@ -189,7 +189,8 @@ SWEEP_COMBOS = [("raw", RANK, 0.1, 1.0), ("drop", RANK, 0.1, 1.0)]
 
 @register(with_(SPLIT) + """,
 warm_drop AS (SELECT DISTINCT user_id FROM train WHERE count >= 2)
-SELECT variant, CAST(5 AS INTEGER) AS rank, 0.1 AS reg_param, 1.0 AS alpha, CAST(100 AS INTEGER) AS k,
+SELECT variant, CAST(5 AS INTEGER) AS rank, CAST(0.1 AS DOUBLE) AS reg_param, CAST(1.0 AS DOUBLE) AS alpha,
+  CAST(100 AS INTEGER) AS k,
   CAST(n_scored AS BIGINT) AS n_users_scored,
   CAST((SELECT count(DISTINCT user_id) FROM val) - n_scored AS BIGINT) AS n_users_cold,
   true AS metrics_in_range
