@@ -4,10 +4,10 @@
 one task.  Here the rows are range-partitioned on the order, sorted inside
 each partition, tagged with their partition and in-partition position, and
 shifted by the sizes of the partitions before them (a table with one row per
-partition, broadcast by construction).  The tagged table is checkpointed to
-the cluster's checkpoint folder first: range bounds come from a sample, so a
-recomputed partition after an executor loss must not see different bounds
-than the offsets were computed from.
+partition, broadcast by construction).  The tagged table is first written
+once to the cluster's checkpoint folder and read back: range bounds come
+from a sample, so a recomputed partition after an executor loss must not see
+different bounds than the offsets were computed from.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reclab.session import ensure_checkpoint_dir
+from reclab.session import ensure_checkpoint_dir, scratch_path
 
 
 def global_index(df: DataFrame, order: list, idx_col: str = "idx",
@@ -25,15 +25,17 @@ def global_index(df: DataFrame, order: list, idx_col: str = "idx",
     ``order`` must be a total order (add a unique tie-breaker); the result is
     then deterministic and equals ``row_number() over (order by ...) - 1``."""
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ensure_checkpoint_dir(spark)
-    tagged = (
-        df.repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
-        .select("*", F.spark_partition_id().alias("_gi_pid"),
-                F.monotonically_increasing_id().alias("_gi_mid"))
-        .checkpoint(eager=True)
-    )
+    # Without an explicit count AQE may merge small ranges; merged partitions
+    # are still contiguous ranges in order, so the offsets stay correct.
+    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
+              else df.repartitionByRange(*order))
+    path = scratch_path(spark, "order")
+    (ranged.sortWithinPartitions(*order)
+     .select("*", F.spark_partition_id().alias("_gi_pid"),
+             F.monotonically_increasing_id().alias("_gi_mid"))
+     .write.parquet(path))
+    tagged = spark.read.parquet(path)
     before = Window.orderBy("_gi_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         tagged.groupBy("_gi_pid")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from reclab.operators import index as ix
 from reclab.operators import split as sp
+from reclab.session import allow_cached_coalescing
 from reclab.sources.fixtures import interactions
 
 
@@ -17,6 +18,7 @@ def split_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     derives from it (splits, index fits, labels, models) reads the cached
     copy instead of re-running the scan, join and aggregation.  Spark's cache
     manager matches the plan, so repeated calls share one copy."""
+    allow_cached_coalescing(spark)
     return sp.holdout(interactions(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
 
 

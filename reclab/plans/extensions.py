@@ -190,7 +190,9 @@ def cold_start_report(spark, sf):
     cold_recs = top.select(F.col("qid").cast("int").alias("user"),
                            (F.col("rank") - 1).cast("int").alias("pos"),
                            F.col("id").cast("int").alias("item"))
-    lab_all = lb.labels(val, "full")
+    # both lists feed four metric queries: materialise each once
+    full_recs, cold_recs = full_recs.cache(), cold_recs.cache()
+    lab_all = lb.labels(val, "full").cache()
     lab_cold = lab_all.join(cold, "item", "left_semi")
     out = None
     for name, recs in (("full_model", full_recs), ("warm_plus_features", cold_recs)):

@@ -21,6 +21,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
         .config("spark.driver.memory", "16g")
@@ -64,3 +65,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/reclab-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def right_size(df, n_rows: int, rows_per_partition: int = 200_000):
+    """Coalesce (no shuffle) an input that has far more partitions than its
+    row count warrants, before an iterative ML fit scans it many times.
+    Large inputs keep their partitioning."""
+    want = max(1, -(-n_rows // rows_per_partition))
+    have = df.rdd.getNumPartitions()
+    return df.coalesce(want) if have > 2 * want else df
+
+
+def allow_cached_coalescing(spark) -> None:
+    """Let AQE coalesce the partitions of a cached plan.  Without it a cached
+    table keeps ``spark.sql.shuffle.partitions`` partitions however small it
+    is, and every later shuffle from it writes partitions x partitions
+    blocks."""
+    if spark.conf.get("spark.sql.adaptive.enabled", "true") == "true":
+        spark.conf.set("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "true")
