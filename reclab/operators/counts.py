@@ -43,17 +43,26 @@ def transform_counts(df: DataFrame, how: str = "raw", min_count: int = 2,
     return df.withColumn(col, v).where(F.col(col).isNotNull())
 
 
+def variants_long(df: DataFrame, hows=HOWS, min_count: int = 2, cap: float | None = 10.0,
+                  keep_removed: bool = False, cols=("user_id", "track_id"),
+                  col: str = "count") -> DataFrame:
+    """``(cols..., how, v)``: every strategy's value for every row, from one
+    scan (``v`` NULL where the strategy removes the row, unless dropped)."""
+    variants = F.array(*[F.struct(F.lit(h).alias("how"),
+                                  _value(h, F.col(col), min_count, cap).alias("v"))
+                         for h in hows])
+    out = df.select(*cols, F.explode(variants).alias("_t")).select(*cols, "_t.how", "_t.v")
+    return out if keep_removed else out.where(F.col("v").isNotNull())
+
+
 def transform_report(df: DataFrame, hows=HOWS, min_count: int = 2, cap: float = 10.0,
                      user_col: str = "user_id", item_col: str = "track_id", col: str = "count",
                      digits: int = 5) -> DataFrame:
     """One row per strategy: rows kept and removed, users and items that keep
     at least one row, rows whose value became 0 (no signal for ALS), and the
     sum/min/max of the values.  One scan for all strategies."""
-    variants = F.array(*[F.struct(F.lit(h).alias("how"),
-                                  _value(h, F.col(col), min_count, cap).alias("v"))
-                         for h in hows])
-    long = df.select(user_col, item_col, F.explode(variants).alias("_t")).select(
-        user_col, item_col, "_t.how", "_t.v")
+    long = variants_long(df, hows, min_count, cap, keep_removed=True, cols=(user_col, item_col),
+                         col=col)
     kept = F.col("v").isNotNull()
     return long.groupBy("how").agg(
         F.count("v").alias("rows_kept"),

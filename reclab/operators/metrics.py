@@ -38,34 +38,43 @@ def _idcg(m: Column, k: int) -> Column:
 def per_user_metrics(recs: DataFrame, labels: DataFrame, ks=(10,), map_k=(),
                      cold: str = "drop", user_col: str = "user", item_col: str = "item",
                      pos_col: str = "pos", include_unlabeled: bool = False,
-                     list_rows: int | None = None) -> DataFrame:
-    """One row per evaluated user: ``scored`` flag and every metric.
+                     list_rows: int | None = None, group_col: str | None = None) -> DataFrame:
+    """One row per evaluated user (per group): ``scored`` flag and every metric.
 
     Users come from ``labels``; ``cold="zero"`` keeps label users without
     recommendations (scoring 0), ``include_unlabeled`` adds users with
     recommendations but no labels (scoring 0, as ``RankingMetrics`` does for an
     empty label set).  For a global list, ``list_rows`` (its known size, e.g.
-    the k of a top-k) saves counting it before choosing to broadcast it."""
+    the k of a top-k) saves counting it before choosing to broadcast it.
+    ``group_col`` scores several lists at once (for example one per count
+    strategy): every user is evaluated under every group."""
     if cold not in ("drop", "zero"):
         raise ValueError("cold must be drop or zero")
     ks, map_k = sorted(set(ks)), sorted(set(map_k))
+    keys = [group_col, user_col] if group_col else [user_col]
     lab = labels.select(user_col, item_col)
     m = lab.groupBy(user_col).agg(F.count(F.lit(1)).alias("m"))
+    gcols = [group_col] if group_col else []
     if user_col in recs.columns:
-        hits = recs.select(user_col, item_col, pos_col).join(lab, [user_col, item_col])
-        scored = recs.select(user_col).distinct().withColumn("scored", F.lit(True))
+        hits = recs.select(*gcols, user_col, item_col, pos_col).join(lab, [user_col, item_col])
+        scored = recs.select(*keys).distinct().withColumn("scored", F.lit(True))
     else:
-        glist = recs.select(item_col, pos_col)
+        glist = recs.select(*gcols, item_col, pos_col)
         n_list = list_rows if list_rows is not None else glist.count()
         if n_list <= BROADCAST_LIST_MAX:
             glist = F.broadcast(glist)
         hits = lab.join(glist, item_col)
         scored = None
-    hp = (hits.groupBy(user_col)
+    hp = (hits.groupBy(*keys)
           .agg(F.array_sort(F.collect_list(F.col(pos_col).cast("int"))).alias("hp")))
-    users = m.join(hp, user_col, "left")
+    if group_col:
+        # every label user is evaluated under every group; the group values
+        # are few (one per compared list), so they travel as a literal array
+        groups = [r[0] for r in recs.select(group_col).distinct().collect()]
+        m = m.withColumn(group_col, F.explode(F.array(*[F.lit(g) for g in groups])))
+    users = m.join(hp, keys, "left")
     if scored is not None:
-        users = users.join(scored, user_col, "full" if include_unlabeled else "left")
+        users = users.join(scored, keys, "full" if include_unlabeled else "left")
         users = (users.withColumn("scored", F.coalesce("scored", F.lit(False)))
                  .withColumn("m", F.coalesce("m", F.lit(0).cast("long"))))
     else:
@@ -74,7 +83,7 @@ def per_user_metrics(recs: DataFrame, labels: DataFrame, ks=(10,), map_k=(),
         users = users.where("scored")
     hpc = F.coalesce(F.col("hp"), F.array().cast("array<int>"))
     mc = F.col("m").cast("double")
-    cols = [F.col(user_col), F.col("scored"), F.col("m")]
+    cols = [F.col(c) for c in keys] + [F.col("scored"), F.col("m")]
     for k in ks:
         n_hit = F.size(F.filter(hpc, lambda p: p < k)).cast("double")
         dcg = _sum_array(F.transform(F.filter(hpc, lambda p: p < k),
@@ -95,21 +104,24 @@ def per_user_metrics(recs: DataFrame, labels: DataFrame, ks=(10,), map_k=(),
 def ranking_metrics(recs: DataFrame, labels: DataFrame, ks=(10,), map_k=(), cold: str = "drop",
                     digits: int | None = 5, user_col: str = "user", item_col: str = "item",
                     pos_col: str = "pos", include_unlabeled: bool = False,
-                    list_rows: int | None = None) -> DataFrame:
-    """One row: users averaged, users with labels but no recommendations, and
-    the mean of each metric (rounded last, to ``digits`` places)."""
+                    list_rows: int | None = None, group_col: str | None = None) -> DataFrame:
+    """One row (per group): users averaged, users with labels but no
+    recommendations, and the mean of each metric (rounded last, to ``digits``
+    places)."""
     pu = per_user_metrics(recs, labels, ks, map_k, cold, user_col, item_col, pos_col,
-                          include_unlabeled, list_rows)
-    metric_cols = [c for c in pu.columns if c not in (user_col, "scored", "m")]
+                          include_unlabeled, list_rows, group_col)
+    metric_cols = [c for c in pu.columns if c not in (user_col, group_col, "scored", "m")]
 
     def r(c):
         return F.round(c, digits) if digits is not None else c
 
+    def name(c):
+        return "map" if c == "ap" else ("map_at_" + c[6:] if c.startswith("ap_at_") else c)
+
     aggs = [F.sum(F.col("scored").cast("long")).alias("n_users_scored"),
             F.sum((~F.col("scored")).cast("long")).alias("n_users_cold")]
-    aggs += [r(F.avg(c)).alias("map" if c == "ap" else ("map_at_" + c[6:] if c.startswith("ap_at_") else c))
-             for c in metric_cols]
-    return pu.agg(*aggs)
+    aggs += [r(F.avg(c)).alias(name(c)) for c in metric_cols]
+    return pu.groupBy(group_col).agg(*aggs) if group_col else pu.agg(*aggs)
 
 
 def rmse(df: DataFrame, label_col: str = "count", prediction_col: str = "prediction",

@@ -20,3 +20,14 @@ def popularity_topk(train: DataFrame, k: int, by: str = "users", user_col: str =
     w = Window.orderBy(F.desc("score"), F.asc(item_col))
     return top.select((F.row_number().over(w) - 1).cast("int").alias("pos"), item_col, "score")
 
+
+
+def popularity_topk_by_group(df: DataFrame, k: int, group_col: str, value_col: str,
+                             item_col: str = "item") -> DataFrame:
+    """Top-``k`` ``(group, pos, item, score)`` per group by summed value, ties
+    by item.  The ``row_number() <= k`` filter becomes a window group limit
+    that Spark applies before the shuffle as well as after it."""
+    agg = df.groupBy(group_col, item_col).agg(F.sum(F.col(value_col).cast("double")).alias("score"))
+    w = Window.partitionBy(group_col).orderBy(F.desc("score"), F.asc(item_col))
+    return (agg.withColumn("pos", (F.row_number().over(w) - 1).cast("int"))
+            .where(F.col("pos") < k).select(group_col, "pos", item_col, "score"))

@@ -14,7 +14,7 @@ from reclab.operators import index as ix
 from reclab.operators import labels as lb
 from reclab.operators import metrics as mt
 from reclab.operators import split as sp
-from reclab.operators.popularity import popularity_topk
+from reclab.operators.popularity import popularity_topk, popularity_topk_by_group
 from reclab.plans import data
 from reclab.plans.registry import register
 from reclab.sources import fixtures as fx
@@ -294,21 +294,17 @@ def metric_rmse(spark, sf):
 @query
 def variant_compare(spark, sf):
     """Count strategies compared under one fixed model: popularity by summed
-    transformed count, top 50, scored on the full val labels."""
+    transformed count, top 50, scored on the full val labels.  One scan of
+    train produces every strategy's values; one grouped top-k and one grouped
+    metric query score them all."""
     train, val, _ = data.splits(spark, sf)
     lab = lb.labels(data.string_labels(val), "full")
-    rows = []
-    for how in cn.HOWS:
-        t = cn.transform_counts(train, how, cap=10.0)
-        recs = popularity_topk(t, POP_K, by="count", user_col="user_id", item_col="track_id")
-        m = mt.ranking_metrics(recs.select(F.col("track_id").alias("item"), "pos"), lab,
-                               ks=(10, POP_K), cold="drop", list_rows=POP_K)
-        rows.append(m.select(F.lit(how).alias("how"), "n_users_scored", "precision_at_10",
-                             "map", "ndcg_at_50"))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    long = cn.variants_long(train, cn.HOWS, cap=10.0)
+    recs = popularity_topk_by_group(long, POP_K, "how", "v", item_col="track_id")
+    m = mt.ranking_metrics(recs.select("how", F.col("track_id").alias("item"), "pos"), lab,
+                           ks=(10, POP_K), cold="drop", list_rows=POP_K * len(cn.HOWS),
+                           group_col="how")
+    return m.select("how", "n_users_scored", "precision_at_10", "map", "ndcg_at_50")
 
 
 @query

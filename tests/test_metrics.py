@@ -88,3 +88,19 @@ def test_rmse(spark):
     df = spark.createDataFrame([(1.0, 2.0), (3.0, 3.0), (2.0, float("nan"))], "count double, prediction double")
     row = mt.rmse(df).first()
     assert row["n_rows"] == 2 and row["rmse"] == pytest.approx(0.70711)
+
+
+def test_grouped_lists_equal_separate_runs(spark):
+    r, lab = _frames(spark, [([1, 2, 3], [1, 3]), ([1, 2, 3], [2]), ([1, 2, 3], [9])])
+    lists = {"a": [1, 2, 3], "b": [3, 9, 4]}
+    rows = [(g, i, it) for g, items in lists.items() for i, it in enumerate(items)]
+    grouped = spark.createDataFrame(rows, "g string, pos int, item int")
+    both = {x["g"]: x.asDict() for x in mt.ranking_metrics(grouped, lab, ks=(2,), group_col="g").collect()}
+    for g, items in lists.items():
+        one = spark.createDataFrame([(i, it) for i, it in enumerate(items)], "pos int, item int")
+        alone = mt.ranking_metrics(one, lab, ks=(2,)).first().asDict()
+        assert {k: v for k, v in both[g].items() if k != "g"} == alone
+    per_user = spark.createDataFrame([(g, u, i, it) for g, items in lists.items() for u in range(3)
+                                      for i, it in enumerate(items)], "g string, user int, pos int, item int")
+    pu = {x["g"]: x.asDict() for x in mt.ranking_metrics(per_user, lab, ks=(2,), group_col="g").collect()}
+    assert pu == both
