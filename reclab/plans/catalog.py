@@ -317,3 +317,18 @@ def sweep_best(spark, sf):
 def head_interactions(spark, sf):
     """``show()``'s first rows, made deterministic by a key order."""
     return fx.interactions(spark, sf).orderBy("user_id", "track_id").limit(20)
+
+
+# ---- the tie-heavy events fixture (traps T1, T5) -----------------------------
+
+@query
+def events_transform_stats(spark, sf):
+    """Count strategies on mostly-1 counts: ``log`` zeroes most rows."""
+    return cn.transform_report(fx.events_interactions(spark, sf))
+
+
+@query
+def events_labels_top_tied(spark, sf):
+    """Items tied at each user's top count (many ties at small counts)."""
+    return lb.labels(fx.events_interactions(spark, sf), "top_tied", user_col="user_id",
+                     item_col="track_id")

@@ -254,3 +254,14 @@ ORACLE["sweep_best"] = ("SELECT how, map FROM (" + _variant_compare()
                         + ") ORDER BY map DESC, how LIMIT 1")
 
 ORACLE["head_interactions"] = with_(INTER) + "SELECT * FROM inter ORDER BY user_id, track_id LIMIT 20"
+
+EVENTS = """ev AS (
+  SELECT 'U' || CAST(user_id AS VARCHAR) AS user_id,
+         'K' || json_extract_string(props, '$.k') AS track_id, CAST(count(*) AS BIGINT) AS count
+  FROM events WHERE json_extract_string(props, '$.k') IS NOT NULL GROUP BY 1, 2)"""
+
+ORACLE["events_transform_stats"] = _report().replace(with_(SPLIT), with_(EVENTS)).replace(
+    "FROM train)", "FROM ev)")
+ORACLE["events_labels_top_tied"] = with_(EVENTS) + """
+SELECT user_id, track_id, count FROM (
+  SELECT *, max(count) OVER (PARTITION BY user_id) AS top FROM ev) WHERE count = top"""
