@@ -18,12 +18,34 @@ from pyspark.sql import functions as F
 from reclab.session import ensure_checkpoint_dir, scratch_path
 
 
+# Up to this many rows a plain single-task window is cheaper than the
+# distributed path (one job instead of sample + write + offsets); the row
+# count is measured before choosing, so the single task stays bounded.
+SINGLE_TASK_MAX_ROWS = 1_000_000
+
+
 def global_index(df: DataFrame, order: list, idx_col: str = "idx",
-                 num_partitions: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None,
+                 single_task_max_rows: int | None = None) -> DataFrame:
     """Add ``idx_col`` = 0-based position of each row in ``order``.
 
     ``order`` must be a total order (add a unique tie-breaker); the result is
     then deterministic and equals ``row_number() over (order by ...) - 1``."""
+    if single_task_max_rows is None:
+        single_task_max_rows = SINGLE_TASK_MAX_ROWS
+    if single_task_max_rows <= 0:
+        return _distributed_index(df, order, idx_col, num_partitions)
+    df = df.persist()
+    if df.count() <= single_task_max_rows:
+        w = Window.orderBy(*order)
+        return df.withColumn(idx_col, (F.row_number().over(w) - 1).cast("long"))
+    out = _distributed_index(df, order, idx_col, num_partitions)  # written eagerly
+    df.unpersist()
+    return out
+
+
+def _distributed_index(df: DataFrame, order: list, idx_col: str,
+                       num_partitions: int | None) -> DataFrame:
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     # Without an explicit count AQE may merge small ranges; merged partitions

@@ -51,10 +51,12 @@ def test_equals_string_indexer(spark):
 
 def test_global_index_equals_row_number(spark):
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 1000).alias("a"), F.col("id").alias("b"))
-    ours = global_index(df, [F.desc("a"), F.asc("b")], num_partitions=7)
+    ours = global_index(df, [F.desc("a"), F.asc("b")], num_partitions=7, single_task_max_rows=0)
     ref = df.withColumn("idx", F.row_number().over(Window.orderBy(F.desc("a"), F.asc("b"))) - 1)
     assert ours.select("a", "b", "idx").exceptAll(ref.select("a", "b", "idx")).count() == 0
     assert ours.count() == 5000
+    small = global_index(df, [F.desc("a"), F.asc("b")])  # single-task path
+    assert small.select("a", "b", "idx").exceptAll(ref.select("a", "b", "idx")).count() == 0
 
 
 def test_result_independent_of_partitioning(spark):

@@ -19,7 +19,10 @@ def skewed(spark):
     return hot.unionByName(rest).repartition(16).cache()
 
 
-def test_ordered_positions_exact(spark, skewed):
+def test_ordered_positions_exact(spark, skewed, monkeypatch):
+    from reclab.operators import ordering
+
+    monkeypatch.setattr(ordering, "SINGLE_TASK_MAX_ROWS", 0)  # force the distributed path
     ours = lb.ordered_labels(skewed)
     base = lb.labels(skewed)
     w = Window.partitionBy("user").orderBy(F.desc("count"), F.asc("item"))
