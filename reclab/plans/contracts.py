@@ -256,3 +256,17 @@ def final_test_eval(spark, sf):
     _, _, (_, _, test) = data.formatted(spark, sf)
     best_row = sw.best(_swept(spark, sf)).first()
     return final_test(train, test, best_row, k=100, max_iter=ITERS)
+
+
+@register(with_(SPLIT) + f"""
+SELECT CAST({N_VAL_WARM_USERS} AS BIGINT) AS n_users, CAST(0 AS BIGINT) AS n_seen_left,
+       CAST({N_VAL_WARM_USERS} AS BIGINT) AS n_users_dense_pos""")
+def recs_exclude_seen_contract(spark, sf):
+    """Top-500 with already-heard items removed (left anti join on the train
+    pairs): none remains, and positions are renumbered 0..n-1 per user."""
+    train, val, model = _fitted(spark, sf)
+    recs = A.exclude_seen(A.to_long(A.recommend_users(model, K, val)), train).cache()
+    per_user = recs.groupBy("user").agg(F.max("pos").alias("mx"), F.count(F.lit(1)).alias("n"))
+    return _row(per_user.agg(F.count(F.lit(1)).alias("n_users"),
+                             F.sum((F.col("mx") == F.col("n") - 1).cast("long")).alias("n_users_dense_pos")),
+                recs.join(train, ["user", "item"], "left_semi").agg(F.count(F.lit(1)).alias("n_seen_left")))
