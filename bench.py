@@ -5,6 +5,9 @@ Each query is forced to completion through the ``noop`` sink (every row
 computed, nothing collected).  ``als_evaluate`` is the reference's headline
 operation: fit one implicit ALS model and score its top-500 lists for the
 validation users with precision@10/500, MAP and nDCG@500.
+
+``BENCH_EVENT_LOG=<dir>`` writes Spark's event log there (stage and task
+times without the UI).
 """
 
 from __future__ import annotations
@@ -30,7 +33,13 @@ def main():
     from reclab.plans.registry import load_all
     from reclab.session import build_session
 
-    spark = build_session(f"local[{cpus}]", int(cpus))
+    log_dir = os.environ.get("BENCH_EVENT_LOG")  # stage/task times, read offline
+    extra = {}
+    if log_dir:
+        os.makedirs(log_dir, exist_ok=True)
+        extra = {"spark.eventLog.enabled": "true",
+                 "spark.eventLog.dir": f"file://{os.path.abspath(log_dir)}"}
+    spark = build_session(f"local[{cpus}]", int(cpus), extra=extra)
     queries, _ = load_all()
     # warm the JVM (class loading, codegen caches) on a trivial job
     spark.range(1000).selectExpr("sum(id)").collect()

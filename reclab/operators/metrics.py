@@ -38,7 +38,8 @@ def _idcg(m: Column, k: int) -> Column:
 def per_user_metrics(recs: DataFrame, labels: DataFrame, ks=(10,), map_k=(),
                      cold: str = "drop", user_col: str = "user", item_col: str = "item",
                      pos_col: str = "pos", include_unlabeled: bool = False,
-                     list_rows: int | None = None, group_col: str | None = None) -> DataFrame:
+                     list_rows: int | None = None, group_col: str | None = None,
+                     groups: list | None = None) -> DataFrame:
     """One row per evaluated user (per group): ``scored`` flag and every metric.
 
     Users come from ``labels``; ``cold="zero"`` keeps label users without
@@ -47,7 +48,8 @@ def per_user_metrics(recs: DataFrame, labels: DataFrame, ks=(10,), map_k=(),
     empty label set).  For a global list, ``list_rows`` (its known size, e.g.
     the k of a top-k) saves counting it before choosing to broadcast it.
     ``group_col`` scores several lists at once (for example one per count
-    strategy): every user is evaluated under every group."""
+    strategy): every user is evaluated under every group; ``groups`` names
+    the group values when the caller knows them (saves a pass over ``recs``)."""
     if cold not in ("drop", "zero"):
         raise ValueError("cold must be drop or zero")
     ks, map_k = sorted(set(ks)), sorted(set(map_k))
@@ -70,7 +72,8 @@ def per_user_metrics(recs: DataFrame, labels: DataFrame, ks=(10,), map_k=(),
     if group_col:
         # every label user is evaluated under every group; the group values
         # are few (one per compared list), so they travel as a literal array
-        groups = [r[0] for r in recs.select(group_col).distinct().collect()]
+        if groups is None:
+            groups = [r[0] for r in recs.select(group_col).distinct().collect()]
         m = m.withColumn(group_col, F.explode(F.array(*[F.lit(g) for g in groups])))
     users = m.join(hp, keys, "left")
     if scored is not None:
@@ -104,12 +107,13 @@ def per_user_metrics(recs: DataFrame, labels: DataFrame, ks=(10,), map_k=(),
 def ranking_metrics(recs: DataFrame, labels: DataFrame, ks=(10,), map_k=(), cold: str = "drop",
                     digits: int | None = 5, user_col: str = "user", item_col: str = "item",
                     pos_col: str = "pos", include_unlabeled: bool = False,
-                    list_rows: int | None = None, group_col: str | None = None) -> DataFrame:
+                    list_rows: int | None = None, group_col: str | None = None,
+                    groups: list | None = None) -> DataFrame:
     """One row (per group): users averaged, users with labels but no
     recommendations, and the mean of each metric (rounded last, to ``digits``
     places)."""
     pu = per_user_metrics(recs, labels, ks, map_k, cold, user_col, item_col, pos_col,
-                          include_unlabeled, list_rows, group_col)
+                          include_unlabeled, list_rows, group_col, groups)
     metric_cols = [c for c in pu.columns if c not in (user_col, group_col, "scored", "m")]
 
     def r(c):

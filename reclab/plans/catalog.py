@@ -303,7 +303,7 @@ def variant_compare(spark, sf):
     recs = popularity_topk_by_group(long, POP_K, "how", "v", item_col="track_id")
     m = mt.ranking_metrics(recs.select("how", F.col("track_id").alias("item"), "pos"), lab,
                            ks=(10, POP_K), cold="drop", list_rows=POP_K * len(cn.HOWS),
-                           group_col="how")
+                           group_col="how", groups=list(cn.HOWS))
     return m.select("how", "n_users_scored", "precision_at_10", "map", "ndcg_at_50")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "reclab") -> SparkSession:
+                  app_name: str = "reclab", extra: dict | None = None) -> SparkSession:
     """Session with AQE on and the UI off.  On a cluster pass master=None and let
     spark-submit decide; the settings below are then only defaults."""
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -27,6 +27,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    for key, value in (extra or {}).items():
+        builder = builder.config(key, value)
     if master is not None:
         builder = builder.master(master)
     spark = builder.getOrCreate()
