@@ -79,11 +79,19 @@ def _recall_row(exact, approx, share):
                     F.lit(0.0 < share <= 1.0).alias("share_in_range"))
 
 
+_SEARCH: dict = {}
+
+
 def _search_inputs(spark, sf):
-    q, items = _unit(spark, sf), _scaled(spark, sf)
-    part = S.fit_partitions(items)
-    exact = S.mips_exact(q, part, TOP, PROBES, exclude_self=True).cache()
-    return q, items, part, exact
+    """Queries, items, their clustering and the exact top-k: once per session
+    and data (shared by the recall queries)."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _SEARCH:
+        q, items = _unit(spark, sf), _scaled(spark, sf)
+        part = S.fit_partitions(items)
+        exact = S.mips_exact(q, part, TOP, PROBES, exclude_self=True).cache()
+        _SEARCH[key] = (q, items, part, exact)
+    return _SEARCH[key]
 
 
 @register(RECALL_SQL)
