@@ -32,3 +32,18 @@ def test_three_jobs_end_to_end(spark, tmp_out):
     assert none_left.count() == 0
     logged = io.read_results(spark, f"{tmp_out}/results")
     assert logged.count() == 2 and logged.where(F.col("map").between(0, 1)).count() == 2
+
+
+def test_cli_prepare_train_evaluate(spark, tmp_out, capsys):
+    train, val, test = data.splits(spark, SF_SMALL)
+    raw = {}
+    for name, df in (("train", train), ("val", val), ("test", test)):
+        raw[name] = f"{tmp_out}/r_{name}"
+        io.write_table(df, raw[name])
+    fmt, models, res = f"{tmp_out}/f", f"{tmp_out}/m", f"{tmp_out}/res"
+    jobs.main(["prepare", raw["train"], raw["val"], raw["test"], fmt, "--fraction", "0.5"])
+    jobs.main(["train", fmt, models, "--ranks", "3", "--regs", "0.1", "--alphas", "1"])
+    jobs.main(["evaluate", fmt, models, res, "--ranks", "3", "--regs", "0.1", "--alphas", "1",
+               "--k", "20"])
+    assert io.read_results(spark, res).count() == 1
+    assert "map" in capsys.readouterr().out
