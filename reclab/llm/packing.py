@@ -30,9 +30,9 @@ WINDOW = 2048
 END = 1
 #: Windows of pieces that one block gathers.
 BLOCK_WINDOWS = 192
-TOKENIZER = "byte_bpe_50k.json"
-#: Words whose ids a worker remembers before it forgets them all.
-MEMO_WORDS = 250_000
+TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
+#: Words whose ids a worker remembers; the set before it is kept as long again.
+MEMO_WORDS = 300_000
 
 
 def differencing(sizes, parts: int) -> list[list[int]]:
@@ -108,12 +108,15 @@ class Encoder:
 
     The byte-level split always starts a new piece at a space before a
     non-space character, so the ids of a text are those of its space-led words
-    in a row; ids of words met before are remembered (a bounded memo).  Texts
-    with other white space next to a space, or with a special token's string,
-    go through the tokenizer whole.
+    in a row; ids of words met lately are remembered (a bounded memo).  New
+    words of common characters are merged by the rank file of the same
+    vocabulary, many in one call: a word's ids begin where a piece begins with
+    a space.  Other words, texts with other white space next to a space, and
+    texts with a special token's string go through the tokenizer itself.
     """
 
     def __init__(self, path: str | None):
+        import base64
         import json
         import os
         import re
@@ -121,10 +124,18 @@ class Encoder:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.merge = None
         if path is None:
             import public_tokenizers
+            import tiktoken
 
             path = public_tokenizers.path(TOKENIZER)
+            with open(public_tokenizers.path(RANKS), "rb") as lines:
+                ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+            self.merge = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN,
+                                           mergeable_ranks=ranks, special_tokens={})
+            self.leads = np.zeros(max(ranks.values()) + 1, bool)
+            self.leads[[r for piece, r in ranks.items() if piece.startswith(b" ")]] = True
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             rules = json.load(f)
@@ -134,25 +145,53 @@ class Encoder:
         special = [re.escape(t["content"]) for t in rules.get("added_tokens", [])]
         # a white space other than a single space beside a space, or a space at the end
         self.whole = re.compile("|".join([r" \s", r" \Z", *special]))
+        # characters whose class is beyond doubt in either library
+        self.rare = re.compile(r"[^\t\n\r!-~\u00a1-\u024f]")
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         batch = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in batch]
 
+    def _learn(self, words: list[str]) -> None:
+        """Put the ids of new words (without their space) into the memo."""
+        if len(self.words) > MEMO_WORDS:
+            self.words, self.older = {}, self.words
+        fresh = []
+        for w in words:
+            known = self.older.get(w)
+            if known is None:
+                fresh.append(w)
+            else:
+                self.words[w] = known
+        rare = fresh if self.merge is None else [w for w in fresh if self.rare.search(w)]
+        if rare:
+            self.words.update(zip(rare, self._encode([" " + w for w in rare]), strict=True))
+            fresh = [] if self.merge is None else [w for w in fresh if w not in self.words]
+        if fresh:
+            ids = np.array(self.merge.encode_ordinary(" " + " ".join(fresh)), "<u4")
+            at = (np.flatnonzero(self.leads[ids]) * 4).tolist()
+            raw = ids.tobytes()
+            self.words.update(zip(fresh, [raw[i:j] for i, j in zip(at, [*at[1:], len(raw)], strict=True)],
+                                  strict=True))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [None if not self.by_word or self.whole.search(t) else t.split(" ") for t in texts]
-        if len(self.words) > MEMO_WORDS:
-            self.words = {}
-        memo = self.words
         fresh = set()
         for parts in split:
             if parts:
                 fresh.update(parts[1:])
-        fresh.difference_update(memo)
+        fresh.difference_update(self.words)
+        memo = self.words
         if fresh:
-            new = list(fresh)
-            memo.update(zip(new, self._encode([" " + w for w in new]), strict=True))
+            before = memo
+            self._learn(list(fresh))
+            memo = self.words
+            if memo is not before:  # a new memo: words of this batch come along
+                for parts in split:
+                    if parts:
+                        memo.update((w, before[w]) for w in parts[1:] if w not in memo)
         # the first word has no space before it
         whole = self._encode([t if p is None else p[0] for t, p in zip(texts, split, strict=True)])
         return [w if p is None else w + b"".join([memo[x] for x in p[1:]])
