@@ -2,11 +2,24 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, packing, sharding, token_counts
+from . import (
+    decontaminate,
+    exact_dedup,
+    language_id,
+    packing,
+    quality,
+    secrets,
+    sharding,
+    token_counts,
+)
 
 QUERIES = {
     "op1_token_counts": token_counts.query,
+    "op2_language_id": language_id.query,
+    "op3_decontamination": decontaminate.query,
     "op4_sharding": sharding.query,
+    "op5_quality": quality.query,
+    "op6_secret_scan": secrets.query,
     "op7_packing": packing.query,
     "op9_exact_dedup": exact_dedup.query,
 }
