@@ -287,7 +287,11 @@ def pack_documents(docs: DataFrame, window: int = WINDOW, tokenizer: str | None
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECES)
 
 
-def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = pack_documents(common.documents(spark, sf_dir))
+def digests(pieces: DataFrame) -> DataFrame:
+    """The pieces with a CRC-32 in place of their ids."""
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
                          "doc_tokens", "sequence_id", "offset")
+
+
+def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(pack_documents(common.documents(spark, sf_dir)))

@@ -6,8 +6,10 @@ from . import (
     decontaminate,
     exact_dedup,
     language_id,
+    ngram_join,
     packing,
     quality,
+    repeats,
     secrets,
     sharding,
     token_counts,
@@ -21,7 +23,9 @@ QUERIES = {
     "op5_quality": quality.query,
     "op6_secret_scan": secrets.query,
     "op7_packing": packing.query,
+    "op8_suffix_dedup": repeats.query,
     "op9_exact_dedup": exact_dedup.query,
+    "op10_ngram_join": ngram_join.query,
 }
 
 ORACLES = {"op9_exact_dedup": exact_dedup.ORACLE_SQL}
