@@ -131,12 +131,6 @@ def with_recipes(docs: DataFrame, width: int, names=("recipe", "text_sha256", "n
         names, (T.BinaryType(), T.StringType(), T.LongType()), strict=True)))
 
 
-def _keeper():
-    """Most code points, then the smallest doc_id (null ids last)."""
-    return F.min(F.struct((-F.col("n_points")).alias("p"), F.col("doc_id").isNull().alias("z"),
-                          F.col("doc_id").alias("i")))
-
-
 def groups(recipes: DataFrame) -> DataFrame:
     """One row per distinct text: recipe, group_size, keep_id, keep_points,
     keep_rows (rows that carry keep_id with that length: over 1 only for
@@ -162,8 +156,10 @@ def exact_duplicates(docs: DataFrame, width: int = IDENTIFIER) -> DataFrame:
     """
     docs = docs.select("doc_id", "text")
     rows = common.written(with_recipes(docs, verified_width(docs, width)).drop("text"), "recipes")
-    # a hot recipe meets one group row: a join that Spark may split by rows
-    return rows.join(groups(rows), "recipe").select(
+    # written first, so that the join's two sides are plain exchanges: a hot
+    # recipe's rows all meet one group row, and Spark may split them
+    found = common.written(groups(rows), "recipe-groups")
+    return rows.join(found, "recipe").select(
         "doc_id", "keep_id", "group_size",
         (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n_points") == F.col("keep_points"))).alias("kept"),
         "text_sha256")
@@ -175,7 +171,7 @@ def deduplicate(docs: DataFrame, width: int = IDENTIFIER) -> DataFrame:
     names = [common.free_name(docs, n) for n in ("recipe", "text_sha256", "n_points")]
     width = verified_width(docs.select("doc_id", "text"), width)
     narrow = with_recipes(docs.select("doc_id", "text"), width).drop("text")
-    found = groups(narrow).select(*[F.col(c).alias(f"_dedup_{c}") for c in (
+    found = common.written(groups(narrow), "recipe-groups").select(*[F.col(c).alias(f"_dedup_{c}") for c in (
         "recipe", "keep_id", "keep_points", "keep_rows")])
     rows = with_recipes(docs, width, names)
     kept = rows.join(found, (F.col(names[0]) == F.col("_dedup_recipe"))
