@@ -127,7 +127,7 @@ def infer(logp: np.ndarray, buckets: np.ndarray, docs: np.ndarray, n_docs: int):
     full[pick, np.arange(n)] = 2  # the best single language comes first
     order = np.argsort(-full, axis=0, kind="stable")
     value = single[pick, np.arange(n)]
-    chosen = (value > -weight * math.log(BUCKETS)).astype(np.int64)
+    chosen = np.ones(n, np.int64)
     shares = np.zeros((n_langs, n), np.float32)
     shares[pick, np.arange(n)] = 1
     growing = np.arange(n)  # documents whose set may take a k-th language
@@ -148,7 +148,7 @@ def infer(logp: np.ndarray, buckets: np.ndarray, docs: np.ndarray, n_docs: int):
         growing = won
     best[present] = np.argmax(shares, axis=0)
     score[present] = np.max(shares, axis=0)
-    size[present] = chosen
+    size[present] = np.where(value > -weight * math.log(BUCKETS), chosen, 0)
     return best, score, size
 
 

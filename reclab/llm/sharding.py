@@ -56,7 +56,7 @@ def _below(keys: np.ndarray, rows: np.ndarray, k: np.ndarray, r: np.ndarray) ->
 
 
 def _bucketed(table: DataFrame, bounds: list[int], name: str) -> DataFrame:
-    pairs = [_split(b) for b in bounds]
+    pairs = [_split(min(b, _TOP - 1)) for b in bounds]
     keys = np.array([p[0] for p in pairs], np.int64)
     rows = np.array([p[1] for p in pairs], np.int64)
     schema = T.StructType([*table.schema.fields, T.StructField(name, T.IntegerType())])
