@@ -36,7 +36,8 @@ BASE = [
 WEAK = [
     ("user", r"""(?i)\b(?:user(?:name|_?id)?|login|account|client_?id)["']?\x20{0,4}[:=]\x20{0,4}["']?[A-Za-z0-9@._-]{3,}""",
      0, 0, "identifier"),
-    ("bare", r"(?<![A-Za-z0-9+/])(?=[A-Za-z+/]{0,64}[0-9])(?=[a-z0-9+/]{0,64}[A-Z])[A-Za-z0-9+/]{20,64}(?![A-Za-z0-9+/])",
+    ("bare", r"(?<![A-Za-z0-9+/])(?=[A-Za-z+/]{0,64}[0-9])(?=[a-z0-9+/]{0,64}[A-Z])(?=[A-Z0-9+/]{0,64}[a-z])"
+     r"[A-Za-z0-9+/]{20,64}(?![A-Za-z0-9+/])",
      0, 0, "secret"),
     ("endpoint", r"""(?:https?|ftp|jdbc:[a-z0-9]{1,16}|postgres(?:ql)?|mongodb|redis|amqps?)://[^\s"'<>]{3,}""",
      0, 0, "endpoint"),
