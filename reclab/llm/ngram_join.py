@@ -8,12 +8,18 @@ one of these, so a token held by one node needs no further thought.
 
 Groups: the nodes that share an indexed token are compared with the one among
 them that shares most (the centre); nodes similar to a centre form its group.
-Token-group matrix: per token, the groups whose members hold it, with their
-sizes and components.  A node is a query to a group if they meet in the matrix
-and are not yet known to be connected.  Groups are kept in blocks of bounded
-size; a block stores the union of its members' tokens, which bounds the overlap
-of a query with every member.  Only blocks whose bound reaches the needed
-overlap are opened, and their members' exact overlaps counted.  Copies and near
+Token-group matrix: per token, the groups whose members hold it.  A node is a
+query to a group if they meet in the matrix and are not yet known to be
+connected.
+
+Bounds come before any set is moved.  A fixed quarter of the token space is
+kept for every node as a short sketch; what two sketches share, plus what lies
+outside them, bounds the overlap of the sets.  A query is bounded against a
+group's centre: since 1 - Jaccard is a distance, a member within 1 - t of its
+centre can only be within 1 - t of a query if the centre is within 2 (1 - t).
+Groups that qualify are opened in blocks of bounded size; a block stores the
+union of its members' tokens, which bounds the overlap of a query with each of
+them once more, and only then are exact overlaps counted.  Copies and near
 copies meet at their centre instead of in pairs, and no link between
 different components is lost.
 """
@@ -44,6 +50,9 @@ _LOWER[ord("A"):ord("Z") + 1] += 32
 _NOT_SPACE = (~common.SPACE).astype(np.uint8)
 _ORDER = [np.uint64(c) for c in np.random.RandomState(4).randint(1, 1 << 62, 64, dtype=np.uint64) * 2 + 1]
 _SIZE = np.uint64((1 << 24) - 1)
+#: Documents whose sets are wanted are named to every task up to this many
+#: (16 bytes each); beyond it they are joined by a shuffle.
+BROADCAST_IDS = 200_000
 
 
 def shingle_sets(array, width: int):
@@ -91,6 +100,18 @@ def _name(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return a.view(np.int64), ((b & ~_SIZE) | size).view(np.int64)
 
 
+def _sketches(hashes: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    """Of each sorted set: 16 bits of every token in the lowest quarter of the
+    token space, in order."""
+    low = hashes < np.uint64(1 << 62)
+    value = ((hashes >> np.uint64(46)) & np.uint64(0xFFFF)).astype("<u2")
+    ends = np.cumsum(counts)
+    upto = np.r_[0, np.cumsum(low)]
+    starts = ends - counts
+    return [value[s:s + n].tobytes() for s, n in zip(
+        starts.tolist(), (upto[ends] - upto[starts]).tolist(), strict=True)]
+
+
 def _size(node: str):
     return F.col(f"{node}.c").bitwiseAND((1 << 24) - 1)
 
@@ -101,8 +122,8 @@ def _needed(n, percent):
 
 
 def _survey(docs: DataFrame, width: int) -> DataFrame:
-    """A row per document (doc_id, n, node) and, from every task, the parts of
-    its counting sketch."""
+    """A row per document (doc_id, n, a, c, its sketch as data) and, from every
+    task, the parts of its counting sketch."""
     def run(batches):
         counts = np.zeros(SKETCH, np.int64)
         for batch in batches:
@@ -115,17 +136,18 @@ def _survey(docs: DataFrame, width: int) -> DataFrame:
             sizes = np.concatenate([x[1] for x in got]) if got else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(sizes.astype(np.int64)), pa.array(a), pa.array(c),
-                pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
-                names=["doc_id", "n", "a", "c", "part", "counts"])
+                pa.nulls(n, pa.int32()),
+                pa.array([x for h, k in got for x in _sketches(h, k)], pa.binary())],
+                names=["doc_id", "n", "a", "c", "part", "data"])
         parts = counts.reshape(_PARTS, -1)
         none = pa.nulls(_PARTS, pa.int64())
         yield pa.RecordBatch.from_arrays(
             [none, none, none, none, pa.array(range(_PARTS), pa.int32()),
              pa.array([p.tobytes() for p in parts], pa.binary())],
-            names=["doc_id", "n", "a", "c", "part", "counts"])
+            names=["doc_id", "n", "a", "c", "part", "data"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, n long, a long, c long, part int, counts binary")
+        run, "doc_id long, n long, a long, c long, part int, data binary")
 
 
 def _tiers(survey: DataFrame) -> np.ndarray:
@@ -142,7 +164,7 @@ def _tiers(survey: DataFrame) -> np.ndarray:
                 [pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())],
                 names=["part", "counts"])
 
-    rows = (survey.where("part IS NOT NULL").select("part", "counts").repartition("part")
+    rows = (survey.where("part IS NOT NULL").select("part", "data").repartition("part")
             .mapInArrow(add, "part int, counts binary").collect())
     counts = np.zeros((_PARTS, SKETCH // _PARTS))
     for r in rows:
@@ -213,13 +235,60 @@ def _postings(index: DataFrame) -> DataFrame:
         "token", F.struct("a", "c").alias("node"))
 
 
+def _chosen(survey: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, z, i): the least document of each wanted node, i its id (z: null)."""
+    known = survey.where("part IS NULL AND n > 0").select("doc_id", F.struct("a", "c").alias("node"))
+    return known.groupBy("node").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("z"), F.coalesce("doc_id", F.lit(-1)).alias("i"))).alias("k")).join(
+            nodes, "node", "left_semi").select("node", "k.z", "k.i")
+
+
+def _sketch_table(survey: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, sketch) of the wanted nodes."""
+    rows = survey.where("part IS NULL AND n > 0").select(
+        F.struct("a", "c").alias("node"), F.col("doc_id").isNull().alias("z"),
+        F.coalesce("doc_id", F.lit(-1)).alias("i"), F.col("data").alias("sketch"))
+    return rows.join(_chosen(survey, nodes), ["node", "z", "i"], "left_semi").dropDuplicates(["node"]).select(
+        "node", "sketch")
+
+
+def _bounded(pairs: DataFrame, sketches: DataFrame, left: str, right: str) -> DataFrame:
+    """The rows of ``pairs`` (two node columns, ``least`` percent) whose sketches
+    allow a Jaccard similarity of at least ``least``."""
+    columns = pairs.columns
+    joined = pairs.join(sketches.select(F.col("node").alias(left), F.col("sketch").alias("sketch_l")), left).join(
+        sketches.select(F.col("node").alias(right), F.col("sketch").alias("sketch_r")), right)
+    joined = joined.select(*columns, _size(left).alias("size_l"), _size(right).alias("size_r"),
+                           "sketch_l", "sketch_r")
+    at = {n: k for k, n in enumerate(joined.columns)}
+    full = int(_SIZE)
+
+    def run(batches):
+        for batch in batches:
+            x, y = batch.column(at["size_l"]).to_numpy(), batch.column(at["size_r"]).to_numpy()
+            least = batch.column(at["least"]).to_numpy()
+            keep = (x >= full) | (y >= full) | (least <= 0)
+            a, b = batch.column(at["sketch_l"]), batch.column(at["sketch_r"])
+            needed = -(-(least * (x + y)) // (100 + least))
+            for k in np.flatnonzero(~keep).tolist():
+                p, q = (np.frombuffer(v[k].as_buffer(), "<u2") for v in (a, b))
+                rest = min(x[k] - len(p), y[k] - len(q))
+                if rest + min(len(p), len(q)) < needed[k]:
+                    continue
+                if len(p) and len(q):  # tokens of a value in both, as often as in either
+                    value, n = np.unique(p, return_counts=True)
+                    rest += int(np.minimum(n, np.searchsorted(q, value, "right") - np.searchsorted(q, value)).sum())
+                keep[k] = rest >= needed[k]
+            yield batch.filter(pa.array(keep)).select(columns)
+
+    return joined.mapInArrow(run, pairs.schema)
+
+
 def _sets(docs: DataFrame, survey: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     """(node, tokens binary) of the wanted nodes, from one document of each."""
-    known = survey.where("part IS NULL AND n > 0").select("doc_id", F.struct("a", "c").alias("node"))
-    chosen = known.groupBy("node").agg(F.min(F.struct(
-        F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("i"))).alias("k")).join(
-            nodes, "node", "left_semi").select(F.col("k.i").alias("i"), "node")
-    ids = chosen.select(F.coalesce("i", F.lit(-1)).alias("i"), F.col("i").isNull().alias("z")).distinct()
+    ids = common.written(_chosen(survey, nodes).select("z", "i").distinct(), "set-ids")
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("i"),
                         F.col("doc_id").isNull().alias("z"), "text").join(ids, ["i", "z"], "left_semi")
 
@@ -364,53 +433,57 @@ def node_links(docs: DataFrame, survey: DataFrame, width: int, percent: int) ->
     rated = share.select("node", F.floor(F.least(F.lit(1000), 1000 * F.col("shared") / indexed)).alias("rate"))
     centre = posts.join(rated, "node").groupBy("token").agg(
         F.max(F.struct("rate", "node")).alias("m")).select("token", F.col("m.node").alias("centre"))
-    stars = common.written(
-        posts.join(centre, "token").groupBy("node", "centre").agg(F.count(F.lit(1)).alias("common")), "stars")
-    sets = common.written(_sets(docs, survey, share.select("node"), width), "sets")
+    stars = common.written(posts.join(centre, "token").select("node", "centre").distinct(), "stars")
+    sketches = common.written(_sketch_table(survey, share.select("node")), "sketches")
     tries = stars.where((F.col("node") != F.col("centre")) & _compatible(percent, _size("node"), _size("centre")))
+    tries = common.written(_bounded(
+        tries.withColumn("least", F.lit(percent).cast("long")), sketches, "node", "centre"), "tries")
     block = F.lit(0).alias("block")
     roles = tries.select("node", F.col("centre").alias("home"), block, F.lit(True).alias("query")).unionByName(
         tries.select(F.col("centre").alias("node"), F.col("centre").alias("home"), block,
                      F.lit(False).alias("query")).distinct())
-    first = common.written(_open(sets, roles, percent), "links")
+    roles = common.written(roles, "roles")
+    first = common.written(_open(_sets(docs, survey, roles.select("node"), width), roles, percent), "links")
     comps = components(first)
-    # a node's group: itself if a centre, else a similar centre, else the one it shares most with
-    linked = first.select(F.col("u").alias("node"), F.col("v").alias("centre"), F.lit(False).alias("apart"))
-    own = stars.join(linked, ["node", "centre"], "left").select("node", F.struct(
-        (F.col("node") != F.col("centre")).alias("other"),
-        (F.coalesce("apart", F.lit(True)) & (F.col("node") != F.col("centre"))).alias("apart"),
-        (-F.col("common")).alias("c"), F.col("centre").alias("home")).alias("h"))
+    # a node's group: itself if a centre, else the least centre it is similar to, else itself
+    centres = stars.where("node = centre").select("node").distinct().withColumn("is_centre", F.lit(True))
+    joined = first.select(F.col("u").alias("node"), F.col("v").alias("home")).groupBy("node").agg(
+        F.min("home").alias("near"))
     homes = common.written(
-        own.groupBy("node").agg(F.min("h").alias("h")).select(
-            "node", F.col("h.home").alias("home"), (~F.col("h.apart")).alias("linked"))
-        .join(comps, "node", "left").select("node", "home", "linked", F.coalesce("comp", "node").alias("comp")),
-        "homes")
-    crowd = homes.groupBy("home").agg(F.count(F.lit(1)).alias("crowd"))
-    # the token-group matrix, only where a token still sees two components
-    held = posts.join(homes, "node").withColumn("n", _size("node"))
-    cells = held.groupBy("token", "home").agg(
-        F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.min("n").alias("n0"), F.max("n").alias("n1"))
-    split = cells.groupBy("token").agg(F.min("c0").alias("t0"), F.max("c1").alias("t1")).where("t0 != t1").select("token")
-    cells = cells.join(split, "token", "left_semi").join(crowd, "home")
-    asking = held.join(split, "token", "left_semi").join(crowd.withColumnRenamed("crowd", "mine"), "home").select(
-        "token", "node", "n", "linked", "comp", F.col("home").alias("from"), "mine")
-    full = F.lit((1 << 24) - 1)
-    meets = (100 * F.col("n1") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("n0"))
+        share.select("node").join(centres, "node", "left").join(joined, "node", "left").join(comps, "node", "left")
+        .select("node", F.when(F.col("is_centre"), F.col("node")).otherwise(F.coalesce("near", "node")).alias("home"),
+                F.coalesce("comp", "node").alias("comp")), "homes")
+    crowd = homes.groupBy("home").agg(
+        F.count(F.lit(1)).alias("crowd"), F.min(_size("node")).alias("n0"), F.max(_size("node")).alias("n1"))
+    # the token-group matrix (members of a group are one component), only where
+    # a token still sees two components
+    held = posts.join(homes, "node")
+    split = held.groupBy("token").agg(F.min("comp").alias("t0"), F.max("comp").alias("t1")).where(
+        "t0 != t1").select("token")
+    matrix = held.join(split, "token", "left_semi")
+    cells = matrix.select("token", "home", F.col("comp").alias("group_comp")).distinct().join(crowd, "home")
+    asking = matrix.select("token", "node", "comp", F.col("home").alias("from")).join(
+        crowd.select(F.col("home").alias("from"), F.col("crowd").alias("mine")), "from")
+    full = F.lit(int(_SIZE))
+    n = _size("node")
+    meets = (100 * F.col("n1") >= percent * n) & (100 * n >= percent * F.col("n0"))
+    smaller = (F.struct(F.col("mine").alias("m"), F.col("from").alias("h"))
+               < F.struct(F.col("crowd").alias("m"), F.col("home").alias("h")))
     queries = asking.join(cells, "token").where(
-        ((F.col("c0") != F.col("comp")) | (F.col("c1") != F.col("comp")))
-        & (meets | (F.col("n") >= full) | (F.col("n1") >= full))
-        & F.when(F.col("from") == F.col("home"), ~F.col("linked")).otherwise(
-            F.struct(F.col("mine").alias("m"), F.col("from").alias("h"))
-            < F.struct(F.col("crowd").alias("m"), F.col("home").alias("h")))).select(
-                "node", "home", "crowd").distinct()
-    queries = common.written(queries, "queries")
+        (F.col("comp") != F.col("group_comp")) & smaller & (meets | (n >= full) | (F.col("n1") >= full))).select(
+            "node", "home", "crowd").distinct()
+    # a group of one is its centre; members of a larger one are near theirs
+    queries = queries.withColumn("least", F.when(F.col("crowd") == 1, percent).otherwise(
+        max(0, 2 * percent - 100)).cast("long"))
+    queries = common.written(_bounded(queries, sketches, "node", "home"), "queries")
     blocks = F.ceil(F.col("crowd") / BLOCK).cast("int")
-    asked = queries.select("home").distinct()
-    members = homes.join(asked, "home", "left_semi").join(crowd, "home").select(
+    asked = queries.select("home", "crowd").distinct()
+    members = homes.join(asked, "home").select(
         "node", "home", F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"), F.lit(False).alias("query"))
     callers = queries.select("node", "home", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"),
                              F.lit(True).alias("query"))
-    second = common.written(_open(sets, members.unionByName(callers), percent), "links")
+    roles = common.written(members.unionByName(callers), "roles")
+    second = common.written(_open(_sets(docs, survey, roles.select("node"), width), roles, percent), "links")
     return first.unionByName(second)
 
 
