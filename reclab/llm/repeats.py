@@ -12,7 +12,7 @@ occurs.
 
 Dictionary and parse: a document becomes its list of phrases, and each phrase
 has two names, that of its kernel (the bytes after the trigger that all its
-strings hold) and that of its whole content (128 bits together).
+strings hold) and that of its whole content (over 120 bits together).
 Occurrences of a content after its first in corpus order are repeats
 as a whole; this settles highly repetitive text one phrase at a time, and
 where a map task sees several occurrences it settles them before any exchange.
@@ -42,15 +42,17 @@ WIDTH, SPAN = 12, 64
 
 _A, _B = common.RollingHash(81), common.RollingHash(82)
 _LOW = np.uint64(0xFFFFFFFF)
+_STARTS = np.uint64(2 * SPAN - 1)
 
 
 def phrases(data: np.ndarray, offsets: np.ndarray, match: int = MATCH):
     """Phrases of consecutive documents: (document, first start in it, number
-    of starts, kernel name, content name, other content name)."""
+    of starts, kernel name, content name).  A content's name holds the number
+    of its starts in the lowest bits; with the kernel's it has over 120 bits."""
     n = len(data)
     none = np.zeros(0, np.int64)
     if n < match:
-        return none, none, none, *(np.zeros(0, np.uint64),) * 3
+        return none, none, none, *(np.zeros(0, np.uint64),) * 2
     a, b = _A.prefix(data), _B.prefix(data)
     gram = _A.windows(a, WIDTH)
     # least hash, rightmost of equals: the position counts downwards below the hash
@@ -70,65 +72,80 @@ def phrases(data: np.ndarray, offsets: np.ndarray, match: int = MATCH):
     at = trigger[start]
     cut = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (doc[1:] != doc[:-1])]) if len(start) else none
     lo, anchor, doc = start[cut], at[cut], doc[cut]
-    count = np.diff(np.r_[cut, len(start)])
-    hi = lo + count - 1 + match
+    count = np.diff(np.r_[cut, len(start)])  # at most SPAN
     kernel = _A.spans(a, anchor, anchor + match - SPAN + 1)
     # a content is its bytes and where the trigger stands in them
-    place = common.mix((anchor - lo).astype(np.uint64) + np.uint64(1))
-    return (doc, lo - offsets[doc], count, kernel, _A.spans(a, lo, hi) ^ place, _B.spans(b, lo, hi) + place)
+    content = _B.spans(b, lo, lo + count - 1 + match) ^ common.mix((anchor - lo).astype(np.uint64) + np.uint64(1))
+    return doc, lo - offsets[doc], count, kernel, (content & ~_STARTS) | count.astype(np.uint64)
 
 
-def _first_of(keys: list[np.ndarray], order: list[np.ndarray]):
-    """For rows grouped by ``keys``: a sort by keys then ``order``, where each
-    group begins in it."""
-    by = np.lexsort([*order[::-1], *keys[::-1]])
-    new = np.ones(len(by), bool)
-    if len(by):
-        new[1:] = False
-        for k in keys:
-            k = k[by]
-            new[1:] |= k[1:] != k[:-1]
-    return by, new
+#: One row of the two exchanges: where it goes, its name, and its place: the
+#: hash of the text, the start, and whether it is settled.  What is settled
+#: goes anywhere; what is not goes to the kernel (or first half of its name).
+ROWS = "route long, name long, doc_id long, place long"
 
 
-_SETTLED, _OPEN = 1, 0
-PHRASES = "route long, kernel long, a long, b long, doc_id long, text long, start int, n int, settled int"
+def _place(text: np.ndarray, start: np.ndarray, settled: np.ndarray) -> np.ndarray:
+    return (text.astype(np.int64) << 32) | (start.astype(np.int64) << 1) | settled
+
+
+def _unplace(place: np.ndarray):
+    return (place >> 32).astype(np.int32), ((place >> 1) & 0x7FFFFFFF).astype(np.int32), (place & 1).astype(bool)
+
+
+def _first_places(keys: list[np.ndarray], doc_id: np.ndarray, start: np.ndarray):
+    """Rows in the order of their keys, then place; which of them begin a new
+    key; and which stand later than the first of theirs (an equal position is
+    the same place of a repeated row, not a later one)."""
+    by = np.lexsort([start, doc_id, *keys[::-1]])
+    new = np.zeros(len(by), bool)
+    new[:1] = True
+    for k in keys:
+        k = k[by]
+        new[1:] |= k[1:] != k[:-1]
+    lead = by[np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))] if len(by) else by
+    return by, new, (doc_id[by] != doc_id[lead]) | (start[by] != start[lead])
+
+
+def _local(kernel, name, doc_id, text, start):
+    """A step's rows, settled where an equal one stands earlier in the step."""
+    by, _, later = _first_places([kernel, name], doc_id, start)
+    settled = np.zeros(len(by), np.int64)
+    settled[by] = later
+    route = np.where(settled == 1, common.mix(name + start.astype(np.uint64)), kernel)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(route.view(np.int64)), pa.array(name.view(np.int64)), pa.array(doc_id),
+         pa.array(_place(text, start, settled))], names=["route", "name", "doc_id", "place"])
 
 
 def _parse(docs: DataFrame, match: int) -> DataFrame:
-    """Phrases of all documents; ``settled``: an equal one stands earlier in
-    the same step of the same task (routed by itself, not by its kernel)."""
+    """Phrases of all documents (ROWS)."""
     def run(batches):
         for batch in batches:
             data, offsets = common.buffers(batch.column(2))
-            ids, name = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            ids, text = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for i, j in common.steps(offsets):
                 marks = offsets[i:j + 1] - offsets[i]
-                doc, start, n, kernel, a, b = phrases(data[offsets[i]:offsets[j]], marks, match)
-                if not len(doc):
-                    continue
-                doc_id, text = ids[i + doc], name[i + doc]
-                by, new = _first_of([kernel, a, b], [doc_id, start])
-                lead = by[np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))]
-                settled = np.zeros(len(by), np.int32)
-                # an equal position is the same place of a repeated row, not an earlier one
-                settled[by] = (doc_id[by] != doc_id[lead]) | (start[by] != start[lead])
-                route = np.where(settled == _SETTLED, common.mix(a + start.astype(np.uint64)), kernel)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(route.view(np.int64)), pa.array(kernel.view(np.int64)), pa.array(a.view(np.int64)),
-                    pa.array(b.view(np.int64)), pa.array(doc_id), pa.array(text),
-                    pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(settled)],
-                    names=[f.split()[0] for f in PHRASES.split(", ")])
+                doc, start, _, kernel, name = phrases(data[offsets[i]:offsets[j]], marks, match)
+                if len(doc):
+                    yield _local(kernel, name, ids[i + doc], text[i + doc], start)
 
-    return docs.mapInArrow(run, PHRASES)
+    return docs.mapInArrow(run, ROWS)
 
 
-def _table(batches) -> dict[str, np.ndarray]:
-    got = pa.Table.from_batches(list(batches))
-    return {n: got.column(n).to_numpy() for n in got.column_names}
+def _columns(batches):
+    table = pa.Table.from_batches([b for b in batches if b.num_rows], schema=None)
+    route, name, doc_id, place = (table.column(n).to_numpy() for n in ("route", "name", "doc_id", "place"))
+    return route, name, doc_id, *_unplace(place)
 
 
-_FLAGS = "doc_id long, text long, start int, n int, open boolean"
+_FLAGS = "doc_id long, text int, start int, n int, open boolean"
+
+
+def _flags(doc_id, text, start, n, opened):
+    return pa.RecordBatch.from_arrays(
+        [pa.array(doc_id), pa.array(text), pa.array(start), pa.array(n.astype(np.int32)), pa.array(opened)],
+        names=["doc_id", "text", "start", "n", "open"])
 
 
 def _settle(parsed: DataFrame) -> DataFrame:
@@ -138,37 +155,30 @@ def _settle(parsed: DataFrame) -> DataFrame:
         batches = [b for b in batches if b.num_rows]
         if not batches:
             return
-        t = _table(batches)
-        out = {k: [t[k][t["settled"] == _SETTLED]] for k in ("doc_id", "text", "start", "n")}
-        opened = [np.zeros(len(out["doc_id"][0]), bool)]
-        t = {k: v[t["settled"] == _OPEN] for k, v in t.items()}
-        by, new = _first_of([t["kernel"], t["a"], t["b"]], [t["doc_id"], t["start"]])
-        lead = by[np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))] if len(by) else by
-        repeat = (t["doc_id"][by] != t["doc_id"][lead]) | (t["start"][by] != t["start"][lead])
-        kernel = t["kernel"][by]
-        fresh = np.r_[True, kernel[1:] != kernel[:-1]] if len(by) else new
-        contents = np.add.reduceat(new.astype(np.int64), np.flatnonzero(fresh)) if len(by) else np.zeros(0, int)
-        several = np.repeat(contents > 1, np.diff(np.r_[np.flatnonzero(fresh), len(by)])) if len(by) else new
-        for mark, flag in ((repeat, False), (~repeat & several, True)):
-            for k in out:
-                out[k].append(t[k][by[mark]])
-            opened.append(np.full(int(mark.sum()), flag))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(out[k])) for k in ("doc_id", "text", "start", "n")]
-            + [pa.array(np.concatenate(opened))], names=["doc_id", "text", "start", "n", "open"])
+        route, name, doc_id, text, start, settled = _columns(batches)
+        n = (name & int(_STARTS)).astype(np.int32)
+        yield _flags(doc_id[settled], text[settled], start[settled], n[settled], np.zeros(settled.sum(), bool))
+        rest = np.flatnonzero(~settled)
+        if not len(rest):
+            return
+        by, new, later = _first_places([route[rest], name[rest]], doc_id[rest], start[rest])
+        by = rest[by]
+        kernel = route[by]
+        edge = np.flatnonzero(np.r_[True, kernel[1:] != kernel[:-1]])
+        several = np.repeat(np.add.reduceat(new.astype(np.int64), edge) > 1, np.diff(np.r_[edge, len(by)]))
+        for mark, flag in ((later, False), (~later & several, True)):
+            at = by[mark]
+            yield _flags(doc_id[at], text[at], start[at], n[at], np.full(len(at), flag))
 
     return parsed.repartition("route").mapInArrow(run, _FLAGS)
 
 
-_SUFFIXES = "route long, a long, b long, doc_id long, text long, start int, settled int"
-
-
 def _suffixes(opened: DataFrame, match: int) -> DataFrame:
-    """Names of the strings at every start of the open phrases."""
+    """Names (ROWS) of the strings at every start of the open phrases."""
     def run(batches):
         for batch in batches:
             data, offsets = common.buffers(batch.column(2))
-            ids, names = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            ids, text = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             spans = batch.column(3)
             for i, j in common.steps(offsets):
                 own = data[offsets[i]:offsets[j]]
@@ -179,19 +189,10 @@ def _suffixes(opened: DataFrame, match: int) -> DataFrame:
                 start = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.r_[0, np.cumsum(n)[:-1]], n)
                 doc = np.repeat(doc, n)
                 at = start + offsets[doc] - offsets[i]
-                a = _A.spans(_A.prefix(own), at, at + match)
-                b = _B.spans(_B.prefix(own), at, at + match)
-                by, new = _first_of([a, b], [ids[doc], start])
-                lead = by[np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))]
-                settled = np.zeros(len(by), np.int32)
-                settled[by] = (ids[doc][by] != ids[doc][lead]) | (start[by] != start[lead])
-                route = np.where(settled == _SETTLED, common.mix(b + start.astype(np.uint64)), a)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(route.view(np.int64)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)),
-                    pa.array(ids[doc]), pa.array(names[doc]), pa.array(start.astype(np.int32)),
-                    pa.array(settled)], names=[f.split()[0] for f in _SUFFIXES.split(", ")])
+                yield _local(_A.spans(_A.prefix(own), at, at + match), _B.spans(_B.prefix(own), at, at + match),
+                             ids[doc], text[doc], start)
 
-    return opened.mapInArrow(run, _SUFFIXES)
+    return opened.mapInArrow(run, ROWS)
 
 
 def _order(suffixes: DataFrame) -> DataFrame:
@@ -200,26 +201,23 @@ def _order(suffixes: DataFrame) -> DataFrame:
         batches = [b for b in batches if b.num_rows]
         if not batches:
             return
-        t = _table(batches)
-        by, new = _first_of([t["route"], t["a"], t["b"]], [t["doc_id"], t["start"]])
-        lead = by[np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))]
-        repeat = (t["doc_id"][by] != t["doc_id"][lead]) | (t["start"][by] != t["start"][lead])
-        at = by[repeat | (t["settled"][by] == _SETTLED)]
-        doc, text, start = t["doc_id"][at], t["text"][at], t["start"][at]
+        route, name, doc_id, text, start, settled = _columns(batches)
+        by, _, later = _first_places([route, name], doc_id, start)
+        at = by[later | settled[by]]
+        doc, text, start = doc_id[at], text[at], start[at]
         order = np.lexsort([start, text, doc])
         doc, text, start = doc[order], text[order], start[order]
-        cut = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (text[1:] != text[:-1])
-                                   | (start[1:] != start[:-1] + 1)]) if len(doc) else np.zeros(0, int)
-        n = np.diff(np.r_[cut, len(doc)]).astype(np.int32)
-        yield pa.RecordBatch.from_arrays([
-            pa.array(doc[cut]), pa.array(text[cut]), pa.array(start[cut]), pa.array(n),
-            pa.array(np.zeros(len(cut), bool))], names=["doc_id", "text", "start", "n", "open"])
+        if len(doc):
+            cut = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (text[1:] != text[:-1])
+                                       | (start[1:] != start[:-1] + 1)])
+            n = np.diff(np.r_[cut, len(doc)])
+            yield _flags(doc[cut], text[cut], start[cut], n, np.zeros(len(cut), bool))
 
     return suffixes.repartition("route").mapInArrow(run, _FLAGS)
 
 
 def _removal(match: int, keep_text: bool):
-    fields = "doc_key long, text_key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    fields = "doc_key long, text_key int, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
     def run(batches):
         for batch in batches:
@@ -265,15 +263,15 @@ def remove_repeats(docs: DataFrame, match: int = MATCH, keep_text: bool = True)
 
     Null texts count as empty; texts shorter than ``match`` bytes lose nothing.
     A null doc_id comes after all others.  Rows that share a doc_id count as
-    one document: positions in them compare by start only, and repeated rows
-    (same doc_id and text) are not copies of each other, they lose the same
-    bytes.  Empty table: empty result.  Extra columns are ignored.
+    one document (their texts told apart by 32 bits): positions in them compare
+    by start only, and repeated rows (same doc_id and text) are not copies of
+    each other, they lose the same bytes.  Empty table: empty result.  Extra columns are ignored.
     """
     if match < SPAN + WIDTH:
         raise ValueError(f"match must be at least {SPAN + WIDTH}")
     keyed = docs.select(
         F.coalesce(F.col("doc_id"), F.lit(_NULL)).cast("long").alias("doc_id"),
-        F.xxhash64("text").alias("key"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+        F.hash("text").alias("key"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     long_ = keyed.where(F.octet_length("text") >= match)
     flags = common.written(_settle(_parse(long_, match)), "repeat-phrases")
     span = F.struct("start", "n").alias("span")
