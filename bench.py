@@ -34,11 +34,11 @@ def main():
     from reclab.session import build_session
 
     log_dir = os.environ.get("BENCH_EVENT_LOG")  # stage/task times, read offline
-    extra = {}
+    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
     if log_dir:
         os.makedirs(log_dir, exist_ok=True)
-        extra = {"spark.eventLog.enabled": "true",
-                 "spark.eventLog.dir": f"file://{os.path.abspath(log_dir)}"}
+        extra |= {"spark.eventLog.enabled": "true",
+                  "spark.eventLog.dir": f"file://{os.path.abspath(log_dir)}"}
     spark = build_session(f"local[{cpus}]", int(cpus), extra=extra)
     queries, _ = load_all()
     # warm the JVM (class loading, codegen caches) on a trivial job

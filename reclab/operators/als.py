@@ -4,8 +4,6 @@ in/out-block routing) is Spark's own; nothing here re-implements it."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,9 +14,9 @@ from reclab.session import ensure_checkpoint_dir
 
 
 def default_blocks(spark) -> int:
-    """User/item blocks: one per core up to a ceiling, so the block count
-    grows with the cluster instead of Spark ML's fixed 10."""
-    return max(10, min(spark.sparkContext.defaultParallelism, 2000))
+    """User/item blocks: one per core, so the block count grows with the
+    cluster instead of Spark ML's fixed 10 (``num_blocks`` overrides it)."""
+    return max(10, spark.sparkContext.defaultParallelism)
 
 
 def fit_als(train: DataFrame, rank: int = 10, reg_param: float = 0.1, alpha: float = 1.0,
@@ -48,35 +46,28 @@ def score(model: ALSModel, pairs: DataFrame, cold: str = "drop") -> DataFrame:
     return model.copy().setColdStartStrategy(cold).transform(pairs)
 
 
-def block_size_for(spark, n_rows: int, n_cols: int) -> int:
-    """Factor block size for top-k: the largest of 4096/2048/1024/512 that
-    still yields at least two block pairs per core (small problems otherwise
-    run in a handful of tasks; large ones keep Spark's 4096)."""
-    want = 2 * spark.sparkContext.defaultParallelism
-    for bs in (4096, 2048, 1024):
-        if math.ceil(n_rows / bs) * math.ceil(n_cols / bs) >= want:
-            return bs
-    return 512
+#: Factors in a block of the blocked top-k (Spark ML's default of 4096
+#: leaves few tasks per stage until there are hundreds of thousands of factors).
+TOPK_BLOCK = 1024
 
 
-def recommend_users(model: ALSModel, k: int, users: DataFrame | None = None) -> DataFrame:
+def recommend_users(model: ALSModel, k: int, users: DataFrame | None = None,
+                    block_size: int = TOPK_BLOCK) -> DataFrame:
     """Top-``k`` items per user (all users with factors, or a subset).  Spark
     scores blocks of users against blocks of items and keeps a bounded
     top-k per user, so no full score matrix is materialised."""
-    spark = model.userFactors.sparkSession
-    ucol = model.getUserCol()
-    subset = None if users is None else users.select(ucol).distinct()
-    n_u = (model.userFactors if subset is None else subset).count()
-    m = model.copy().setBlockSize(block_size_for(spark, n_u, model.itemFactors.count()))
-    return m.recommendForAllUsers(k) if subset is None else m.recommendForUserSubset(subset, k)
+    m = model.copy().setBlockSize(block_size)
+    if users is None:
+        return m.recommendForAllUsers(k)
+    return m.recommendForUserSubset(users.select(model.getUserCol()).distinct(), k)
 
 
-def recommend_items(model: ALSModel, k: int, items: DataFrame | None = None) -> DataFrame:
-    spark = model.itemFactors.sparkSession
-    subset = None if items is None else items.select(model.getItemCol()).distinct()
-    n_i = (model.itemFactors if subset is None else subset).count()
-    m = model.copy().setBlockSize(block_size_for(spark, n_i, model.userFactors.count()))
-    return m.recommendForAllItems(k) if subset is None else m.recommendForItemSubset(subset, k)
+def recommend_items(model: ALSModel, k: int, items: DataFrame | None = None,
+                    block_size: int = TOPK_BLOCK) -> DataFrame:
+    m = model.copy().setBlockSize(block_size)
+    if items is None:
+        return m.recommendForAllItems(k)
+    return m.recommendForItemSubset(items.select(model.getItemCol()).distinct(), k)
 
 
 def to_long(recs: DataFrame, key_col: str = "user", value_col: str = "item") -> DataFrame:
@@ -86,6 +77,34 @@ def to_long(recs: DataFrame, key_col: str = "user", value_col: str = "item") ->
         F.col("r.rating").alias("rating"))
 
 
+def recommend_unseen(model: ALSModel, k: int, users: DataFrame, seen: DataFrame) -> DataFrame:
+    """``(user, pos, item, rating)``: the best ``k`` items that a user has not
+    seen, or all of them where fewer are left.
+
+    A user with s seen items needs at most k + s candidates.  Users are taken
+    in groups by the power of two above s, so each group asks for at most
+    twice what its users need; there are as many groups as doublings."""
+    ucol, icol = model.getUserCol(), model.getItemCol()
+    known = model.itemFactors.select(F.col("id").alias(icol))
+    wanted = users.select(ucol).distinct()
+    pairs = (seen.select(ucol, icol).distinct().join(wanted, ucol, "left_semi")
+             .join(known, icol, "left_semi"))
+    counted = wanted.join(pairs.groupBy(ucol).agg(F.count(F.lit(1)).alias("_seen")), ucol, "left")
+    bound = F.when(F.col("_seen").isNull(), 0).otherwise(
+        F.pow(F.lit(2), F.ceil(F.log2("_seen"))).cast("long"))
+    grouped = counted.select(ucol, bound.alias("_bound"))
+    n_items = model.itemFactors.count()
+    out = None
+    for row in grouped.select("_bound").distinct().orderBy("_bound").collect():  # one per doubling
+        part = grouped.where(F.col("_bound") == row["_bound"]).select(ucol)
+        recs = to_long(recommend_users(model, min(n_items, k + row["_bound"]), part), ucol, icol)
+        out = recs if out is None else out.unionByName(recs)
+    if out is None:
+        return to_long(recommend_users(model, k, wanted), ucol, icol)
+    kept = exclude_seen(out, pairs, ucol, icol)
+    return kept.where(F.col("pos") < k)
+
+
 def exclude_seen(recs_long: DataFrame, seen: DataFrame, user_col: str = "user",
                  item_col: str = "item") -> DataFrame:
     """Drop already-seen items and renumber positions.  The window runs per

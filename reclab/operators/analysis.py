@@ -2,47 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def error_by_group(recs: DataFrame, labels: DataFrame, side: DataFrame, group_col: str,
                    item_col: str = "item", user_col: str = "user", digits: int = 5) -> DataFrame:
-    """Per group of items (and a total row, ``ALL``): recommended slots, label
-    rows, hits; the group's share of recommendations and of labels, their
-    ratio (over/under-representation) and the hit rate of its label rows.
+    """Per group of items: recommended slots, label rows, hits; the group's
+    share of recommendations and of labels, their ratio (over/under-
+    representation) and the hit rate of its label rows.
 
-    ``recs`` is long per user ``(user, pos, item)`` or one global list
-    ``(pos, item)``; a global list is broadcast (its size is k)."""
+    ``kind`` tells a ``group`` row from the ``unknown`` one (items without side
+    data or with a NULL group) and the ``total``; the group column is NULL in
+    both.  An item may carry several groups (tags): it counts in each, and the
+    total counts slots and labels once per tag.  ``recs`` is long per user
+    ``(user, pos, item)`` or one global list ``(pos, item)``."""
     g = side.select(F.col(item_col), F.col(group_col).cast("string").alias("grp"))
-    lab = labels.select(user_col, item_col)
-    if user_col in recs.columns:
-        hits = recs.select(user_col, item_col).join(lab, [user_col, item_col])
-    else:
-        hits = lab.join(F.broadcast(recs.select(item_col)), item_col)
-    rec_rows = recs.select(item_col).join(g, item_col, "left")
-    lab_rows = lab.join(g, item_col, "left")
-    hit_rows = hits.join(g, item_col, "left")
+    lab = labels.select(user_col, item_col).distinct()
+    keys = [user_col, item_col] if user_col in recs.columns else [item_col]
+    hits = lab.join(recs.select(*keys), keys)
 
     def counts(df, name):
-        return (df.fillna({"grp": "UNKNOWN"}).rollup("grp").agg(F.count(F.lit(1)).alias(name))
-                .withColumn("grp", F.coalesce("grp", F.lit("ALL"))))
+        return df.join(g, item_col, "left").rollup("grp").agg(
+            F.grouping("grp").alias("total"), F.count(F.lit(1)).alias(name))
 
-    out = (counts(lab_rows, "n_label_rows")
-           .join(counts(rec_rows, "n_rec_slots"), "grp", "full")
-           .join(counts(hit_rows, "n_hits"), "grp", "left")
-           .fillna(0, ["n_label_rows", "n_rec_slots", "n_hits"]))
-    # totals from the rollup's own ALL row; the window runs over one row per
-    # group (a handful for item types), not over data rows
-    everything = Window.partitionBy()
-    out = (out.withColumn("_tl", F.max(F.when(F.col("grp") == "ALL", F.col("n_label_rows")))
-                          .over(everything))
-           .withColumn("_tr", F.max(F.when(F.col("grp") == "ALL", F.col("n_rec_slots")))
-                       .over(everything)))
+    def same(a, b):
+        return a["grp"].eqNullSafe(b["grp"]) & (a["total"] == b["total"])
+
+    a, b, c = counts(lab, "n_label_rows"), counts(recs.select(*keys), "n_rec_slots"), counts(hits, "n_hits")
+    out = a.join(b, same(a, b), "full").select(
+        F.coalesce(a["grp"], b["grp"]).alias("grp"), F.coalesce(a["total"], b["total"]).alias("total"),
+        "n_label_rows", "n_rec_slots")
+    out = out.join(c, same(out, c), "left").select(out["grp"], out["total"], "n_label_rows", "n_rec_slots", "n_hits")
+    out = out.fillna(0, ["n_label_rows", "n_rec_slots", "n_hits"])
+    sums = out.where("total = 1").select(F.lit(0).alias("_k"), F.col("n_label_rows").alias("_tl"),
+                                         F.col("n_rec_slots").alias("_tr"))
+    out = out.withColumn("_k", F.lit(0)).join(F.broadcast(sums), "_k")  # one row
     rec_share = F.col("n_rec_slots") / F.col("_tr")
     lab_share = F.col("n_label_rows") / F.col("_tl")
     return out.select(
-        F.col("grp").alias(group_col), "n_rec_slots", "n_label_rows", "n_hits",
+        F.col("grp").alias(group_col),
+        F.when(F.col("total") == 1, "total").when(F.col("grp").isNull(), "unknown").otherwise("group").alias("kind"),
+        "n_rec_slots", "n_label_rows", "n_hits",
         F.round(rec_share, digits).alias("rec_share"),
         F.round(lab_share, digits).alias("label_share"),
         F.round(F.when(lab_share > 0, rec_share / lab_share), digits).alias("share_ratio"),

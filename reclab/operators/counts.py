@@ -60,25 +60,42 @@ def transform_report(df: DataFrame, hows=HOWS, min_count: int = 2, cap: float =
                      digits: int = 5) -> DataFrame:
     """One row per strategy: rows kept and removed, users and items that keep
     at least one row, rows whose value became 0 (no signal for ALS), and the
-    sum/min/max of the values.  One scan for all strategies."""
-    long = variants_long(df, hows, min_count, cap, keep_removed=True, cols=(user_col, item_col),
-                         col=col)
-    kept = F.col("v").isNotNull()
-    return long.groupBy("how").agg(
-        F.count("v").alias("rows_kept"),
-        F.sum((~kept).cast("long")).alias("rows_removed"),
-        F.countDistinct(F.when(kept, F.col(user_col))).alias("users_kept"),
-        F.countDistinct(F.when(kept, F.col(item_col))).alias("items_kept"),
-        F.sum((F.col("v") == 0).cast("long")).alias("rows_zero"),
-        F.round(F.sum("v"), digits).alias("value_sum"),
-        F.round(F.min("v"), digits).alias("value_min"),
-        F.round(F.max("v"), digits).alias("value_max"),
-    )
-
-
-def check_signal(df: DataFrame, col: str = "count", user_col: str = "user") -> dict:
-    """Pre-fit check (one aggregation): NULL/NaN ratings and users left with
-    only zero ratings.  Raises with the cause named instead of letting the
+    sum/min/max of the values.
+
+    One aggregation gives the sums of all strategies without multiplying rows.
+    A strategy removes rows by one of two rules (count > 0, count >=
+    min_count), so users and items kept come from two flags per user and per
+    item."""
+    c = F.col(col)
+
+    def stats(how):
+        v = _value(how, c, min_count, cap)
+        return F.struct(
+            F.lit(how).alias("how"), F.count(v).alias("rows_kept"),
+            (F.count(F.lit(1)) - F.count(v)).alias("rows_removed"),
+            F.sum((v == 0).cast("long")).alias("rows_zero"), F.round(F.sum(v), digits).alias("value_sum"),
+            F.round(F.min(v), digits).alias("value_min"), F.round(F.max(v), digits).alias("value_max"),
+            F.lit(how == "drop").alias("by_min"))
+
+    rows = df.agg(F.array(*[stats(h) for h in hows]).alias("s")).select(F.explode("s").alias("s")).select("s.*")
+    rules = {True: c >= min_count, False: (c > 0)}
+
+    def kept(key, name):
+        flags = df.groupBy(key).agg(*[F.max(F.coalesce(rule, F.lit(False)).cast("int")).alias(f"k{int(b)}")
+                                      for b, rule in rules.items()])
+        n = flags.agg(F.sum("k1").alias("n1"), F.sum("k0").alias("n0"))
+        return n.select(F.explode(F.array(*[F.struct(
+            F.lit(b).alias("by_min"), F.coalesce(F.col(f"n{int(b)}"), F.lit(0)).cast("long").alias(name))
+            for b in rules])).alias("x")).select("x.*")
+
+    return (rows.join(kept(user_col, "users_kept"), "by_min").join(kept(item_col, "items_kept"), "by_min")
+            .select("how", "rows_kept", "rows_removed", "users_kept", "items_kept", "rows_zero",
+                    "value_sum", "value_min", "value_max"))
+
+
+def check_signal(df: DataFrame, col: str = "count") -> dict:
+    """Pre-fit check (one aggregation): no rows, NULL/NaN ratings, or nothing
+    but zero ratings.  Raises with the cause named instead of letting the
     solver fail later with a singular matrix."""
     row = df.agg(
         F.count(F.lit(1)).alias("rows"),

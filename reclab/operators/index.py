@@ -22,8 +22,8 @@ def fit_index(df: DataFrame, col: str) -> DataFrame:
               .groupBy(F.col(col).cast("string").alias("label"))
               .agg(F.count(F.lit(1)).alias("freq")))
     mapped = global_index(counts, [F.desc("freq"), F.asc("label")], idx_col="idx")
-    # joined into every split: keep one computed copy (one row per label)
-    return mapped.select("label", F.col("idx").cast("int").alias("idx"), "freq").persist()
+    # the order was written once; every split that joins the mapping rereads it
+    return mapped.select("label", F.col("idx").cast("int").alias("idx"), "freq")
 
 
 def apply_index(df: DataFrame, mapping: DataFrame, col: str, out_col: str,

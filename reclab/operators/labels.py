@@ -28,8 +28,9 @@ def labels(df: DataFrame, how: str = "full", user_col: str = "user", item_col: s
         return base
     if how == "top_tied":
         top = base.groupBy(user_col).agg(F.max(count_col).alias("_top"))
-        return (base.join(top, user_col)
-                .where(F.col(count_col) == F.col("_top")).drop("_top"))
+        # on (user, count): a heavy user's rows are spread by their counts
+        return base.join(top.withColumnRenamed("_top", count_col), [user_col, count_col], "left_semi").select(
+            user_col, item_col, count_col)
     raise ValueError(f"how must be one of {HOWS}")
 
 
@@ -37,13 +38,16 @@ def ordered_labels(df: DataFrame, user_col: str = "user", item_col: str = "item"
                    count_col: str = "count") -> DataFrame:
     """``(user, item, count, label_pos)``: each user's items by count desc then
     item asc, position from 0.  Positions come from one distributed global
-    order minus each user's first position, so a heavy user is spread over
-    range partitions instead of one window task."""
+    order minus each user's first position.  First positions are joined on
+    (user, range) with one row per pair that occurs, so a heavy user stays
+    spread over the ranges it was sorted in."""
     base = labels(df, "full", user_col, item_col, count_col)
     ranked = global_index(base, [F.asc(user_col), F.desc(count_col), F.asc(item_col)],
-                          idx_col="_g")
-    first = ranked.groupBy(user_col).agg(F.min("_g").alias("_g0"))
-    return (ranked.join(first, user_col)
+                          idx_col="_g", range_col="_range")
+    seen = ranked.groupBy(user_col, "_range").agg(F.min("_g").alias("_first"))
+    first = seen.groupBy(user_col).agg(F.min("_first").alias("_g0"))
+    starts = seen.select(user_col, "_range").join(first, user_col)
+    return (ranked.join(starts, [user_col, "_range"])
             .select(user_col, item_col, count_col,
                     (F.col("_g") - F.col("_g0")).cast("int").alias("label_pos")))
 

@@ -19,10 +19,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A global list of at most this many rows is broadcast; longer ones are joined
-# with a shuffle.
-BROADCAST_LIST_MAX = 100_000
-
 
 def _sum_array(arr: Column) -> Column:
     return F.aggregate(arr, F.lit(0.0).cast("double"), lambda acc, x: acc + x)
@@ -38,15 +34,16 @@ def _idcg(m: Column, k: int) -> Column:
 def per_user_metrics(recs: DataFrame, labels: DataFrame, ks=(10,), map_k=(),
                      cold: str = "drop", user_col: str = "user", item_col: str = "item",
                      pos_col: str = "pos", include_unlabeled: bool = False,
-                     list_rows: int | None = None, group_col: str | None = None,
-                     groups: list | None = None) -> DataFrame:
+                     group_col: str | None = None, groups: list | None = None,
+                     scored_users: DataFrame | None = None) -> DataFrame:
     """One row per evaluated user (per group): ``scored`` flag and every metric.
+    Labels are a set: repeated (user, item) rows count once.
 
     Users come from ``labels``; ``cold="zero"`` keeps label users without
     recommendations (scoring 0), ``include_unlabeled`` adds users with
     recommendations but no labels (scoring 0, as ``RankingMetrics`` does for an
-    empty label set).  For a global list, ``list_rows`` (its known size, e.g.
-    the k of a top-k) saves counting it before choosing to broadcast it.
+    empty label set).  ``scored_users`` names the users that were scored where
+    the caller knows them (saves reading ``recs`` a second time).
     ``group_col`` scores several lists at once (for example one per count
     strategy): every user is evaluated under every group; ``groups`` names
     the group values when the caller knows them (saves a pass over ``recs``)."""
@@ -54,18 +51,15 @@ def per_user_metrics(recs: DataFrame, labels: DataFrame, ks=(10,), map_k=(),
         raise ValueError("cold must be drop or zero")
     ks, map_k = sorted(set(ks)), sorted(set(map_k))
     keys = [group_col, user_col] if group_col else [user_col]
-    lab = labels.select(user_col, item_col)
+    lab = labels.select(user_col, item_col).distinct()
     m = lab.groupBy(user_col).agg(F.count(F.lit(1)).alias("m"))
     gcols = [group_col] if group_col else []
     if user_col in recs.columns:
         hits = recs.select(*gcols, user_col, item_col, pos_col).join(lab, [user_col, item_col])
-        scored = recs.select(*keys).distinct().withColumn("scored", F.lit(True))
+        scored = (scored_users if scored_users is not None else recs).select(*keys).distinct().withColumn(
+            "scored", F.lit(True))
     else:
-        glist = recs.select(*gcols, item_col, pos_col)
-        n_list = list_rows if list_rows is not None else glist.count()
-        if n_list <= BROADCAST_LIST_MAX:
-            glist = F.broadcast(glist)
-        hits = lab.join(glist, item_col)
+        hits = lab.join(recs.select(*gcols, item_col, pos_col), item_col)  # AQE broadcasts a list it measures small
         scored = None
     hp = (hits.groupBy(*keys)
           .agg(F.array_sort(F.collect_list(F.col(pos_col).cast("int"))).alias("hp")))
@@ -107,13 +101,16 @@ def per_user_metrics(recs: DataFrame, labels: DataFrame, ks=(10,), map_k=(),
 def ranking_metrics(recs: DataFrame, labels: DataFrame, ks=(10,), map_k=(), cold: str = "drop",
                     digits: int | None = 5, user_col: str = "user", item_col: str = "item",
                     pos_col: str = "pos", include_unlabeled: bool = False,
-                    list_rows: int | None = None, group_col: str | None = None,
-                    groups: list | None = None) -> DataFrame:
-    """One row (per group): users averaged, users with labels but no
-    recommendations, and the mean of each metric (rounded last, to ``digits``
+                    group_col: str | None = None, groups: list | None = None,
+                    scored_users: DataFrame | None = None) -> DataFrame:
+    """One row (per group): users scored, users with labels but no
+    recommendations (both always counted), and the mean of each metric, over
+    scored users only with ``cold="drop"`` (rounded last, to ``digits``
     places)."""
-    pu = per_user_metrics(recs, labels, ks, map_k, cold, user_col, item_col, pos_col,
-                          include_unlabeled, list_rows, group_col, groups)
+    if cold not in ("drop", "zero"):
+        raise ValueError("cold must be drop or zero")
+    pu = per_user_metrics(recs, labels, ks, map_k, "zero", user_col, item_col, pos_col,
+                          include_unlabeled, group_col, groups, scored_users)
     metric_cols = [c for c in pu.columns if c not in (user_col, group_col, "scored", "m")]
 
     def r(c):
@@ -124,7 +121,8 @@ def ranking_metrics(recs: DataFrame, labels: DataFrame, ks=(10,), map_k=(), cold
 
     aggs = [F.sum(F.col("scored").cast("long")).alias("n_users_scored"),
             F.sum((~F.col("scored")).cast("long")).alias("n_users_cold")]
-    aggs += [r(F.avg(c)).alias(name(c)) for c in metric_cols]
+    counted = F.col("scored") | F.lit(cold == "zero")
+    aggs += [r(F.avg(F.when(counted, F.col(c)))).alias(name(c)) for c in metric_cols]
     return pu.groupBy(group_col).agg(*aggs) if group_col else pu.agg(*aggs)
 
 

@@ -15,39 +15,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reclab.session import ensure_checkpoint_dir, scratch_path
-
-
-# Up to this many rows a plain single-task window is cheaper than the
-# distributed path (one job instead of sample + write + offsets); the row
-# count is measured before choosing, so the single task stays bounded.
-SINGLE_TASK_MAX_ROWS = 1_000_000
-
+from reclab.session import scratch_path
 
 def global_index(df: DataFrame, order: list, idx_col: str = "idx",
-                 num_partitions: int | None = None,
-                 single_task_max_rows: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None, range_col: str | None = None) -> DataFrame:
     """Add ``idx_col`` = 0-based position of each row in ``order``.
 
     ``order`` must be a total order (add a unique tie-breaker); the result is
-    then deterministic and equals ``row_number() over (order by ...) - 1``."""
-    if single_task_max_rows is None:
-        single_task_max_rows = SINGLE_TASK_MAX_ROWS
-    if single_task_max_rows <= 0:
-        return _distributed_index(df, order, idx_col, num_partitions)
-    df = df.persist()
-    if df.count() <= single_task_max_rows:
-        w = Window.orderBy(*order)
-        return df.withColumn(idx_col, (F.row_number().over(w) - 1).cast("long"))
-    out = _distributed_index(df, order, idx_col, num_partitions)  # written eagerly
-    df.unpersist()
-    return out
-
-
-def _distributed_index(df: DataFrame, order: list, idx_col: str,
-                       num_partitions: int | None) -> DataFrame:
+    then deterministic and equals ``row_number() over (order by ...) - 1``.
+    ``range_col`` keeps the number of the range a row was sorted in."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     # Without an explicit count AQE may merge small ranges; merged partitions
     # are still contiguous ranges in order, so the offsets stay correct.
     ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
@@ -58,6 +35,7 @@ def _distributed_index(df: DataFrame, order: list, idx_col: str,
              F.monotonically_increasing_id().alias("_gi_mid"))
      .write.parquet(path))
     tagged = spark.read.parquet(path)
+    # one row per range: the only thing that a single task orders
     before = Window.orderBy("_gi_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         tagged.groupBy("_gi_pid")
@@ -65,7 +43,8 @@ def _distributed_index(df: DataFrame, order: list, idx_col: str,
         .select("_gi_pid", "_gi_m0",
                 F.coalesce(F.sum("_gi_n").over(before), F.lit(0)).alias("_gi_off"))
     )
+    kept = [F.col("_gi_pid").alias(range_col)] if range_col else []
     return tagged.join(F.broadcast(offsets), "_gi_pid").select(
-        *[F.col(c) for c in df.columns],
+        *[F.col(c) for c in df.columns], *kept,
         (F.col("_gi_off") + F.col("_gi_mid") - F.col("_gi_m0")).alias(idx_col),
     )

@@ -136,3 +136,19 @@ def describe(df: DataFrame, col: str = "count", group_col: str | None = None,
             F.round(F.stddev_samp(col), digits).alias("stddev"),
             F.min(col).alias("min"), F.max(col).alias("max")]
     return df.groupBy(group_col).agg(*aggs) if group_col else df.agg(*aggs)
+
+
+def describe_columns(df: DataFrame, digits: int = 5) -> DataFrame:
+    """``describe()`` of every column, one row each: count, mean and sample
+    stddev (NULL for strings), min and max as text.  One aggregation."""
+    def stats(field):
+        number = field.dataType.typeName() in ("byte", "short", "integer", "long", "float", "double", "decimal")
+        none = F.lit(None).cast("double")
+        return F.struct(
+            F.lit(field.name).alias("column"), F.count(field.name).alias("n"),
+            (F.round(F.avg(field.name), digits) if number else none).alias("mean"),
+            (F.round(F.stddev_samp(field.name), digits) if number else none).alias("stddev"),
+            F.min(field.name).cast("string").alias("min"), F.max(field.name).cast("string").alias("max"))
+
+    rows = df.agg(F.array(*[stats(f) for f in df.schema.fields]).alias("s"))
+    return rows.select(F.explode("s").alias("s")).select("s.*")

@@ -256,7 +256,7 @@ def _pop_metrics(spark, sf, how="full", cold="drop"):
     train, val, _ = data.splits(spark, sf)
     recs = _pop(train).select(F.col("track_id").alias("item"), "pos")
     lab = lb.labels(data.string_labels(val), how)
-    return mt.ranking_metrics(recs, lab, ks=METRIC_KS, map_k=(10,), cold=cold, list_rows=POP_K)
+    return mt.ranking_metrics(recs, lab, ks=METRIC_KS, map_k=(10,), cold=cold)
 
 
 @query
@@ -302,7 +302,7 @@ def variant_compare(spark, sf):
     long = cn.variants_long(train, cn.HOWS, cap=10.0)
     recs = popularity_topk_by_group(long, POP_K, "how", "v", item_col="track_id")
     m = mt.ranking_metrics(recs.select("how", F.col("track_id").alias("item"), "pos"), lab,
-                           ks=(10, POP_K), cold="drop", list_rows=POP_K * len(cn.HOWS),
+                           ks=(10, POP_K), cold="drop",
                            group_col="how", groups=list(cn.HOWS))
     return m.select("how", "n_users_scored", "precision_at_10", "map", "ndcg_at_50")
 
@@ -313,6 +313,12 @@ def sweep_best(spark, sf):
     return variant_compare(spark, sf).orderBy(F.desc("map"), "how").limit(1).select("how", "map")
 
 
+@query
+def describe_columns(spark, sf):
+    """``describe()`` of every column, string ones included."""
+    return sp.describe_columns(fx.interactions(spark, sf))
+
+
 @query
 def head_interactions(spark, sf):
     """``show()``'s first rows, made deterministic by a key order."""

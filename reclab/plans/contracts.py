@@ -12,14 +12,14 @@ from reclab.operators import als as A
 from reclab.operators import labels as lb
 from reclab.operators import sweep as sw
 from reclab.plans import data
-from reclab.plans.oracle import SPLIT, with_
+from reclab.plans.evaluate import FLAGSHIP
+from reclab.plans.oracle import SPLIT, h, with_
 from reclab.plans.registry import register
-from reclab.session import scratch_path
+from reclab.session import materialise, scratch_path
 from reclab.sources import io
 
-RANK = 5        # small: contracts do not depend on model quality
-ITERS = 3
-K = 500
+# the flagship's model: rank 10, 10 iterations, lists of 500
+RANK, ITERS, K = FLAGSHIP["rank"], FLAGSHIP["max_iter"], FLAGSHIP["k"]
 
 _FITTED: dict = {}
 
@@ -29,7 +29,7 @@ def _fitted(spark, sf, implicit=True):
     key = (spark.sparkContext.applicationId, sf, implicit)
     if key not in _FITTED:
         _, _, (train, val, _) = data.formatted(spark, sf)
-        train, val = train.cache(), val.cache()
+        train, val = materialise(train, "train"), materialise(val, "val")
         model = A.fit_als(train, rank=RANK, max_iter=ITERS, implicit=implicit, seed=0)
         _FITTED[key] = (train, val, model)
     return _FITTED[key]
@@ -70,22 +70,18 @@ def als_factor_contract(spark, sf):
     return _factor_contract(_fitted(spark, sf)[2])
 
 
-@register(FACTOR_SQL)
+@register(FACTOR_SQL.replace("AS item_len_max", "AS item_len_max, true AS fits_counts_better"))
 def als_explicit_contract(spark, sf):
-    return _factor_contract(_fitted(spark, sf, implicit=False)[2])
-
+    """Explicit ALS fits the counts themselves: on its training pairs its
+    RMSE against the counts is below the implicit model's."""
+    from reclab.plans.evaluate import rating_errors
 
-@register(with_(SPLIT) + f"""
-SELECT CAST((SELECT count(*) FROM val) AS BIGINT) AS n_rows_nan,
-       CAST((SELECT count(*) FROM val) - {N_VAL_WARM_PAIRS} AS BIGINT) AS n_rows_missing,
-       CAST({N_VAL_WARM_PAIRS} AS BIGINT) AS n_rows_drop""")
-def als_cold_rows(spark, sf):
-    _, val, model = _fitted(spark, sf)
-    nan = A.score(model, val, "nan").agg(
-        F.count(F.lit(1)).alias("n_rows_nan"),
-        F.sum(F.isnan("prediction").cast("long")).alias("n_rows_missing"))
-    drop = A.score(model, val, "drop").agg(F.count(F.lit(1)).alias("n_rows_drop"))
-    return _row(nan, drop)
+    train, _, implicit = _fitted(spark, sf)
+    explicit = _fitted(spark, sf, implicit=False)[2]
+    errors = [rating_errors(m, train).select(F.col("rmse_counts").alias(n))
+              for m, n in ((explicit, "explicit"), (implicit, "implicit"))]
+    better = _row(*errors).select((F.col("explicit") < F.col("implicit")).alias("fits_counts_better"))
+    return _row(_factor_contract(explicit), better)
 
 
 @register(with_(SPLIT) + f"""
@@ -195,17 +191,17 @@ def _swept(spark, sf):
         train, val, _ = _fitted(spark, sf)
         combos = spark.createDataFrame(SWEEP_COMBOS, "variant string, rank int, reg_param double, "
                                                      "alpha double")
-        _SWEPT[key] = sw.run_sweep(train, val, combos, k=100, parallelism=2, max_iter=ITERS).cache()
+        _SWEPT[key] = sw.run_sweep(train, val, combos, k=K, parallelism=2, max_iter=ITERS).cache()
     return _SWEPT[key]
 
 
 @register(with_(SPLIT) + """,
 warm_drop AS (SELECT DISTINCT user_id FROM train WHERE count >= 2)
-SELECT variant, CAST(5 AS INTEGER) AS rank, CAST(0.1 AS DOUBLE) AS reg_param, CAST(1.0 AS DOUBLE) AS alpha,
-  CAST(100 AS INTEGER) AS k,
+SELECT variant, CAST(10 AS INTEGER) AS rank, CAST(0.1 AS DOUBLE) AS reg_param, CAST(1.0 AS DOUBLE) AS alpha,
+  CAST(500 AS INTEGER) AS k,
   CAST(n_scored AS BIGINT) AS n_users_scored,
   CAST((SELECT count(DISTINCT user_id) FROM val) - n_scored AS BIGINT) AS n_users_cold,
-  true AS metrics_in_range
+  true AS metrics_in_range, true AS rmse_positive
 FROM (SELECT 'raw' AS variant,
         (SELECT count(DISTINCT user_id) FROM val WHERE user_id IN (SELECT user_id FROM train)) AS n_scored
       UNION ALL
@@ -219,7 +215,8 @@ def sweep_results(spark, sf):
     for c in in01[1:]:
         ok = ok & c
     return res.select("variant", "rank", "reg_param", "alpha", "k", "n_users_scored", "n_users_cold",
-                      ok.alias("metrics_in_range"))
+                      ok.alias("metrics_in_range"),
+                      ((F.col("rmse_counts") > 0) & (F.col("rmse_preference") > 0)).alias("rmse_positive"))
 
 
 @register()
@@ -227,7 +224,7 @@ def als_evaluate(spark, sf):
     """The flagship evaluation row (metric values are model output: rows only)."""
     from reclab.plans.evaluate import flagship
 
-    return flagship(spark, sf, max_iter=5)
+    return flagship(spark, sf)
 
 
 @register(with_(SPLIT) + f"""
@@ -255,18 +252,203 @@ def final_test_eval(spark, sf):
     train, _, _ = _fitted(spark, sf)
     _, _, (_, _, test) = data.formatted(spark, sf)
     best_row = sw.best(_swept(spark, sf)).first()
-    return final_test(train, test, best_row, k=100, max_iter=ITERS)
+    return final_test(train, test, best_row, k=K, max_iter=ITERS)
 
 
 @register(with_(SPLIT) + f"""
-SELECT CAST({N_VAL_WARM_USERS} AS BIGINT) AS n_users, CAST(0 AS BIGINT) AS n_seen_left,
-       CAST({N_VAL_WARM_USERS} AS BIGINT) AS n_users_dense_pos""")
+SELECT CAST(count(*) AS BIGINT) AS n_users, CAST(0 AS BIGINT) AS n_seen_left,
+       CAST(count(*) AS BIGINT) AS n_users_dense_pos,
+       CAST(sum(least({K}, {N_TRAIN_ITEMS} - n_seen)) AS BIGINT) AS n_rows,
+       CAST(min(least({K}, {N_TRAIN_ITEMS} - n_seen)) AS BIGINT) AS len_min,
+       CAST(max(least({K}, {N_TRAIN_ITEMS} - n_seen)) AS BIGINT) AS len_max
+FROM (SELECT user_id, count(DISTINCT track_id) AS n_seen FROM train
+      WHERE user_id IN (SELECT user_id FROM val) GROUP BY user_id) WHERE {N_TRAIN_ITEMS} > n_seen""")
 def recs_exclude_seen_contract(spark, sf):
-    """Top-500 with already-heard items removed (left anti join on the train
-    pairs): none remains, and positions are renumbered 0..n-1 per user."""
+    """The best 500 unseen items of each validation user, or all that are left
+    (lengths follow from the train pairs); none was seen, positions are 0..n-1."""
     train, val, model = _fitted(spark, sf)
-    recs = A.exclude_seen(A.to_long(A.recommend_users(model, K, val)), train).cache()
+    recs = A.recommend_unseen(model, K, val, train).cache()
     per_user = recs.groupBy("user").agg(F.max("pos").alias("mx"), F.count(F.lit(1)).alias("n"))
     return _row(per_user.agg(F.count(F.lit(1)).alias("n_users"),
-                             F.sum((F.col("mx") == F.col("n") - 1).cast("long")).alias("n_users_dense_pos")),
+                             F.sum((F.col("mx") == F.col("n") - 1).cast("long")).alias("n_users_dense_pos"),
+                             F.sum("n").alias("n_rows"), F.min("n").alias("len_min"), F.max("n").alias("len_max")),
                 recs.join(train, ["user", "item"], "left_semi").agg(F.count(F.lit(1)).alias("n_seen_left")))
+
+
+# ---- users without any history ------------------------------------------------
+
+COLD_USERS = f"({h("'cold:' || user_id")} % 5) = 0"
+COLD_TRAIN = f"""seen_train AS (SELECT * FROM train WHERE NOT {COLD_USERS})"""
+
+
+def _cold_user_splits(spark, sf):
+    """Formatted train without a fifth of the users (by hash), and val with
+    all of its users: the missing ones are cold."""
+    from reclab.functions.hashing import bucket
+
+    train, val, _ = data.splits(spark, sf)
+    gone = bucket(5, F.concat(F.lit("cold:"), F.col("user_id"))) == 0
+    return train.where(~gone), val
+
+
+@register(with_(SPLIT, COLD_TRAIN, """pop AS (
+  SELECT track_id, pos FROM (
+    SELECT track_id, row_number() OVER (ORDER BY score DESC, track_id) - 1 AS pos
+    FROM (SELECT track_id, count(*) AS score FROM seen_train GROUP BY track_id)) WHERE pos < 50)""",
+    """hits AS (SELECT v.user_id, count(p.pos) FILTER (p.pos < 10) AS h10, count(p.pos) AS h50,
+    count(*) AS m, v.user_id IN (SELECT user_id FROM seen_train) AS scored
+  FROM (SELECT DISTINCT user_id, track_id FROM val) v LEFT JOIN pop p USING (track_id) GROUP BY v.user_id)""",
+    """modes AS (SELECT 'drop' AS cold UNION ALL SELECT 'zero')""") + """
+SELECT cold, CAST(count(*) FILTER (scored) AS BIGINT) AS n_users_scored,
+  CAST(count(*) FILTER (NOT scored) AS BIGINT) AS n_users_cold,
+  round(avg(CASE WHEN scored THEN h10 / 10 WHEN cold = 'zero' THEN 0 END), 5) AS precision_at_10,
+  round(avg(CASE WHEN scored THEN h50 / m WHEN cold = 'zero' THEN 0 END), 5) AS recall_at_50
+FROM hits, modes GROUP BY cold""")
+def metric_cold_users(spark, sf):
+    """Per-user lists exist for warm users only; a fifth of the users has no
+    history.  Both modes count them; only ``zero`` averages over them."""
+    from reclab.operators import metrics as mt
+    from reclab.operators.popularity import popularity_topk
+
+    train, val = _cold_user_splits(spark, sf)
+    top = popularity_topk(train, 50, user_col="user_id", item_col="track_id")
+    lists = top.agg(F.collect_list(F.struct("pos", F.col("track_id").alias("item"))).alias("l"))  # 50 entries
+    warm = (val.select("user_id").distinct().join(train.select("user_id").distinct(), "user_id", "left_semi")
+            .select(F.col("user_id").alias("user"), F.lit(1).alias("_k")))
+    recs = (warm.join(F.broadcast(lists.withColumn("_k", F.lit(1))), "_k")
+            .select("user", F.explode("l").alias("r")).select("user", "r.pos", "r.item"))
+    lab = lb.labels(data.string_labels(val), "full")
+    out = None
+    for cold in ("drop", "zero"):
+        m = mt.ranking_metrics(recs, lab, ks=(10, 50), cold=cold).select(
+            F.lit(cold).alias("cold"), "n_users_scored", "n_users_cold", "precision_at_10", "recall_at_50")
+        out = m if out is None else out.unionByName(m)
+    return out
+
+
+_COLD_FITTED: dict = {}
+
+
+def _cold_fitted(spark, sf):
+    from reclab.operators import index as ix
+
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _COLD_FITTED:
+        train, val = _cold_user_splits(spark, sf)
+        _, _, (train, val, _) = ix.index_splits(train, val, val.limit(0), fit_on="all")
+        train, val = materialise(train, "train"), materialise(val, "val")
+        _COLD_FITTED[key] = (train, val, A.fit_als(train, rank=RANK, max_iter=ITERS, seed=0))
+    return _COLD_FITTED[key]
+
+
+# ---- folds, best row, formatted round trip --------------------------------------
+
+
+@register(with_(SPLIT, COLD_TRAIN) + """,
+warm AS (SELECT count(*) AS n FROM val WHERE user_id IN (SELECT user_id FROM seen_train)
+         AND track_id IN (SELECT track_id FROM seen_train))
+SELECT CAST((SELECT count(*) FROM val) AS BIGINT) AS n_rows_nan,
+       CAST((SELECT count(*) FROM val) - (SELECT n FROM warm) AS BIGINT) AS n_rows_missing,
+       CAST((SELECT n FROM warm) AS BIGINT) AS n_rows_drop""")
+def als_cold_rows(spark, sf):
+    """Pairs of users without history: NaN or dropped."""
+    _, val, model = _cold_fitted(spark, sf)
+    nan = A.score(model, val, "nan").agg(
+        F.count(F.lit(1)).alias("n_rows_nan"),
+        F.sum(F.isnan("prediction").cast("long")).alias("n_rows_missing"))
+    drop = A.score(model, val, "drop").agg(F.count(F.lit(1)).alias("n_rows_drop"))
+    return _row(nan, drop)
+
+
+@register(with_(SPLIT, COLD_TRAIN) + """
+SELECT CAST(count(DISTINCT user_id) FILTER (user_id IN (SELECT user_id FROM seen_train)) AS BIGINT) AS n_users_scored,
+       CAST(count(DISTINCT user_id) FILTER (user_id NOT IN (SELECT user_id FROM seen_train)) AS BIGINT) AS n_users_cold,
+       true AS rmse_positive FROM val""")
+def sweep_cold_users(spark, sf):
+    """One sweep point on the split with cold users: they are counted."""
+    train, val, _ = _cold_fitted(spark, sf)
+    point = spark.createDataFrame([("log1p", RANK, 0.1, 1.0)], "variant string, rank int, reg_param double, alpha double")
+    res = sw.run_sweep(train, val, point, k=K, max_iter=ITERS, split="cold")
+    return res.select("n_users_scored", "n_users_cold",
+                      ((F.col("rmse_counts") > 0) & (F.col("rmse_preference") > 0)).alias("rmse_positive"))
+
+
+@register(with_(SPLIT) + """
+SELECT variant, CAST((SELECT count(DISTINCT user_id) FROM val) AS BIGINT) AS n_label_users,
+       CAST(n AS BIGINT) AS n_users_scored, true AS metrics_in_range
+FROM (SELECT v.variant, (SELECT count(DISTINCT user_id) FROM val WHERE user_id IN (
+        SELECT user_id FROM train WHERE count >= CASE WHEN v.variant = 'drop' THEN 2 ELSE 1 END)) AS n
+      FROM (VALUES ('raw'), ('drop'), ('log'), ('log1p'), ('cap'), ('binary')) v(variant))""")
+def als_strategies(spark, sf):
+    """Every count strategy fitted with ALS and scored on one user set: which
+    users keep factors follows from the rows a strategy keeps (``log`` turns a
+    count of 1 into 0 but keeps the row)."""
+    from reclab.operators import counts as cn
+
+    train, val, _ = _fitted(spark, sf)
+    points = sw.grid(spark, [RANK], [0.1], [1.0], cn.HOWS)
+    res = sw.run_sweep(train, val, points, k=K, max_iter=ITERS, parallelism=2)
+    cols = ("precision_at_10", "precision_at_k", "map", "ndcg_at_k")
+    ok = F.lit(True)
+    for c in cols:
+        ok = ok & (F.col(c) > 0) & (F.col(c) <= 1)
+    return res.select("variant", (F.col("n_users_scored") + F.col("n_users_cold")).alias("n_label_users"),
+                      "n_users_scored", ok.alias("metrics_in_range"))
+
+
+@register(with_(SPLIT) + """
+SELECT CAST(5 AS BIGINT) AS n_folds, CAST(count(*) AS BIGINT) AS n_rows,
+       CAST(count(DISTINCT user_id) AS BIGINT) AS n_users, true AS mean_is_average, true AS best_is_argmax
+FROM train""")
+def cv_contract(spark, sf):
+    """Five-fold cross-validation of two grid points: folds cover every train
+    row once, the mean row is the average of its folds, and the best row is
+    the arg-max of the stored ones."""
+    train, _, _ = _fitted(spark, sf)
+    points = sw.grid(spark, [RANK], [0.1, 1.0], [1.0])
+    folds = sw.with_folds(train, 5)
+    each = sw.cross_validate(train, points, folds=5, k=K, max_iter=2, per_fold=True).cache()
+    rows = each.collect()  # ten result rows
+    by = {}
+    for r in rows:
+        by.setdefault(r["reg_param"], []).append(r["map"])
+    means = {k: sum(v) / len(v) for k, v in by.items()}
+    mean = {r["reg_param"]: r["map"] for r in each.groupBy("reg_param").agg(F.avg("map").alias("map")).collect()}
+    ok = all(len(v) == 5 for v in by.values()) and all(abs(mean[k] - means[k]) < 1e-9 for k in means)
+    top = sw.best(each).first()["map"] == max(r["map"] for r in rows)
+    sizes = folds.groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
+    return _row(sizes.agg(F.count(F.lit(1)).alias("n_folds"), F.sum("n").alias("n_rows")),
+                train.agg(F.countDistinct("user").alias("n_users"))).withColumns(
+                    {"mean_is_average": F.lit(ok), "best_is_argmax": F.lit(top)})
+
+
+@register(with_(SPLIT) + """
+SELECT split, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT user_id) AS BIGINT) AS n_users,
+       CAST(count(DISTINCT track_id) AS BIGINT) AS n_items, CAST(sum(count) AS DOUBLE) AS total,
+       false AS has_metadata, true AS refuses_overwrite
+FROM split GROUP BY split""")
+def formatted_roundtrip(spark, sf):
+    """Formatted splits written, refused a second time, and read back with
+    their declared schema, without column metadata."""
+    from pyspark.errors import AnalysisException
+
+    from reclab.sources.schema import FORMATTED, check_schema
+
+    _, _, frames = data.formatted(spark, sf)
+    out = None
+    for name, df in zip(("train", "val", "test"), frames):
+        path = scratch_path(spark, f"formatted-{name}")
+        io.write_table(df, path)
+        try:
+            io.write_table(df, path)
+            refused = False
+        except AnalysisException:
+            refused = True
+        back = check_schema(spark.read.parquet(path), FORMATTED)
+        meta = any(f.metadata for f in spark.read.parquet(path).schema.fields)
+        row = back.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("user").alias("n_users"),
+                       F.countDistinct("item").alias("n_items"), F.sum("count").alias("total")).select(
+            F.lit(name).alias("split"), "*", F.lit(meta).alias("has_metadata"),
+            F.lit(refused).alias("refuses_overwrite"))
+        out = row if out is None else out.unionByName(row)
+    return out

@@ -3,23 +3,27 @@ its hold-out split and the indexed (formatted) splits."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reclab.operators import index as ix
 from reclab.operators import split as sp
-from reclab.session import allow_cached_coalescing
+from reclab.session import materialise
 from reclab.sources.fixtures import interactions
 
 
+_SPLIT: dict = {}
+
+
 def split_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The split interaction table, persisted: every query of a session that
-    derives from it (splits, index fits, labels, models) reads the cached
-    copy instead of re-running the scan, join and aggregation.  Spark's cache
-    manager matches the plan, so repeated calls share one copy."""
-    allow_cached_coalescing(spark)
-    return sp.holdout(interactions(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
+    """The split interaction table, written once per session and data in
+    shared storage: every query that derives from it (splits, index fits,
+    labels, models) scans that table, with column and filter pushdown, instead
+    of re-running the join and aggregation or holding a copy on executors."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SPLIT:
+        _SPLIT[key] = materialise(sp.holdout(interactions(spark, sf_dir)), "split")
+    return _SPLIT[key]
 
 
 def splits(spark: SparkSession, sf_dir: str):

@@ -3,7 +3,6 @@ DataFrame query (the reference's test step, without its RDD detour)."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,17 +22,33 @@ def evaluate_model(model, heldout: DataFrame, k: int = 500, ks=(10, 500),
 
     Plan: distinct held-out users -> blocked top-k -> long form, joined on
     (user, item) to the label rows; hit positions gathered per user (at most
-    k each); one final average."""
+    k each); one final average.  Which users are scored follows from the
+    factor table, so the top-k is read once and nothing is cached.  With
+    ``seen``, lists hold unseen items only, as many as there are up to k."""
     users = heldout.select("user").distinct()
-    # read twice (hit join on (user, item), scored users on user): persist so
-    # the blocked top-k runs once; it holds at most k entries per user
-    nested = A.recommend_users(model, k, users).persist(StorageLevel.MEMORY_AND_DISK)
-    recs = A.to_long(nested)
-    if seen is not None:
-        recs = A.exclude_seen(recs, seen)
+    if seen is None:
+        recs = A.to_long(A.recommend_users(model, k, users))
+    else:
+        recs = A.recommend_unseen(model, k, users, seen)
+    scored = users.join(model.userFactors.select(F.col("id").alias("user")), "user", "left_semi")
     lab = lb.labels(heldout, labels_how)
     return mt.ranking_metrics(recs.select("user", "pos", "item"), lab, ks=ks, cold=cold,
-                              digits=digits)
+                              digits=digits, scored_users=scored)
+
+
+def rating_errors(model, heldout: DataFrame, digits: int | None = 5) -> DataFrame:
+    """RMSE of the scores against the counts and against the 0/1 preference,
+    over held-out pairs with both factors, in one pass."""
+    pred = A.score(model, heldout, "drop")
+
+    def err(target):
+        d = target.cast("double") - F.col("prediction").cast("double")
+        value = F.sqrt(F.avg(d * d))
+        return F.round(value, digits) if digits is not None else value
+
+    preference = F.when(F.col("count") > 0, 1.0).otherwise(0.0)
+    return pred.agg(F.count(F.lit(1)).alias("n_rows"), err(F.col("count")).alias("rmse_counts"),
+                    err(preference).alias("rmse_preference"))
 
 
 def fit_and_evaluate(train: DataFrame, heldout: DataFrame, rank: int, reg_param: float,
@@ -55,7 +70,6 @@ def flagship(spark: SparkSession, sf_dir: str, **overrides) -> DataFrame:
     for validation users -> precision@10/500, MAP, nDCG@500."""
     p = {**FLAGSHIP, **overrides}
     _, _, (train, val, _) = data.formatted(spark, sf_dir)
-    train = train.cache()
     return fit_and_evaluate(train, val, p["rank"], p["reg_param"], p["alpha"], k=p["k"],
                             max_iter=p["max_iter"])
 

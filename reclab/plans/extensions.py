@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import time
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from reclab.functions.vectors import scale
@@ -17,9 +18,10 @@ from reclab.operators import metrics as mt
 from reclab.operators import search as S
 from reclab.operators.popularity import popularity_topk
 from reclab.plans import data
-from reclab.plans.contracts import RANK, _fitted
+from reclab.plans.contracts import ITERS, RANK, K, _fitted
 from reclab.plans.oracle import SPLIT, h, with_
 from reclab.plans.registry import register
+from reclab.session import materialise
 from reclab.sources import fixtures as fx
 
 TOP = 10
@@ -37,20 +39,20 @@ def _scaled(spark, sf):
                       scale("embedding", (1 + F.col("vec_id") % 5).cast("double")).alias("v"))
 
 
-def _exact(spark, sf, items):
+def _exact(spark, sf, items, digits=5):
     q = _unit(spark, sf)
     part = S.fit_partitions(items)
-    res = S.mips_exact(q, part, TOP, PROBES, exclude_self=True, digits=5)
+    res = S.mips_exact(q, part, TOP, PROBES, exclude_self=True, digits=digits)
     return res.select(F.col("qid").alias("query_id"), F.col("id").alias("item_id"),
-                      F.col("rank").cast("int").alias("rank"), F.round("score", 5).alias("score"))
+                      F.col("rank").cast("int").alias("rank"), F.round("score", digits).alias("score"))
 
 
-def _mips_sql(scaled: bool) -> str:
+def _mips_sql(scaled: bool, digits: int = 5) -> str:
     factor = "(1 + i.vec_id % 5) * " if scaled else ""
     return f"""
 WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 sc AS (SELECT q.vec_id AS query_id, i.vec_id AS item_id,
-              round({factor}list_dot_product(q.e, i.e), 5) AS score
+              round({factor}list_dot_product(q.e, i.e), {digits}) AS score
        FROM v q JOIN v i ON q.vec_id <> i.vec_id)
 SELECT query_id, item_id, CAST(rank AS INTEGER) AS rank, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS rank FROM sc)
@@ -69,14 +71,24 @@ def mips_exact_unit(spark, sf):
     return _exact(spark, sf, _unit(spark, sf))
 
 
-RECALL_SQL = """SELECT CAST(count(*) AS BIGINT) AS n_queries, true AS recall_in_range,
-  true AS share_in_range FROM embeddings"""
+@register(_mips_sql(scaled=True, digits=1))
+def mips_rounded_ties(spark, sf):
+    """Exact search where rounding makes most scores tie: order by the rounded
+    score, then by id, across clusters."""
+    return _exact(spark, sf, _scaled(spark, sf), digits=1)
 
 
-def _recall_row(exact, approx, share):
-    r = S.recall_at_k(exact, approx)
-    return r.select("n_queries", ((F.col("recall") >= 0) & (F.col("recall") <= 1)).alias("recall_in_range"),
-                    F.lit(0.0 < share <= 1.0).alias("share_in_range"))
+def _recall(exact, approx):
+    return float(S.recall_at_k(exact, approx).first()["recall"])
+
+
+def _true_scores(top, items, queries):
+    """Rows of ``top`` and how many of their scores are the inner products."""
+    both = (top.join(items.select("id", "v"), "id")
+            .join(queries.select(F.col("id").alias("qid"), F.col("v").alias("q")), "qid")
+            .withColumn("dot", F.aggregate(F.zip_with("v", "q", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)))
+    ok = F.abs(F.col("dot") - F.col("score")) < 1e-6
+    return both.agg(F.count(F.lit(1)).alias("n"), F.sum(ok.cast("long")).alias("ok")).first()
 
 
 _SEARCH: dict = {}
@@ -94,19 +106,51 @@ def _search_inputs(spark, sf):
     return _SEARCH[key]
 
 
-@register(RECALL_SQL)
+@register("""SELECT CAST(count(*) AS BIGINT) AS n_queries, 1.0::DOUBLE AS recall_all_probes,
+  1.0::DOUBLE AS share_all_probes, true AS recall_does_not_fall, true AS share_grows,
+  CAST(count(*) * least(10, (SELECT count(*) FROM embeddings) - 1) AS BIGINT) AS n_true_scores FROM embeddings""")
 def partition_search_recall(spark, sf):
-    q, _, part, exact = _search_inputs(spark, sf)
-    approx = S.mips_partition(q, part, TOP, PROBES, exclude_self=True)
-    return _recall_row(exact, approx, S.candidate_share(q, part, PROBES, True))
-
-
-@register(RECALL_SQL)
+    """Partition search against the exact result: visiting every cluster finds
+    everything at share 1; fewer clusters never find more; every score it
+    returns is an inner product."""
+    q, items, part, exact = _search_inputs(spark, sf)
+    n = len(part.centres)
+    probes = sorted({1, max(1, n // 4), n})
+    tops = [S.mips_partition(q, part, TOP, p, exclude_self=True).cache() for p in probes]
+    recalls = [_recall(exact, t) for t in tops]
+    shares = [S.candidate_share(q, part, p, True) for p in probes]
+    true = _true_scores(tops[-1], items, q)
+    for t in tops:
+        t.unpersist()
+    return spark.createDataFrame(
+        [(q.count(), recalls[-1], shares[-1], recalls == sorted(recalls), shares == sorted(shares), true["ok"])],
+        "n_queries long, recall_all_probes double, share_all_probes double, recall_does_not_fall boolean, "
+        "share_grows boolean, n_true_scores long")
+
+
+@register("""SELECT CAST(count(*) AS BIGINT) AS n_queries, true AS all_scores_true, true AS share_at_most_one,
+  true AS recall_does_not_fall, true AS share_grows FROM embeddings""")
 def lsh_recall(spark, sf):
+    """LSH against the exact result: more tables never find less; their
+    candidate pairs count once however many tables meet them; every score is
+    an inner product."""
     q, items, _, exact = _search_inputs(spark, sf)
-    approx, n_pairs = S.mips_lsh(q, items, TOP, bucket_length=0.4, num_tables=2, exclude_self=True)
     n = q.count()
-    return _recall_row(exact, approx, n_pairs / float(n * (n - 1)))
+
+    def run(length, tables):
+        top, pairs = S.mips_lsh(q, items, TOP, bucket_length=length, num_tables=tables, exclude_self=True)
+        top = top.cache()
+        true = _true_scores(top, items, q)
+        out = _recall(exact, top), pairs / float(n * (n - 1)), true["n"] == true["ok"]
+        top.unpersist()
+        return out
+
+    wide, few, more = run(1e6, 3), run(0.4, 1), run(0.4, 3)
+    return spark.createDataFrame(
+        [(n, wide[2] and few[2] and more[2], max(wide[1], few[1], more[1]) <= 1.0, few[0] <= more[0] <= 1.0,
+          few[1] <= more[1])],
+        "n_queries long, all_scores_true boolean, share_at_most_one boolean, recall_does_not_fall boolean, "
+        "share_grows boolean")
 
 
 @register()
@@ -119,7 +163,8 @@ def search_report(spark, sf):
     part = S.fit_partitions(items)
     exact = S.mips_exact(q, part, TOP, PROBES, exclude_self=True).cache()
     exact.count()
-    rows = [("exact", "probe=2+bound", 1.0, 1.0, time.time() - t0)]
+    took = time.time() - t0
+    rows = [("exact", "probe=2+bound", 1.0, S.exact_share(q, part, TOP, PROBES, True), took)]
     for p in (2, 5):
         t0 = time.time()
         ap = S.mips_partition(q, part, TOP, p, exclude_self=True)
@@ -170,34 +215,41 @@ def _cold_fit(spark, sf, rank, iters):
     users, items, (train, val, _) = data.formatted(spark, sf)
     cold = (cs.cold_items(items.select("label", "idx"), item_col="label")
             .where("cold").select(F.col("idx").alias("item")))
-    train, val = train.cache(), val.cache()
+    train, val = materialise(train, "train"), materialise(val, "val")
     warm_train = train.join(cold, "item", "left_anti")
     model_warm = A.fit_als(warm_train, rank=rank, max_iter=iters, seed=0)
-    side = _side_by_idx(spark, sf, items).cache()
+    side = _side_by_idx(spark, sf, items)
     fmap = cs.fit_feature_map(model_warm.itemFactors, side, rank)
     pred = cs.predict_factors(fmap, side.join(cold.withColumnRenamed("item", "id"), "id", "left_semi"))
-    return train, val, cold.cache(), model_warm, pred.cache()
+    return train, val, materialise(cold, "cold"), model_warm, materialise(pred, "predicted")
 
 
 @register(with_(SPLIT) + f""",
 cold AS (SELECT DISTINCT track_id FROM split WHERE ({h("'item:' || track_id")} % 10) = 0)
 SELECT CAST((SELECT count(*) FROM cold) AS BIGINT) AS n_cold_items,
        CAST((SELECT count(*) FROM cold) AS BIGINT) AS n_predicted,
-       CAST({RANK} AS INTEGER) AS len_min, CAST({RANK} AS INTEGER) AS len_max""")
+       CAST({RANK} AS INTEGER) AS len_min, CAST({RANK} AS INTEGER) AS len_max, true AS normal_equations_hold""")
 def cold_start_contract(spark, sf):
-    _, _, cold, _, pred = _cold_setup(spark, sf, RANK, 3)
+    """Every held-out item gets factors, and the fitted map solves its normal
+    equations: without a penalty, residuals are orthogonal to the features."""
+    _, _, cold, model, pred = _cold_setup(spark, sf, RANK, ITERS)
+    _, items, _ = data.formatted(spark, sf)
+    design = cs.feature_pipeline().fit(side := _side_by_idx(spark, sf, items)).transform(
+        model.itemFactors.join(side, "id"))
+    xx, xy, n = cs.normal_equations(design, RANK)
+    left = np.abs(xx @ cs.solve_ridge(xx, xy, n, 0.0) - xy).max()
     return (cold.agg(F.count(F.lit(1)).alias("n_cold_items")).withColumn("_k", F.lit(1))
             .join(pred.agg(F.count(F.lit(1)).alias("n_predicted"),
                            F.min(F.size("features")).alias("len_min"),
                            F.max(F.size("features")).alias("len_max")).withColumn("_k", F.lit(1)), "_k")
-            .drop("_k"))
+            .drop("_k").withColumn("normal_equations_hold", F.lit(bool(left <= 1e-6 * np.abs(xy).max()))))
 
 
 @register()
 def cold_start_report(spark, sf):
     """Full model vs warm model + feature-predicted factors for held-out
     items, scored on all val labels and on val labels of held-out items."""
-    rank, iters, k = RANK, 3, 100   # same model size as cold_start_contract: shared setup
+    rank, iters, k = RANK, ITERS, K   # same model size as cold_start_contract: shared setup
     train, val, cold, model_warm, pred = _cold_setup(spark, sf, rank, iters)
     model_full = A.fit_als(train, rank=rank, max_iter=iters, seed=0)
     full_recs = A.to_long(A.recommend_users(model_full, k, val)).select("user", "pos", "item")
@@ -226,38 +278,77 @@ def cold_start_report(spark, sf):
 
 # ---- error analysis and layout ------------------------------------------------
 
-@register(with_(SPLIT, """pop AS (
+POP50 = """pop AS (
   SELECT track_id FROM (
     SELECT track_id, row_number() OVER (ORDER BY score DESC, track_id) - 1 AS pos
-    FROM (SELECT track_id, count(*) AS score FROM train GROUP BY track_id)) WHERE pos < 50)""",
-    """side AS (SELECT 'T' || CAST(p_partkey AS VARCHAR) AS track_id, p_type FROM part)""",
-    """lab AS (SELECT DISTINCT user_id, track_id FROM val)""",
-    """c AS (
-  SELECT coalesce(g, 'ALL') AS p_type, sum(r) AS n_rec_slots, sum(l) AS n_label_rows, sum(hh) AS n_hits
+    FROM (SELECT track_id, count(*) AS score FROM train GROUP BY track_id)) WHERE pos < 50)"""
+LAB = """lab AS (SELECT DISTINCT user_id, track_id FROM val)"""
+
+
+def _error_sql(side: str, col: str) -> str:
+    return with_(SPLIT, POP50, LAB, f"side AS ({side})", f"""c AS (
+  SELECT g AS {col}, CASE WHEN grouping(g) = 1 THEN 'total' WHEN g IS NULL THEN 'unknown' ELSE 'group' END AS kind,
+         sum(r) AS n_rec_slots, sum(l) AS n_label_rows, sum(hh) AS n_hits
   FROM (
-    SELECT coalesce(s.p_type, 'UNKNOWN') AS g, 1 AS r, 0 AS l, 0 AS hh FROM pop p LEFT JOIN side s USING (track_id)
+    SELECT s.g, 1 AS r, 0 AS l, 0 AS hh FROM pop p LEFT JOIN side s USING (track_id)
     UNION ALL
-    SELECT coalesce(s.p_type, 'UNKNOWN'), 0, 1, CASE WHEN l.track_id IN (SELECT track_id FROM pop) THEN 1 ELSE 0 END
+    SELECT s.g, 0, 1, CASE WHEN l.track_id IN (SELECT track_id FROM pop) THEN 1 ELSE 0 END
     FROM lab l LEFT JOIN side s USING (track_id))
-  GROUP BY ROLLUP (g))""") + """
-SELECT p_type, CAST(n_rec_slots AS BIGINT) AS n_rec_slots, CAST(n_label_rows AS BIGINT) AS n_label_rows,
-  CAST(n_hits AS BIGINT) AS n_hits,
-  round(n_rec_slots / (SELECT n_rec_slots FROM c WHERE p_type = 'ALL'), 5) AS rec_share,
-  round(n_label_rows / (SELECT n_label_rows FROM c WHERE p_type = 'ALL'), 5) AS label_share,
-  round(CASE WHEN n_label_rows > 0 THEN (n_rec_slots / (SELECT n_rec_slots FROM c WHERE p_type = 'ALL'))
-        / (n_label_rows / (SELECT n_label_rows FROM c WHERE p_type = 'ALL')) END, 5) AS share_ratio,
+  GROUP BY ROLLUP (g))""", """t AS (SELECT n_rec_slots AS tr, n_label_rows AS tl FROM c WHERE kind = 'total')""") + f"""
+SELECT {col}, kind, CAST(n_rec_slots AS BIGINT) AS n_rec_slots, CAST(n_label_rows AS BIGINT) AS n_label_rows,
+  CAST(n_hits AS BIGINT) AS n_hits, round(n_rec_slots / tr, 5) AS rec_share,
+  round(n_label_rows / tl, 5) AS label_share,
+  round(CASE WHEN n_label_rows > 0 THEN (n_rec_slots / tr) / (n_label_rows / tl) END, 5) AS share_ratio,
   round(CASE WHEN n_label_rows > 0 THEN n_hits / n_label_rows END, 5) AS hit_rate
-FROM c WHERE n_rec_slots > 0 OR n_label_rows > 0""")
-def error_by_group(spark, sf):
-    """Which item types the top-50 popularity list over/under-represents
-    against the val labels."""
+FROM c, t"""
+
+
+TRACK = "'T' || CAST(p_partkey AS VARCHAR) AS track_id"
+
+
+def _popular_errors(spark, sf, side, col):
     train, val, _ = data.splits(spark, sf)
     recs = popularity_topk(train, 50, user_col="user_id", item_col="track_id")
-    side = fx.item_side(spark, sf)
-    return an.error_by_group(recs, lb.labels(val, "full", "user_id", "track_id"), side, "p_type",
+    return an.error_by_group(recs, lb.labels(val, "full", "user_id", "track_id"), side, col,
                              item_col="track_id", user_col="user_id")
 
 
+@register(_error_sql(f"SELECT {TRACK}, p_type AS g FROM part", "p_type"))
+def error_by_group(spark, sf):
+    """Which item types the top-50 popularity list over/under-represents
+    against the val labels."""
+    return _popular_errors(spark, sf, fx.item_side(spark, sf), "p_type")
+
+
+@register(_error_sql(f"SELECT {TRACK}, unnest(string_split(p_name, ' ')) AS g FROM part", "tag"))
+def error_by_tag(spark, sf):
+    """The same by tag: the words of an item's name."""
+    side = fx.item_side(spark, sf).select("track_id", F.explode(F.split("p_name", " ")).alias("tag"))
+    return _popular_errors(spark, sf, side, "tag")
+
+
+@register(with_(SPLIT, f"side AS (SELECT {TRACK}, p_type AS g FROM part)",
+                "warm AS (SELECT count(DISTINCT user_id) AS n FROM val WHERE user_id IN (SELECT user_id FROM train))",
+                "items AS (SELECT count(DISTINCT track_id) AS n FROM train)") + f"""
+SELECT g AS p_type, CASE WHEN grouping(g) = 1 THEN 'total' WHEN g IS NULL THEN 'unknown' ELSE 'group' END AS kind,
+  CAST(count(*) AS BIGINT) AS n_label_rows,
+  CAST(CASE WHEN grouping(g) = 1 THEN (SELECT n FROM warm) * least({K}, (SELECT n FROM items)) ELSE 0 END AS BIGINT) AS total_slots,
+  true AS hits_bounded
+FROM (SELECT DISTINCT user_id, track_id FROM val) l LEFT JOIN side s USING (track_id) GROUP BY ROLLUP (g)""")
+def error_by_group_als(spark, sf):
+    """Error analysis of the model's own lists: label rows and the total of
+    slots are exact; hits stay within slots and label rows."""
+    _, val, model = _fitted(spark, sf)
+    _, items, _ = data.formatted(spark, sf)
+    side = _side_by_idx(spark, sf, items).select(F.col("id").alias("item"), "p_type")
+    recs = A.to_long(A.recommend_users(model, K, val)).select("user", "pos", "item")
+    out = an.error_by_group(recs, lb.labels(val, "full"), side, "p_type")
+    return out.select("p_type", "kind", "n_label_rows",
+                      F.when(F.col("kind") == "total", F.col("n_rec_slots")).otherwise(0).alias("total_slots"),
+                      ((F.col("n_hits") <= F.col("n_label_rows")) & (F.col("n_hits") <= F.col("n_rec_slots")))
+                      .alias("hits_bounded")).where("n_label_rows > 0")
+
+
 def _layout(spark, sf):
     train, _, model = _fitted(spark, sf)
     _, items, _ = data.formatted(spark, sf)
@@ -265,13 +356,40 @@ def _layout(spark, sf):
     return an.factor_layout(model.itemFactors, side, dims=2, group_col="p_type")
 
 
+def _centroid_check(layout, cents, group):
+    """Group sizes, and whether the centroids, weighted by size, average to
+    the mean of all points, with the first axis spread at least as wide as the
+    second."""
+    mean = layout.agg(F.avg("x0").alias("m0"), F.avg("x1").alias("m1"),
+                      (F.var_pop("x0") >= F.var_pop("x1")).alias("ordered")).withColumn("_k", F.lit(1))
+    both = cents.agg((F.sum(F.col("n_items") * F.col("c0")) / F.sum("n_items")).alias("g0"),
+                     (F.sum(F.col("n_items") * F.col("c1")) / F.sum("n_items")).alias("g1")).withColumn("_k", F.lit(1))
+    ok = mean.join(both, "_k").select("_k", ((F.abs(F.col("m0") - F.col("g0")) < 1e-6)
+                                             & (F.abs(F.col("m1") - F.col("g1")) < 1e-6)).alias("centroids_average"),
+                                      F.col("ordered").alias("axes_ordered"))
+    return cents.withColumn("_k", F.lit(1)).join(F.broadcast(ok), "_k").select(
+        group, "n_items", "centroids_average", "axes_ordered")
+
+
 @register(with_(SPLIT) + """
-SELECT p.p_type, CAST(count(DISTINCT t.track_id) AS BIGINT) AS n_items, true AS has_centroid
+SELECT p.p_type, CAST(count(DISTINCT t.track_id) AS BIGINT) AS n_items, true AS centroids_average, true AS axes_ordered
 FROM train t JOIN part p ON t.track_id = 'T' || CAST(p.p_partkey AS VARCHAR) GROUP BY p.p_type""")
 def factor_pca(spark, sf):
-    _, cents = _layout(spark, sf)
-    return cents.select("p_type", "n_items",
-                        (F.col("c0").isNotNull() & F.col("c1").isNotNull()).alias("has_centroid"))
+    return _centroid_check(*_layout(spark, sf), "p_type")
+
+
+@register(with_(SPLIT) + """
+SELECT c.c_mktsegment, CAST(count(DISTINCT t.user_id) AS BIGINT) AS n_items, true AS centroids_average,
+  true AS axes_ordered
+FROM train t JOIN customer c ON t.user_id = 'U' || CAST(c.c_custkey AS VARCHAR) GROUP BY c.c_mktsegment""")
+def user_layout(spark, sf):
+    """The users' factors on two axes, grouped by market segment."""
+    _, _, model = _fitted(spark, sf)
+    users, _, _ = data.formatted(spark, sf)
+    side = fx.user_side(spark, sf).join(
+        users.select(F.col("label").alias("user_id"), F.col("idx").alias("id")), "user_id")
+    return _centroid_check(*an.factor_layout(model.userFactors, side.select("id", "c_mktsegment"), dims=2,
+                                             group_col="c_mktsegment"), "c_mktsegment")
 
 
 @register()

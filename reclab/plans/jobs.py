@@ -18,12 +18,10 @@ from __future__ import annotations
 
 import argparse
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
-from reclab.operators import als as A
-from reclab.operators import counts as cn
 from reclab.operators import index as ix
 from reclab.operators import split as sp
 from reclab.operators import sweep as sw
@@ -51,47 +49,59 @@ def read_formatted(spark: SparkSession, data_dir: str, name: str):
                         FORMATTED)
 
 
+def _point(row, variant):
+    return {"variant": variant, "rank": row["rank"], "reg_param": row["reg_param"], "alpha": row["alpha"]}
+
+
 def train(spark: SparkSession, data_dir: str, models_dir: str, ranks, regs, alphas,
-          variant: str = "raw", max_iter: int = 10, seed: int = 0) -> list[str]:
+          variant: str = "raw", max_iter: int = 10, seed: int = 0, min_count: float = 2.0,
+          cap: float = 10.0, parallelism: int = 1) -> list[str]:
     """Fit and save the models of the grid that are not saved yet."""
+    setting = sw.Setting(max_iter=max_iter, seed=seed, min_count=min_count, cap=cap)
     df = read_formatted(spark, data_dir, "train").cache()
-    key = sw.fingerprint(df)
-    saved = []
-    for row in sw.grid(spark, ranks, regs, alphas, (variant,)).collect():  # parameter table
-        path = sw.model_path(models_dir, variant, row["rank"], row["reg_param"], row["alpha"], key)
-        if not io.model_exists(spark, path):
-            t = cn.transform_counts(df, variant)
-            model = A.fit_als(t, rank=row["rank"], reg_param=row["reg_param"], alpha=row["alpha"],
-                              max_iter=max_iter, seed=seed)
-            io.save_model(model, path)
-        saved.append(path)
-    return saved
+    try:
+        key = sw.fingerprint(df)
+
+        def one(row):
+            path = sw.model_path(models_dir, variant, row["rank"], row["reg_param"], row["alpha"], key, setting)
+            if not io.model_exists(spark, path):
+                sw.fit_point(df, _point(row, variant), setting, path)
+            return path
+
+        points = sw.grid(spark, ranks, regs, alphas, (variant,)).collect()  # parameter table
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            return list(pool.map(one, points))
+    finally:
+        df.unpersist()
 
 
 def evaluate(spark: SparkSession, data_dir: str, models_dir: str, results_path: str, ranks, regs,
              alphas, variant: str = "raw", split: str = "val", k: int = 500,
-             labels_how: str = "full"):
-    """Score saved models not yet in ``results_path``; append and return them."""
-    from reclab.plans.evaluate import evaluate_model
-
+             labels_how: str = "full", max_iter: int = 10, seed: int = 0, min_count: float = 2.0,
+             cap: float = 10.0, parallelism: int = 1):
+    """Score saved models not yet in ``results_path`` under this setting;
+    append each row as soon as it is known and return the new ones."""
+    setting = sw.Setting(k, split, labels_how, max_iter, seed, float(min_count), float(cap))
     held = read_formatted(spark, data_dir, split).cache()
-    key = sw.fingerprint(read_formatted(spark, data_dir, "train"))
-    todo = sw.pending(sw.grid(spark, ranks, regs, alphas, (variant,)),
-                      io.read_results(spark, results_path).where(F.col("data_key") == key))
-    rows = []
-    for row in todo.collect():  # parameter table
-        path = sw.model_path(models_dir, variant, row["rank"], row["reg_param"], row["alpha"], key)
-        if not io.model_exists(spark, path):
-            continue
-        t0 = time.time()
-        m = evaluate_model(io.load_model(path), held, k=k, ks=(10, k), labels_how=labels_how).first()
-        rows.append((variant, row["rank"], row["reg_param"], row["alpha"], k, m["precision_at_10"],
-                     m[f"precision_at_{k}"], m["map"], m[f"ndcg_at_{k}"], m["n_users_scored"],
-                     m["n_users_cold"], time.time() - t0, key))
-    out = spark.createDataFrame(rows, RESULTS)
-    if rows:
-        io.append_results(out, results_path)
-    return out
+    try:
+        key = sw.fingerprint(read_formatted(spark, data_dir, "train"))
+        todo = sw.pending(sw.grid(spark, ranks, regs, alphas, (variant,)),
+                          io.read_results(spark, results_path), setting, key)
+
+        def one(row):
+            started = time.time()
+            path = sw.model_path(models_dir, variant, row["rank"], row["reg_param"], row["alpha"], key, setting)
+            if not io.model_exists(spark, path):
+                return None
+            out = sw.result_row(io.load_model(path), held, _point(row, variant), setting, key, started)
+            io.append_results(spark.createDataFrame([out], RESULTS), results_path)
+            return out
+
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            rows = [r for r in pool.map(one, todo.collect()) if r]  # parameter table
+    finally:
+        held.unpersist()
+    return spark.createDataFrame(rows, RESULTS)
 
 
 def _floats(s):
@@ -118,21 +128,30 @@ def main(argv=None):
             q.add_argument("results")
             q.add_argument("--split", default="val")
             q.add_argument("--k", type=int, default=500)
+            q.add_argument("--labels", default="full")
         q.add_argument("--ranks", default="10")
         q.add_argument("--regs", default="0.1")
         q.add_argument("--alphas", default="1")
         q.add_argument("--variant", default="raw")
+        q.add_argument("--max-iter", type=int, default=10)
+        q.add_argument("--seed", type=int, default=0)
+        q.add_argument("--min-count", type=float, default=2.0)
+        q.add_argument("--cap", type=float, default=10.0)
+        q.add_argument("--parallelism", type=int, default=1)
     a = ap.parse_args(argv)
     spark = build_session()
     if a.cmd == "prepare":
         print(prepare(spark, a.train, a.val, a.test, a.out, a.fraction, a.fit_on))
         return
     ranks = [int(x) for x in a.ranks.split(",")]
+    fit = {"variant": a.variant, "max_iter": a.max_iter, "seed": a.seed, "min_count": a.min_count,
+           "cap": a.cap, "parallelism": a.parallelism}
+    points = (ranks, _floats(a.regs), _floats(a.alphas))
     if a.cmd == "train":
-        print(train(spark, a.data, a.models, ranks, _floats(a.regs), _floats(a.alphas), a.variant))
+        print(train(spark, a.data, a.models, *points, **fit))
     else:
-        evaluate(spark, a.data, a.models, a.results, ranks, _floats(a.regs), _floats(a.alphas),
-                 a.variant, a.split, a.k).show(truncate=False)
+        evaluate(spark, a.data, a.models, a.results, *points, split=a.split, k=a.k,
+                 labels_how=a.labels, **fit).show(truncate=False)
 
 
 if __name__ == "__main__":

@@ -253,6 +253,13 @@ FROM val v JOIN (SELECT track_id, avg(count) AS prediction FROM train GROUP BY t
 ORACLE["sweep_best"] = ("SELECT how, map FROM (" + _variant_compare()
                         + ") ORDER BY map DESC, how LIMIT 1")
 
+ORACLE["describe_columns"] = with_(INTER) + "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS "column", CAST(count({c}) AS BIGINT) AS n, {m} AS mean, {d} AS stddev,
+  CAST(min({c}) AS VARCHAR) AS min, CAST(max({c}) AS VARCHAR) AS max FROM inter"""
+    for c, m, d in (("user_id", "CAST(NULL AS DOUBLE)", "CAST(NULL AS DOUBLE)"),
+                    ("track_id", "CAST(NULL AS DOUBLE)", "CAST(NULL AS DOUBLE)"),
+                    ("count", "round(avg(count), 5)", "round(stddev_samp(count), 5)")))
+
 ORACLE["head_interactions"] = with_(INTER) + "SELECT * FROM inter ORDER BY user_id, track_id LIMIT 20"
 
 EVENTS = """ev AS (

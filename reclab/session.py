@@ -3,36 +3,49 @@ checkpoint directory rule (use the cluster's, set one only when unset and local)
 
 from __future__ import annotations
 
-import os
+import atexit
 import tempfile
 
 from pyspark.sql import SparkSession
 
 
+#: Settings used where nothing else sets them.
+DEFAULTS = {
+    "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "reclab", extra: dict | None = None) -> SparkSession:
-    """Session with AQE on and the UI off.  On a cluster pass master=None and let
-    spark-submit decide; the settings below are then only defaults."""
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = (
-        SparkSession.builder.appName(app_name)
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
-        .config("spark.driver.memory", "16g")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-    )
-    for key, value in (extra or {}).items():
-        builder = builder.config(key, value)
-    if master is not None:
-        builder = builder.master(master)
-    spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    """The active session as it is, or a new one with ``DEFAULTS``.
+
+    Whatever spark-submit, a properties file or the active session already
+    sets stays as it is: the defaults, ``shuffle_partitions`` and ``master``
+    only fill gaps.  ``extra`` is the caller's explicit choice and wins."""
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        from pyspark import SparkConf, SparkContext
+
+        # start the JVM (if spark-submit has not) so that SparkConf sees what was submitted
+        SparkContext._ensure_initialized(conf=SparkConf(loadDefaults=False).setAll(list((extra or {}).items())))
+        given = SparkConf()
+        wanted = dict(DEFAULTS)
+        if shuffle_partitions is not None:
+            wanted["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+        if master is not None:
+            wanted["spark.master"] = master
+        # the launcher itself turns the progress bar on, so that one says nothing
+        wanted = {k: v for k, v in wanted.items()
+                  if k == "spark.ui.showConsoleProgress" or not given.contains(k)}
+        spark = SparkSession.builder.appName(app_name).config(map={**wanted, **(extra or {})}).getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -53,7 +66,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not (sc.master == "local" or sc.master.startswith("local[")):  # local-cluster is a cluster
         raise RuntimeError(
             "spark.checkpoint.dir is not set; name a shared folder (HDFS/S3) for checkpoints")
     path = tempfile.mkdtemp(prefix="reclab-ckpt-")
@@ -66,22 +79,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/reclab-{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/reclab-{name}-{uuid.uuid4().hex[:12]}"
+    if not _SCRATCH:
+        atexit.register(clear_scratch)
+    _SCRATCH.append((spark, path))
+    return path
+
+
+def materialise(df, name: str):
+    """``df`` written once under the checkpoint folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def right_size(df, n_rows: int, rows_per_partition: int = 200_000):
-    """Coalesce (no shuffle) an input that has far more partitions than its
-    row count warrants, before an iterative ML fit scans it many times.
-    Large inputs keep their partitioning."""
-    want = max(1, -(-n_rows // rows_per_partition))
-    have = df.rdd.getNumPartitions()
-    return df.coalesce(want) if have > 2 * want else df
+_SCRATCH: list[tuple[SparkSession, str]] = []
 
 
-def allow_cached_coalescing(spark) -> None:
-    """Let AQE coalesce the partitions of a cached plan.  Without it a cached
-    table keeps ``spark.sql.shuffle.partitions`` partitions however small it
-    is, and every later shuffle from it writes partitions x partitions
-    blocks."""
-    if spark.conf.get("spark.sql.adaptive.enabled", "true") == "true":
-        spark.conf.set("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "true")
+def clear_scratch() -> None:
+    """Delete the intermediate tables of this process (also done at its end).
+    DataFrames that still read them become unusable."""
+    while _SCRATCH:
+        spark, path = _SCRATCH.pop()
+        try:
+            jvm = spark.sparkContext._jvm
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        except Exception:  # the session is gone already: its folder stays for the cluster's cleaner
+            return

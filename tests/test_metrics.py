@@ -48,11 +48,17 @@ def test_cold_users_drop_or_zero(spark):
     lab = lab.unionByName(spark.createDataFrame([(7, 1, 1)], "user int, item int, count long"))
     drop = mt.ranking_metrics(r, lab, ks=(1,)).first()
     zero = mt.ranking_metrics(r, lab, ks=(1,), cold="zero").first()
-    assert (drop["n_users_scored"], drop["n_users_cold"]) == (1, 0)
+    assert (drop["n_users_scored"], drop["n_users_cold"]) == (1, 1)
     assert (zero["n_users_scored"], zero["n_users_cold"]) == (1, 1)
     assert drop["precision_at_1"] == 1.0 and zero["precision_at_1"] == 0.5
 
 
+def test_repeated_labels_count_once(spark):
+    r, lab = _frames(spark, [([1, 2], [1, 1, 3])])
+    row = mt.ranking_metrics(r, lab, ks=(1, 2)).first()
+    assert row["precision_at_1"] == 1.0 and row["recall_at_2"] == 0.5 and row["map"] == 0.5
+
+
 def test_global_list_equals_per_user_list(spark):
     r, lab = _frames(spark, [([1, 2, 3], [1, 3]), ([1, 2, 3], [2]), ([1, 2, 3], [9])])
     per_user = mt.ranking_metrics(r, lab, ks=(2, 3), map_k=(2,)).first().asDict()
