@@ -25,12 +25,15 @@ def test_three_jobs_end_to_end(spark, tmp_out):
                        max_iter=2)
     assert again == saved  # nothing refitted: same keys, models exist
     res = jobs.evaluate(spark, f"{tmp_out}/fmt", f"{tmp_out}/models", f"{tmp_out}/results",
-                        [3], [0.1], [1.0, 2.0], k=50)
+                        [3], [0.1], [1.0, 2.0], k=50, max_iter=2)
     assert res.count() == 2
     none_left = jobs.evaluate(spark, f"{tmp_out}/fmt", f"{tmp_out}/models", f"{tmp_out}/results",
-                              [3], [0.1], [1.0, 2.0], k=50)
+                              [3], [0.1], [1.0, 2.0], k=50, max_iter=2)
     assert none_left.count() == 0
-    logged = io.read_results(spark, f"{tmp_out}/results")
+    test = jobs.evaluate(spark, f"{tmp_out}/fmt", f"{tmp_out}/models", f"{tmp_out}/results",
+                         [3], [0.1], [1.0, 2.0], k=50, max_iter=2, split="test")
+    assert test.count() == 2  # the same results table takes another split
+    logged = io.read_results(spark, f"{tmp_out}/results").where("split = 'val'")
     assert logged.count() == 2 and logged.where(F.col("map").between(0, 1)).count() == 2
 
 
