@@ -1,10 +1,12 @@
 """N-gram Jaccard self-join with a token-group matrix.
 
 Every text is its set of distinct word shingles.  Equal sets are one node.
-Tokens are ordered from rare to frequent (an approximate order by a counting
-sketch over all documents; any order gives the same links) and a node is
-indexed by its first tokens only: two sets that are similar enough must share
-one of these, so a token held by one node needs no further thought.
+Tokens are ordered from rare to frequent and a node is indexed by its first
+tokens only: two sets that are similar enough must share one of these, so a
+token held by one node needs no further thought.  Any order gives the same
+links, so an approximate one will do: a counting sketch over all documents
+tells the most frequent tokens, and a first index tells the tokens that it
+finds at several nodes; the second index, made with both, is the one in use.
 
 Groups: the nodes that share an indexed token are compared with the one among
 them that shares most (the centre); nodes similar to a centre form its group.
@@ -19,7 +21,10 @@ group's centre: since 1 - Jaccard is a distance, a member within 1 - t of its
 centre can only be within 1 - t of a query if the centre is within 2 (1 - t).
 Groups that qualify are opened in blocks of bounded size; a block stores the
 union of its members' tokens, which bounds the overlap of a query with each of
-them once more, and only then are exact overlaps counted.  Copies and near
+them once more, and only then are exact overlaps counted.  Nodes that are
+similar to no centre are pooled by the centre they share most with; a pool's
+blocks are compared sketch by sketch first, and only nodes that could link
+bring their sets.  Copies and near
 copies meet at their centre instead of in pairs, and no link between
 different components is lost.
 """
@@ -37,6 +42,9 @@ SHINGLE, PERCENT = 5, 80
 #: Cells of the counting sketch (its size on the driver and in each task is fixed).
 SKETCH = 1 << 18
 _PARTS = 64
+#: A token that the first index finds at so many nodes is frequent; frequent
+#: tokens are marked in a table of so many bits (two tokens may share one).
+FREQUENT, MARKS = 8, 1 << 24
 #: Members in a block of a group.
 BLOCK = 400
 #: Tokens of queries that a task holds before it answers them.
@@ -175,16 +183,66 @@ def _tiers(survey: DataFrame) -> np.ndarray:
     return np.where(excess > 0, 1 + np.log2(np.maximum(excess, 1)), 0).astype(np.uint8)
 
 
-def _index(docs: DataFrame, tiers: np.ndarray, width: int, percent: int) -> DataFrame:
+def _gather_bits(rows: DataFrame, part: str, data: str, size: int) -> np.ndarray:
+    """The union of bit tables that arrive in numbered slices; ``size`` bytes
+    reach the driver."""
+    def union(batches):
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                own = np.frombuffer(raw, np.uint8)
+                held[k] = held[k] | own if k in held else own
+        if held:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(held), pa.int32()), pa.array([v.tobytes() for v in held.values()], pa.binary())],
+                names=["part", "data"])
+
+    out = np.zeros((_PARTS, size // _PARTS), np.uint8)
+    for r in rows.select(F.col(part).alias("part"), F.col(data).alias("data")).repartition("part").mapInArrow(
+            union, "part int, data binary").collect():
+        out[r["part"]] |= np.frombuffer(r["data"], np.uint8)
+    return out.ravel()
+
+
+def _frequent(index: DataFrame) -> np.ndarray:
+    """Bit table of the tokens that at least FREQUENT nodes of an index hold."""
+    def run(batches):
+        batches = [b for b in batches if b.num_rows]
+        if not batches:
+            return
+        table = pa.Table.from_batches(batches)
+        token, a = table.column("token").to_numpy(), table.column("a").to_numpy()
+        by = np.lexsort([a, token])
+        token, a = token[by], a[by]
+        new = np.r_[True, (token[1:] != token[:-1]) | (a[1:] != a[:-1])]
+        token = token[new]
+        edge = np.flatnonzero(np.r_[True, token[1:] != token[:-1], True])
+        often = token[edge[:-1]][np.diff(edge) >= FREQUENT] & (MARKS - 1)
+        bits = np.zeros(MARKS // 8, np.uint8)
+        np.bitwise_or.at(bits, often >> 3, np.left_shift(1, often & 7).astype(np.uint8))
+        slices = bits.reshape(_PARTS, -1)
+        used = np.flatnonzero(slices.any(1))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(used.astype(np.int32)), pa.array([slices[k].tobytes() for k in used], pa.binary())],
+            names=["part", "data"])
+
+    rows = index.repartition("token").mapInArrow(run, "part int, data binary")
+    return _gather_bits(rows, "part", "data", MARKS // 8)
+
+
+def _index(docs: DataFrame, tiers: np.ndarray, marks: np.ndarray | None, width: int, percent: int) -> DataFrame:
     """(token, node) for the indexed tokens of every distinct set of a task."""
-    shared = docs.sparkSession.sparkContext.broadcast(tiers)  # SKETCH bytes
+    shared = docs.sparkSession.sparkContext.broadcast((tiers, marks))  # SKETCH and MARKS / 8 bytes
 
     def run(batches):
-        tier, seen = shared.value, set()
+        (tier, often), seen = shared.value, set()
         for batch in batches:
             for _, hashes, counts in shingle_sets(batch.column(0), width):
                 a, c = _name(hashes, counts)
                 rank = tier[(hashes >> np.uint64(64 - 18)).astype(np.int64)]
+                if often is not None:
+                    bit = (hashes & np.uint64(MARKS - 1)).astype(np.int64)
+                    rank = np.maximum(rank, (often[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1)
                 ends = np.cumsum(counts)
                 tokens, owners, sizes = [], [], []
                 if len(seen) > REMEMBER:
@@ -317,14 +375,22 @@ def _sets(docs: DataFrame, survey: DataFrame, nodes: DataFrame, width: int) -> D
 _OPENED = "qa long, qc long, ma long, mc long"
 
 
-def _open(sets: DataFrame, roles: DataFrame, percent: int) -> DataFrame:
+def _open(sets: DataFrame, roles: DataFrame, percent: int, sketched: bool = False) -> DataFrame:
     """Links (u, v) between the queries and members of each block.  ``roles``:
-    node, home, block, query (boolean); members are bounded in number."""
+    node, home, block, query (boolean); members are bounded in number.
+
+    ``sketched``: the sets are sketches, and the result is (node, home) of the
+    nodes whose sketch allows a link with another of their block."""
+    kind = "<u2" if sketched else np.uint64
+
     def links(members, queries):
         names = np.array([m[0] for m in members])
-        sizes = np.array([len(m[1]) for m in members])
+        held = np.array([len(m[1]) for m in members])
+        sizes = names[:, 1] & int(_SIZE) if sketched else held
         tokens = np.concatenate([m[1] for m in members])
-        owner = np.repeat(np.arange(len(members)), sizes)
+        owner = np.repeat(np.arange(len(members)), held)
+        if not len(tokens):
+            tokens, owner = np.zeros(1, kind), np.zeros(1, np.int64)  # counts too much, which a bound may
         by = np.argsort(tokens, kind="stable")
         tokens, owner = tokens[by], owner[by]
         edge = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1], True])
@@ -332,14 +398,23 @@ def _open(sets: DataFrame, roles: DataFrame, percent: int) -> DataFrame:
         for name, own in queries:
             at = np.minimum(np.searchsorted(union, own), len(union) - 1)
             at = at[union[at] == own]
-            if len(at) < _needed(len(own), percent):  # no member can overlap enough
+            if not sketched and len(at) < _needed(len(own), percent):  # no member can overlap enough
                 continue
             n = edge[at + 1] - edge[at]
             spot = np.repeat(edge[at] - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
             both = np.bincount(owner[spot], minlength=len(members))
-            for k in np.flatnonzero(100 * both >= percent * (sizes + len(own) - both)).tolist():
+            n_own = len(own)
+            if sketched:  # what lies outside the sketches may all be shared
+                n_own = name[1] & int(_SIZE)
+                both = np.minimum(both + np.minimum(n_own - len(own), sizes - held), np.minimum(n_own, sizes))
+            fits = 100 * both >= percent * (sizes + n_own - both)
+            if sketched:
+                fits |= (sizes >= int(_SIZE)) | (n_own >= int(_SIZE))
+            for k in np.flatnonzero(fits).tolist():
                 if (names[k] != name).any():
                     yield (*name, *names[k].tolist())
+                    if sketched:
+                        break
 
     def run(batches):
         key, members, waiting, held = None, [], [], 0
@@ -350,6 +425,8 @@ def _open(sets: DataFrame, roles: DataFrame, percent: int) -> DataFrame:
             rows = list(links(members, waiting))
             if not rows:
                 return None
+            if sketched:
+                rows = [(*r[:2], key[0], key[1]) for r in rows]
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["qa", "qc", "ma", "mc"])
 
@@ -363,7 +440,7 @@ def _open(sets: DataFrame, roles: DataFrame, percent: int) -> DataFrame:
                     if out is not None:
                         yield out
                     key, members, waiting, held = here, [], [], 0
-                entry = ((col[4][i], col[5][i]), np.frombuffer(sets_[i].as_buffer(), np.uint64))
+                entry = ((col[4][i], col[5][i]), np.frombuffer(sets_[i].as_buffer(), kind))
                 if not col[3][i]:
                     if not members or members[-1][0] != entry[0]:  # a repeated row gives its set again
                         members.append(entry)
@@ -384,6 +461,9 @@ def _open(sets: DataFrame, roles: DataFrame, percent: int) -> DataFrame:
         F.col("node.a").alias("a"), F.col("node.c").alias("c"), "tokens")
     found = placed.repartition("ha", "hc", "block").sortWithinPartitions(
         "ha", "hc", "block", "query", "a", "c").mapInArrow(run, _OPENED)
+    if sketched:
+        return found.select(F.struct(F.col("qa").alias("a"), F.col("qc").alias("c")).alias("node"),
+                            F.struct(F.col("ma").alias("a"), F.col("mc").alias("c")).alias("home")).distinct()
     return found.select(F.struct(F.col("qa").alias("a"), F.col("qc").alias("c")).alias("u"),
                         F.struct(F.col("ma").alias("a"), F.col("mc").alias("c")).alias("v")).distinct()
 
@@ -422,10 +502,23 @@ def _compatible(percent, a, b):
     return (a >= full) | (b >= full) | ((100 * a >= percent * b) & (100 * b >= percent * a))
 
 
+def _self_roles(groups: DataFrame) -> DataFrame:
+    """Roles that compare the nodes of each group (node, home) with each other:
+    members dealt to blocks, every node a query to all blocks of its group."""
+    sized = groups.join(groups.groupBy("home").agg(F.count(F.lit(1)).alias("crowd")).where("crowd > 1"), "home")
+    blocks = F.ceil(F.col("crowd") / BLOCK).cast("int")
+    members = sized.select("node", "home", F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"),
+                           F.lit(False).alias("query"))
+    return members.unionByName(sized.select(
+        "node", "home", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.lit(True).alias("query")))
+
+
 def node_links(docs: DataFrame, survey: DataFrame, width: int, percent: int) -> DataFrame:
     """Links (u, v) that connect the nodes as all links between different sets
     would."""
-    posts = common.written(_postings(_index(docs, _tiers(survey), width, percent)), "postings")
+    tiers = _tiers(survey)
+    marks = _frequent(_index(docs, tiers, None, width, percent))
+    posts = common.written(_postings(_index(docs, tiers, marks, width, percent)), "postings")
     # the centre of a token: the node that shares the largest part of its index
     size = _size("node")
     indexed = size - F.ceil(size * percent / 100) + 1
@@ -433,9 +526,10 @@ def node_links(docs: DataFrame, survey: DataFrame, width: int, percent: int) ->
     rated = share.select("node", F.floor(F.least(F.lit(1000), 1000 * F.col("shared") / indexed)).alias("rate"))
     centre = posts.join(rated, "node").groupBy("token").agg(
         F.max(F.struct("rate", "node")).alias("m")).select("token", F.col("m.node").alias("centre"))
-    stars = common.written(posts.join(centre, "token").select("node", "centre").distinct(), "stars")
+    stars = common.written(posts.join(centre, "token").groupBy("node", "centre").agg(
+        F.count(F.lit(1)).alias("common")), "stars")
     sketches = common.written(_sketch_table(survey, share.select("node")), "sketches")
-    tries = stars.where((F.col("node") != F.col("centre")) & _compatible(percent, _size("node"), _size("centre")))
+    tries = stars.select("node", "centre").where((F.col("node") != F.col("centre")) & _compatible(percent, _size("node"), _size("centre")))
     tries = common.written(_bounded(
         tries.withColumn("least", F.lit(percent).cast("long")), sketches, "node", "centre"), "tries")
     block = F.lit(0).alias("block")
@@ -445,16 +539,26 @@ def node_links(docs: DataFrame, survey: DataFrame, width: int, percent: int) ->
     roles = common.written(roles, "roles")
     first = common.written(_open(_sets(docs, survey, roles.select("node"), width), roles, percent), "links")
     comps = components(first)
-    # a node's group: itself if a centre, else the least centre it is similar to, else itself
+    # a node's group: itself if a centre, else the least centre it is similar to,
+    # else itself; its pool: the centre it shares most with
     centres = stars.where("node = centre").select("node").distinct().withColumn("is_centre", F.lit(True))
     joined = first.select(F.col("u").alias("node"), F.col("v").alias("home")).groupBy("node").agg(
         F.min("home").alias("near"))
+    pools = stars.groupBy("node").agg(F.max(F.struct("common", F.col("centre").alias("pool"))).alias("p")).select(
+        "node", F.col("p.pool").alias("pool"))
     homes = common.written(
-        share.select("node").join(centres, "node", "left").join(joined, "node", "left").join(comps, "node", "left")
-        .select("node", F.when(F.col("is_centre"), F.col("node")).otherwise(F.coalesce("near", "node")).alias("home"),
+        pools.join(centres, "node", "left").join(joined, "node", "left").join(comps, "node", "left")
+        .select("node", "pool",
+                F.when(F.col("is_centre"), F.col("node")).otherwise(F.coalesce("near", "node")).alias("home"),
                 F.coalesce("comp", "node").alias("comp")), "homes")
-    crowd = homes.groupBy("home").agg(
-        F.count(F.lit(1)).alias("crowd"), F.min(_size("node")).alias("n0"), F.max(_size("node")).alias("n1"))
+    crowd = common.written(homes.groupBy("home").agg(
+        F.count(F.lit(1)).alias("crowd"), F.min(_size("node")).alias("n0"), F.max(_size("node")).alias("n1"),
+        F.min("pool").alias("group_pool")), "groups")
+    alone = homes.join(crowd.where("crowd = 1").select("home"), "home", "left_semi").select(
+        "node", F.col("pool").alias("home"))
+    could = common.written(_open(sketches.withColumnRenamed("sketch", "tokens"), _self_roles(alone), percent,
+                                 sketched=True), "pooled")
+    pooled = _open(_sets(docs, survey, could.select("node"), width), common.written(_self_roles(could), "roles"), percent)
     # the token-group matrix (members of a group are one component), only where
     # a token still sees two components
     held = posts.join(homes, "node")
@@ -462,7 +566,7 @@ def node_links(docs: DataFrame, survey: DataFrame, width: int, percent: int) ->
         "t0 != t1").select("token")
     matrix = held.join(split, "token", "left_semi")
     cells = matrix.select("token", "home", F.col("comp").alias("group_comp")).distinct().join(crowd, "home")
-    asking = matrix.select("token", "node", "comp", F.col("home").alias("from")).join(
+    asking = matrix.select("token", "node", "comp", "pool", F.col("home").alias("from")).join(
         crowd.select(F.col("home").alias("from"), F.col("crowd").alias("mine")), "from")
     full = F.lit(int(_SIZE))
     n = _size("node")
@@ -470,7 +574,8 @@ def node_links(docs: DataFrame, survey: DataFrame, width: int, percent: int) ->
     smaller = (F.struct(F.col("mine").alias("m"), F.col("from").alias("h"))
                < F.struct(F.col("crowd").alias("m"), F.col("home").alias("h")))
     queries = asking.join(cells, "token").where(
-        (F.col("comp") != F.col("group_comp")) & smaller & (meets | (n >= full) | (F.col("n1") >= full))).select(
+        (F.col("comp") != F.col("group_comp")) & smaller
+        & ~((F.col("mine") == 1) & (F.col("crowd") == 1) & (F.col("pool") == F.col("group_pool"))) & (meets | (n >= full) | (F.col("n1") >= full))).select(
             "node", "home", "crowd").distinct()
     # a group of one is its centre; members of a larger one are near theirs
     queries = queries.withColumn("least", F.when(F.col("crowd") == 1, percent).otherwise(
@@ -483,8 +588,8 @@ def node_links(docs: DataFrame, survey: DataFrame, width: int, percent: int) ->
     callers = queries.select("node", "home", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"),
                              F.lit(True).alias("query"))
     roles = common.written(members.unionByName(callers), "roles")
-    second = common.written(_open(_sets(docs, survey, roles.select("node"), width), roles, percent), "links")
-    return first.unionByName(second)
+    second = _open(_sets(docs, survey, roles.select("node"), width), roles, percent)
+    return first.unionByName(common.written(pooled.unionByName(second), "links"))
 
 
 def linked_components(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
