@@ -478,7 +478,12 @@ def components(links: DataFrame) -> DataFrame:
     """
     low, high = F.least("u", "v"), F.greatest("u", "v")
     edges = common.written(links.where("u != v").select(high.alias("u"), low.alias("v")).distinct(), "edges")
-    state = None
+
+    def summary():
+        return edges.agg(F.count(F.lit(1)).alias("n"),
+                         F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
+
+    state = summary()
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
@@ -490,8 +495,8 @@ def components(links: DataFrame) -> DataFrame:
                               F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select(
             "e.u", "e.v").where("u != v").distinct()
         edges = common.written(small, "edges")
-        now = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-        if now == state:
+        now = summary()
+        if now == state:  # stars only
             return edges.select(F.col("u").alias("node"), F.col("v").alias("comp"))
         state = now
 
