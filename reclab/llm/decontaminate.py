@@ -30,12 +30,11 @@ COVER = 0.6
 #: a larger benchmark is joined by a shuffle.
 BROADCAST_WINDOWS = 1_000_000
 
-NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
+NAME, NUMBER, UNIT = "\u0001", "\u0002", "\u0003"
 # fixed values: unit words that may follow a number
 UNITS = ["mm", "cm", "m", "km", "mg", "g", "kg", "ml", "l", "s", "min", "h", "hours", "hour", "minutes",
          "minute", "seconds", "second", "days", "day", "weeks", "week", "years", "year", "meters", "metres",
          "miles", "feet", "inches", "pounds", "dollars", "euros", "cents", "percent", "kmh", "mph"]
-_TOKEN = r"[.!?\n]|[\p{L}\p{M}]+|\p{Nd}+(?:[.,]\p{Nd}+)*"
 _PLAIN = r"[\p{L}\p{M}]+|\p{Nd}+(?:[.,]\p{Nd}+)*"
 
 
@@ -46,43 +45,63 @@ def words(text: Column) -> Column:
 
 def template(text: Column, names: bool = True) -> Column:
     """Template tokens of a text, one for each of its ``words``."""
-    marked = F.coalesce(text, F.lit(""))
+    marked = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x01-\x03]", " ")
     if names:  # a capital after a lower-case letter or a comma, in the same sentence
-        marked = F.regexp_replace(marked, r"(?<=[\p{Ll}\p{Nd},;:]\x20)\p{Lu}[\p{L}\p{M}]*", "\u0001")
-    marked = F.regexp_replace(marked, r"\p{Nd}+(?:[.,]\p{Nd}+)*", "\u0002")
+        marked = F.regexp_replace(marked, r"(?<=[\p{Ll}\p{Nd},;:]\x20)\p{Lu}[\p{L}\p{M}]*", NAME)
+    marked = F.regexp_replace(marked, r"\p{Nd}+(?:[.,]\p{Nd}+)*", NUMBER)
     units = "|".join(sorted(UNITS, key=len, reverse=True))
-    marked = F.regexp_replace(marked, rf"(?i)(?<=\u0002\x20?)(?:{units})(?![\p{{L}}\p{{M}}])", "\u0003")
+    marked = F.regexp_replace(marked, rf"(?i)(?<=\u0002\x20?)(?:{units})(?![\p{{L}}\p{{M}}])", UNIT)
     parts = F.regexp_extract_all(F.lower(marked), F.lit(r"[\p{L}\p{M}]+|[\x01\x02\x03]"), F.lit(0))
     return parts
 
 
-def _windows(tokens: Column, width: int) -> Column:
-    """array<struct<at, h>>: the hash of every ``width`` tokens, by start."""
-    count = F.size(tokens) - width
-    return F.when(count >= 0, F.transform(F.sequence(F.lit(0), F.greatest(count, F.lit(0))), lambda i: F.struct(
-        i.alias("at"), F.xxhash64(F.slice(tokens, i + 1, width)).alias("h")))).otherwise(
-            F.array().cast("array<struct<at:int,h:bigint>>"))
+def _slots(tokens: Column) -> Column:
+    """Positions of the placeholders."""
+    return F.filter(F.sequence(F.lit(0), F.greatest(F.size(tokens) - 1, F.lit(0))),
+                    lambda i: F.get(tokens, i).isin(NAME, NUMBER, UNIT))
+
+
+def _windows(tokens: Column, values: Column, slots: Column, width: int) -> Column:
+    """array<struct<at, h, v>>: of every ``width`` tokens their start, their
+    hash, and the words in their slots (null without any)."""
+    starts = F.sequence(F.lit(0), F.greatest(F.size(tokens) - width, F.lit(0)))
+
+    def hashed(i):
+        return F.xxhash64(F.slice(tokens, i + 1, width)).alias("h")
+
+    def inside(i):
+        return F.transform(F.filter(slots, lambda p: (p >= i) & (p < i + width)), lambda p: F.get(values, p))
+
+    none = F.lit(None).cast("array<string>")
+    plain = F.transform(starts, lambda i: F.struct(i.alias("at"), hashed(i), none.alias("v")))
+    typed = F.transform(starts, lambda i: F.struct(i.alias("at"), hashed(i), inside(i).alias("v")))
+    return F.when(F.size(tokens) < width, F.array().cast("array<struct<at:int,h:bigint,v:array<string>>>")).when(
+        F.size(slots) == 0, plain).otherwise(typed)
+
+
+def _tokenised(df: DataFrame, names: bool = True) -> DataFrame:
+    """``df`` with tokens, slots and values (the lower-cased words) added."""
+    return df.withColumns({"tokens": template(F.col("text"), names), "values": F.transform(
+        words(F.col("text")), lambda w: F.lower(w))}).withColumn("slots", _slots(F.col("tokens")))
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     """One row per window of each distinct item text: h, width, item_id (the
-    smallest of equal items), n_items, at, n_windows, slots (the item's words
-    in the window) and kinds (its template tokens)."""
+    smallest of equal items), n_items, b_at (start), n_windows and b_v (the
+    words in its slots)."""
     items = (benchmark.where(F.col("text").isNotNull()).groupBy("text")
              .agg(F.min("item_id").alias("item_id"), F.count(F.lit(1)).alias("n_items")))
-    whole = items.withColumn("words", words(F.col("text")))
-    forms = whole.withColumn("tokens", template(F.col("text"))).unionByName(
-        whole.withColumn("tokens", template(F.col("text"), names=False)))
-    forms = forms.where((F.size("tokens") >= LEAST) & (F.size("tokens") == F.size("words"))).withColumn(
+    forms = _tokenised(items).unionByName(_tokenised(items, names=False))
+    forms = forms.where((F.size("tokens") >= LEAST) & (F.size("tokens") == F.size("values"))).withColumn(
         "width", F.least(F.lit(WINDOW), F.size("tokens")))
-    spread = forms.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("tokens") - F.col("width"))))
-    return spread.select(
-        F.expr("slice(tokens, at + 1, width)").alias("kinds"), F.expr("slice(words, at + 1, width)").alias("slots"),
-        "item_id", "n_items", "at", "width", (F.size("tokens") - F.col("width") + 1).alias("n_windows"),
-    ).dropDuplicates(["item_id", "at", "kinds"]).withColumn("h", F.xxhash64("kinds"))
-
-
-_PLACE = ("\u0001", "\u0002", "\u0003")
+    out = None
+    for width in range(LEAST, WINDOW + 1):
+        own = forms.where(F.col("width") == width).select(
+            "item_id", "n_items", "width", (F.size("tokens") - F.col("width") + 1).alias("n_windows"),
+            F.explode(_windows(F.col("tokens"), F.col("values"), F.col("slots"), width)).alias("w"))
+        out = own if out is None else out.unionByName(own)
+    return out.select("w.h", "width", "item_id", "n_items", F.col("w.at").alias("b_at"), "n_windows",
+                      F.col("w.v").alias("b_v")).dropDuplicates(["item_id", "b_at", "h"])
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, cover: float = COVER,
@@ -98,49 +117,44 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cover: float = COVER,
     """
     known = common.written(benchmark_windows(benchmark), "benchmark-windows")
     sizes = known.groupBy("width").agg(F.count(F.lit(1)).alias("n")).collect()  # at most WINDOW rows
+    if not sizes:
+        return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, key_a long, key_b long, "
+                                                 "n_items long, n_windows int, n_matched long, renamed long")
     keyed = docs.select(F.xxhash64("doc_id", "text").alias("key_a"),
                         F.xxhash64(F.lit(1), "text", "doc_id").alias("key_b"), "doc_id", "text")
-    hashes = known.select("h", "width", "item_id", "n_items", "n_windows", F.col("at").alias("b_at"),
-                          F.exists("kinds", lambda k: k.isin(*_PLACE)).alias("has_slots"))
-    if sum(r["n"] for r in sizes) <= broadcast_windows:
-        hashes = F.broadcast(hashes)
-    tokens = keyed.withColumn("tokens", template(F.col("text")))
+    hashes = F.broadcast(known) if sum(r["n"] for r in sizes) <= broadcast_windows else known
+    tokens = _tokenised(keyed)
     hits = None
     for width in sorted(r["width"] for r in sizes):
         windows = tokens.select("key_a", "key_b", "doc_id", F.explode(
-            _windows(F.col("tokens"), width)).alias("w")).select(
-                "key_a", "key_b", "doc_id", "w.at", "w.h", F.lit(width).alias("width"))
+            _windows(F.col("tokens"), F.col("values"), F.col("slots"), width)).alias("w")).select(
+                "key_a", "key_b", "doc_id", "w.at", "w.h", "w.v", F.lit(width).alias("width"))
         found = windows.join(hashes, ["h", "width"]).drop("h", "width")
         hits = found if hits is None else hits.unionByName(found)
     key = ["key_a", "key_b", "item_id"]
-    if hits is None:
-        return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, key_a long, key_b long, "
-                                                 "n_items long, n_windows int, n_matched long, renamed long")
     hits = common.written(hits, "benchmark-hits")
-    # slots of the windows that have any: the item's words against the document's
-    wanted = hits.where("has_slots").select(*key, "at", "b_at").distinct()
-    item_slots = known.select("item_id", F.col("at").alias("b_at"), "slots", "kinds", "width").where(
-        F.exists("kinds", lambda k: k.isin(*_PLACE)))
-    with_words = (wanted.join(keyed.withColumn("words", words(F.col("text"))).select("key_a", "key_b", "words"),
-                              ["key_a", "key_b"])
-                  .select(*key, "at", "b_at", "words")
-                  .join(item_slots, ["item_id", "b_at"]))
-    pairs = (with_words.select(*key, F.explode(F.expr(
-        "filter(arrays_zip(kinds, slots, slice(words, at + 1, width)), x -> x.kinds in ('\u0001', '\u0002', '\u0003'))"))
-        .alias("p")).select(*key, F.col("p.slots").alias("b"), F.lower(F.col("p.`2`")).alias("d"))
-        .withColumn("b", F.lower("b")).distinct())
-    agreed = pairs.groupBy(*key).agg(
+    # a copy is judged as a whole and, in case a document holds several that
+    # differ, by its offset from the item
+    hits = hits.withColumn("offset", F.explode(F.array(F.lit(None).cast("int"), F.col("at") - F.col("b_at"))))
+    hits = hits.withColumn("offset", F.coalesce("offset", F.lit(1 << 31)).cast("long"))
+    one = [*key, "offset"]
+    # each slot value of the item against the document's
+    pairs = (hits.where("b_v IS NOT NULL").select(*one, F.explode(F.arrays_zip("b_v", "v")).alias("p"))
+             .select(*one, F.col("p.b_v").alias("b"), F.col("p.v").alias("d")).distinct())
+    agreed = pairs.groupBy(*one).agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("b").alias("nb"), F.countDistinct("d").alias("nd"),
         F.count(F.when(F.col("b") != F.col("d"), 1)).alias("renamed")).select(
-            *key, ((F.col("n") == F.col("nb")) & (F.col("n") == F.col("nd"))).alias("consistent"), "renamed")
-    covered = hits.groupBy(*key).agg(
+            *one, ((F.col("n") == F.col("nb")) & (F.col("n") == F.col("nd"))).alias("consistent"), "renamed")
+    covered = hits.groupBy(*one).agg(
         F.first("doc_id").alias("doc_id"), F.max("n_items").alias("n_items"),
         F.max("n_windows").alias("n_windows"), F.countDistinct("b_at").alias("n_matched"))
-    return (covered.where(F.col("n_matched") >= cover * F.col("n_windows"))
-            .join(agreed, key, "left")
-            .where(F.coalesce(F.col("consistent"), F.lit(True)))
-            .select("doc_id", "item_id", "key_a", "key_b", "n_items", "n_windows", "n_matched",
-                    F.coalesce(F.col("renamed"), F.lit(0)).cast("long").alias("renamed")))
+    accepted = (covered.where(F.col("n_matched") >= cover * F.col("n_windows"))
+                .join(agreed, one, "left").where(F.coalesce(F.col("consistent"), F.lit(True))))
+    return accepted.groupBy(*key).agg(
+        F.first("doc_id").alias("doc_id"), F.max("n_items").alias("n_items"), F.max("n_windows").alias("n_windows"),
+        F.max("n_matched").alias("n_matched"), F.min(F.coalesce(F.col("renamed"), F.lit(0))).alias("renamed")).select(
+            "doc_id", "item_id", "key_a", "key_b", "n_items", "n_windows", "n_matched",
+            F.col("renamed").cast("long").alias("renamed"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

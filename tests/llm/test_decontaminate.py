@@ -32,6 +32,8 @@ def test_copies_recased_and_reparameterised(spark):
     assert (2, 0) in got and got[2, 0]["renamed"] >= 3
     assert (3, 0) not in got  # one name stands for two values: the slots disagree
     assert (4, 0) in got
+    both = found(spark, q + " And again: " + other)
+    assert both[0, 0]["renamed"] == 0  # two copies that differ, each consistent
 
 
 def test_half_an_item_is_not_the_item(spark):
