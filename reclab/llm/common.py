@@ -13,7 +13,7 @@ from reclab.session import scratch_path
 
 #: Bytes of text handled in one vectorised step (bounds a task's memory; a
 #: longer document is a step of its own).
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:

@@ -50,7 +50,7 @@ BLOCK = 400
 #: Tokens of queries that a task holds before it answers them.
 HELD = 2_000_000
 #: Sets remembered by a task so that copies are indexed once.
-REMEMBER = 500_000
+REMEMBER = 100_000
 
 _HASH = common.RollingHash(10)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -226,7 +226,7 @@ def _frequent(index: DataFrame) -> np.ndarray:
             [pa.array(used.astype(np.int32)), pa.array([slices[k].tobytes() for k in used], pa.binary())],
             names=["part", "data"])
 
-    rows = index.repartition("token").mapInArrow(run, "part int, data binary")
+    rows = index.select("token", "a").repartition("token").mapInArrow(run, "part int, data binary")
     return _gather_bits(rows, "part", "data", MARKS // 8)
 
 
