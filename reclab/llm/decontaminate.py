@@ -57,8 +57,10 @@ def template(text: Column, names: bool = True) -> Column:
 
 def _slots(tokens: Column) -> Column:
     """Positions of the placeholders."""
-    return F.filter(F.sequence(F.lit(0), F.greatest(F.size(tokens) - 1, F.lit(0))),
-                    lambda i: F.get(tokens, i).isin(NAME, NUMBER, UNIT))
+    any_ = F.array_contains(tokens, NAME) | F.array_contains(tokens, NUMBER) | F.array_contains(tokens, UNIT)
+    at = F.filter(F.sequence(F.lit(0), F.greatest(F.size(tokens) - 1, F.lit(0))),
+                  lambda i: F.get(tokens, i).isin(NAME, NUMBER, UNIT))
+    return F.when(any_, at).otherwise(F.array().cast("array<int>"))
 
 
 def _windows(tokens: Column, values: Column, slots: Column, width: int) -> Column:
@@ -70,7 +72,7 @@ def _windows(tokens: Column, values: Column, slots: Column, width: int) -> Colum
         return F.xxhash64(F.slice(tokens, i + 1, width)).alias("h")
 
     def inside(i):
-        return F.transform(F.filter(slots, lambda p: (p >= i) & (p < i + width)), lambda p: F.get(values, p))
+        return F.transform(F.filter(slots, lambda p: (p >= i) & (p < i + width)), lambda p: F.lower(F.get(values, p)))
 
     none = F.lit(None).cast("array<string>")
     plain = F.transform(starts, lambda i: F.struct(i.alias("at"), hashed(i), none.alias("v")))
@@ -80,9 +82,9 @@ def _windows(tokens: Column, values: Column, slots: Column, width: int) -> Colum
 
 
 def _tokenised(df: DataFrame, names: bool = True) -> DataFrame:
-    """``df`` with tokens, slots and values (the lower-cased words) added."""
-    return df.withColumns({"tokens": template(F.col("text"), names), "values": F.transform(
-        words(F.col("text")), lambda w: F.lower(w))}).withColumn("slots", _slots(F.col("tokens")))
+    """``df`` with tokens, slots, and values (the words, where there are slots)."""
+    tokened = df.withColumn("tokens", template(F.col("text"), names)).withColumn("slots", _slots(F.col("tokens")))
+    return tokened.withColumn("values", F.when(F.size("slots") > 0, words(F.col("text"))))
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
@@ -92,7 +94,7 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     items = (benchmark.where(F.col("text").isNotNull()).groupBy("text")
              .agg(F.min("item_id").alias("item_id"), F.count(F.lit(1)).alias("n_items")))
     forms = _tokenised(items).unionByName(_tokenised(items, names=False))
-    forms = forms.where((F.size("tokens") >= LEAST) & (F.size("tokens") == F.size("values"))).withColumn(
+    forms = forms.where(F.size("tokens") >= LEAST).withColumn(
         "width", F.least(F.lit(WINDOW), F.size("tokens")))
     out = None
     for width in range(LEAST, WINDOW + 1):
