@@ -6,7 +6,10 @@ A text becomes a row of tokens (letter runs and numbers).  Numbers, names
 placeholders; other words are lower-cased.  Windows of consecutive template
 tokens are hashed and joined with the windows of the benchmark, whose items
 are also entered without placeholders for names, so that a copy that lost its
-capitals is found as well.  An item counts as contained when windows covering
+capitals is found as well.  A capital that opens a sentence (or follows a line
+break, quote or bracket) may be a name or not, so windows that hold such a word
+have a second form, in which it is a name too; an item is judged by the first
+forms alone and by all forms together.  An item counts as contained when windows covering
 at least COVER of it match, and the slots agree: over all matching windows
 each value in a slot of the item stands for one value in the document and the
 other way round.  An unchanged copy agrees with itself; a question asked again
@@ -43,54 +46,67 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(_PLAIN), F.lit(0))
 
 
-def template(text: Column, names: bool = True) -> Column:
-    """Template tokens of a text, one for each of its ``words``."""
+def template(text: Column, names: bool = True, openers: bool = False) -> Column:
+    """Template tokens of a text, one for each of its ``words``; with
+    ``openers`` every other capitalised word is a name too."""
     marked = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x01-\x03]", " ")
     if names:  # a capital after a lower-case letter or a comma, in the same sentence
         marked = F.regexp_replace(marked, r"(?<=[\p{Ll}\p{Nd},;:]\x20)\p{Lu}[\p{L}\p{M}]*", NAME)
     marked = F.regexp_replace(marked, r"\p{Nd}+(?:[.,]\p{Nd}+)*", NUMBER)
     units = "|".join(sorted(UNITS, key=len, reverse=True))
     marked = F.regexp_replace(marked, rf"(?i)(?<=\u0002\x20?)(?:{units})(?![\p{{L}}\p{{M}}])", UNIT)
+    if openers:
+        marked = F.regexp_replace(marked, r"(?<![\p{L}\p{M}])\p{Lu}[\p{L}\p{M}]*", NAME)
     parts = F.regexp_extract_all(F.lower(marked), F.lit(r"[\p{L}\p{M}]+|[\x01\x02\x03]"), F.lit(0))
     return parts
 
 
-def _slots(tokens: Column) -> Column:
-    """Positions of the placeholders."""
+def _marks(tokens: Column, values: Column) -> Column:
+    """The words at the placeholders, null elsewhere (null: no placeholder)."""
     any_ = F.array_contains(tokens, NAME) | F.array_contains(tokens, NUMBER) | F.array_contains(tokens, UNIT)
-    at = F.filter(F.sequence(F.lit(0), F.greatest(F.size(tokens) - 1, F.lit(0))),
-                  lambda i: F.get(tokens, i).isin(NAME, NUMBER, UNIT))
-    return F.when(any_, at).otherwise(F.array().cast("array<int>"))
+    return F.when(any_, F.zip_with(tokens, values, lambda t, w: F.when(t.isin(NAME, NUMBER, UNIT), F.lower(w))))
 
 
-def _windows(tokens: Column, values: Column, slots: Column, width: int) -> Column:
-    """array<struct<at, h, v>>: of every ``width`` tokens their start, their
-    hash, and the words in their slots (null without any)."""
-    starts = F.sequence(F.lit(0), F.greatest(F.size(tokens) - width, F.lit(0)))
+def _windows(width: int) -> Column:
+    """array<struct<at, h, v, form>> over the columns of ``_tokenised``: of
+    every ``width`` tokens their start, their hash, and the words in their
+    slots (null without any); form 1 is the second form, of windows that have
+    one."""
+    n = F.size("tokens")
 
-    def hashed(i):
-        return F.xxhash64(F.slice(tokens, i + 1, width)).alias("h")
+    def built(starts, tokens, marks, form):
+        return F.transform(starts, lambda i: F.struct(
+            i.alias("at"), F.xxhash64(F.slice(tokens, i + 1, width)).alias("h"),
+            F.slice(marks, i + 1, width).alias("v"), F.lit(form).alias("form")))
 
-    def inside(i):
-        return F.transform(F.filter(slots, lambda p: (p >= i) & (p < i + width)), lambda p: F.lower(F.get(values, p)))
-
-    none = F.lit(None).cast("array<string>")
-    plain = F.transform(starts, lambda i: F.struct(i.alias("at"), hashed(i), none.alias("v")))
-    typed = F.transform(starts, lambda i: F.struct(i.alias("at"), hashed(i), inside(i).alias("v")))
-    return F.when(F.size(tokens) < width, F.array().cast("array<struct<at:int,h:bigint,v:array<string>>>")).when(
-        F.size(slots) == 0, plain).otherwise(typed)
+    first = built(F.sequence(F.lit(0), F.greatest(n - width, F.lit(0))), F.col("tokens"), F.col("marks"), 0)
+    around = F.array_distinct(F.flatten(F.transform("openers", lambda i: F.sequence(
+        F.greatest(i - width + 1, F.lit(0)), F.least(i, n - width)))))
+    second = built(around, F.col("tokens_o"), F.col("marks_o"), 1)
+    none = F.array().cast("array<struct<at:int,h:bigint,v:array<string>,form:int>>")
+    return F.when(n < width, none).when(F.size("openers") == 0, first).otherwise(F.concat(first, second))
 
 
 def _tokenised(df: DataFrame, names: bool = True) -> DataFrame:
-    """``df`` with tokens, slots, and values (the words, where there are slots)."""
-    tokened = df.withColumn("tokens", template(F.col("text"), names)).withColumn("slots", _slots(F.col("tokens")))
-    return tokened.withColumn("values", F.when(F.size("slots") > 0, words(F.col("text"))))
+    """``df`` with tokens and marks (the words in their slots) in the first
+    form, the same in the second form (``_o``), and openers (where they differ)."""
+    text = F.col("text")
+    out = df.withColumns({"words": words(text), "tokens": template(text, names)})
+    if names:
+        out = out.withColumn("tokens_o", template(text, openers=True))
+        out = out.withColumn("openers", F.filter(
+            F.sequence(F.lit(0), F.greatest(F.size("tokens") - 1, F.lit(0))),
+            lambda i: F.get(F.col("tokens"), i) != F.get(F.col("tokens_o"), i)))
+    else:
+        out = out.withColumns({"tokens_o": F.col("tokens"), "openers": F.array().cast("array<int>")})
+    return out.withColumns({"marks": _marks(F.col("tokens"), F.col("words")),
+                            "marks_o": _marks(F.col("tokens_o"), F.col("words"))})
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """One row per window of each distinct item text: h, width, item_id (the
-    smallest of equal items), n_items, b_at (start), n_windows and b_v (the
-    words in its slots)."""
+    """One row per window and form of each distinct item text: h, width,
+    item_id (the smallest of equal items), n_items, b_at (start), n_windows,
+    b_v (the words in its slots) and b_form."""
     items = (benchmark.where(F.col("text").isNotNull()).groupBy("text")
              .agg(F.min("item_id").alias("item_id"), F.count(F.lit(1)).alias("n_items")))
     forms = _tokenised(items).unionByName(_tokenised(items, names=False))
@@ -100,10 +116,11 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     for width in range(LEAST, WINDOW + 1):
         own = forms.where(F.col("width") == width).select(
             "item_id", "n_items", "width", (F.size("tokens") - F.col("width") + 1).alias("n_windows"),
-            F.explode(_windows(F.col("tokens"), F.col("values"), F.col("slots"), width)).alias("w"))
+            F.explode(_windows(width)).alias("w"))
         out = own if out is None else out.unionByName(own)
     return out.select("w.h", "width", "item_id", "n_items", F.col("w.at").alias("b_at"), "n_windows",
-                      F.col("w.v").alias("b_v")).dropDuplicates(["item_id", "b_at", "h"])
+                      F.col("w.v").alias("b_v"), F.col("w.form").alias("b_form")).dropDuplicates(
+                          ["item_id", "b_at", "h"])
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, cover: float = COVER,
@@ -128,21 +145,24 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cover: float = COVER,
     tokens = _tokenised(keyed)
     hits = None
     for width in sorted(r["width"] for r in sizes):
-        windows = tokens.select("key_a", "key_b", "doc_id", F.explode(
-            _windows(F.col("tokens"), F.col("values"), F.col("slots"), width)).alias("w")).select(
-                "key_a", "key_b", "doc_id", "w.at", "w.h", "w.v", F.lit(width).alias("width"))
+        windows = tokens.select("key_a", "key_b", "doc_id", F.explode(_windows(width)).alias("w")).select(
+            "key_a", "key_b", "doc_id", "w.at", "w.h", "w.v", "w.form", F.lit(width).alias("width"))
         found = windows.join(hashes, ["h", "width"]).drop("h", "width")
         hits = found if hits is None else hits.unionByName(found)
     key = ["key_a", "key_b", "item_id"]
+    # a window of names alone says nothing, unless they are the item's own
+    hits = hits.withColumn("form", F.greatest("form", "b_form")).drop("b_form").where(
+        (F.col("form") == 0) | F.exists("v", lambda x: x.isNull()) | (F.col("v") == F.col("b_v")))
     hits = common.written(hits, "benchmark-hits")
-    # a copy is judged as a whole and, in case a document holds several that
-    # differ, by its offset from the item
+    # a copy is judged by the first forms and by all, each as a whole and, in
+    # case a document holds several that differ, by its offset from the item
+    hits = hits.withColumn("forms", F.explode(F.sequence("form", F.lit(1))))
     hits = hits.withColumn("offset", F.explode(F.array(F.lit(None).cast("int"), F.col("at") - F.col("b_at"))))
     hits = hits.withColumn("offset", F.coalesce("offset", F.lit(1 << 31)).cast("long"))
-    one = [*key, "offset"]
+    one = [*key, "forms", "offset"]
     # each slot value of the item against the document's
     pairs = (hits.where("b_v IS NOT NULL").select(*one, F.explode(F.arrays_zip("b_v", "v")).alias("p"))
-             .select(*one, F.col("p.b_v").alias("b"), F.col("p.v").alias("d")).distinct())
+             .select(*one, F.col("p.b_v").alias("b"), F.col("p.v").alias("d")).where("b IS NOT NULL").distinct())
     agreed = pairs.groupBy(*one).agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("b").alias("nb"), F.countDistinct("d").alias("nd"),
         F.count(F.when(F.col("b") != F.col("d"), 1)).alias("renamed")).select(

@@ -78,3 +78,27 @@ def test_equals_plain_search_on_the_test_table(spark):
 def test_plan_is_native(spark):
     plan = dc.contaminated(frame(spark, awkward()), items(spark))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+OPENING = ("Alice has 12 apples and 5 pears. Bob gives her 7 more apples. How many apples does she have now?",
+           "Helen has 31 apples and 9 pears. Peter gives her 4 more apples. How many apples does she have now?")
+
+
+def contained(spark, item, *texts):
+    rows = [(i, t, None, None, 1) for i, t in enumerate(texts)]
+    bench = spark.createDataFrame([(0, item)], "item_id long, text string")
+    return {r["doc_id"]: r for r in dc.contaminated(frame(spark, rows), bench).collect()}
+
+
+def test_names_that_open_sentences_are_slots(spark):
+    item, other = OPENING
+    got = contained(spark, item, other, "Well, " + other, other.replace(". ", ".\n"), other.replace("Peter", '"Peter"'),
+                    other.replace("Helen has", "Alice has").replace("Peter", "Alice"))
+    assert set(got) == {0, 1, 2, 3}  # of one name for two the slots disagree
+    assert got[0]["n_matched"] == got[0]["n_windows"] == 13 and got[0]["renamed"] == 5
+
+
+def test_an_opening_word_that_changed_does_not_reject_a_copy(spark):
+    item = "Then " + ITEMS[1][1] + ". Then all of them went home to sleep until the next morning came along."
+    got = contained(spark, item, item.replace(". Then", ". Now"), "One Two Three Four Five Six Seven Eight Nine Ten. " * 9)
+    assert set(got) == {0}
