@@ -11,9 +11,11 @@ break, quote or bracket) may be a name or not, so windows that hold such a word
 have a second form, in which it is a name too; an item is judged by the first
 forms alone and by all forms together.  An item counts as contained when windows covering
 at least COVER of it match, and the slots agree: over all matching windows
-each value in a slot of the item stands for one value in the document and the
-other way round.  An unchanged copy agrees with itself; a question asked again
-with other numbers or names agrees by renaming.
+each name in a slot of the item stands for one name in the document and the
+other way round, and so do units, unless enough windows match with unchanged
+units.  Numbers are free: a question asked again may give two equal numbers
+for two that differ.  An unchanged copy agrees with itself; a question asked
+again with other names agrees by renaming.
 """
 
 from __future__ import annotations
@@ -62,9 +64,10 @@ def template(text: Column, names: bool = True, openers: bool = False) -> Column:
 
 
 def _marks(tokens: Column, values: Column) -> Column:
-    """The words at the placeholders, null elsewhere (null: no placeholder)."""
+    """The placeholders with their words, null elsewhere (null: no placeholder)."""
     any_ = F.array_contains(tokens, NAME) | F.array_contains(tokens, NUMBER) | F.array_contains(tokens, UNIT)
-    return F.when(any_, F.zip_with(tokens, values, lambda t, w: F.when(t.isin(NAME, NUMBER, UNIT), F.lower(w))))
+    return F.when(any_, F.zip_with(tokens, values, lambda t, w: F.when(
+        t.isin(NAME, NUMBER, UNIT), F.concat(t, F.lower(w)))))
 
 
 def _windows(width: int) -> Column:
@@ -150,9 +153,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cover: float = COVER,
         found = windows.join(hashes, ["h", "width"]).drop("h", "width")
         hits = found if hits is None else hits.unionByName(found)
     key = ["key_a", "key_b", "item_id"]
-    # a window of names alone says nothing, unless they are the item's own
+    # a window of slots alone says nothing, unless they are unchanged or name
+    # slots of the first form, which must agree
     hits = hits.withColumn("form", F.greatest("form", "b_form")).drop("b_form").where(
-        (F.col("form") == 0) | F.exists("v", lambda x: x.isNull()) | (F.col("v") == F.col("b_v")))
+        F.col("v").isNull() | F.exists("v", lambda x: x.isNull()) | (F.col("v") == F.col("b_v"))
+        | ((F.col("form") == 0) & F.exists("v", lambda x: x.startswith(NAME))))
     hits = common.written(hits, "benchmark-hits")
     # a copy is judged by the first forms and by all, each as a whole and, in
     # case a document holds several that differ, by its offset from the item
@@ -163,15 +168,28 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cover: float = COVER,
     # each slot value of the item against the document's
     pairs = (hits.where("b_v IS NOT NULL").select(*one, F.explode(F.arrays_zip("b_v", "v")).alias("p"))
              .select(*one, F.col("p.b_v").alias("b"), F.col("p.v").alias("d")).where("b IS NOT NULL").distinct())
+
+    def consistent(slot):
+        own = F.col("b").startswith(slot)
+        n, nb, nd = F.count(F.when(own, 1)), F.countDistinct(F.when(own, F.col("b"))), F.countDistinct(
+            F.when(own, F.col("d")))
+        return (n == nb) & (n == nd)
+
     agreed = pairs.groupBy(*one).agg(
-        F.count(F.lit(1)).alias("n"), F.countDistinct("b").alias("nb"), F.countDistinct("d").alias("nd"),
-        F.count(F.when(F.col("b") != F.col("d"), 1)).alias("renamed")).select(
-            *one, ((F.col("n") == F.col("nb")) & (F.col("n") == F.col("nd"))).alias("consistent"), "renamed")
+        consistent(NAME).alias("names"), consistent(UNIT).alias("units"),
+        F.count(F.when(F.col("b") != F.col("d"), 1)).alias("renamed"))
+
+    def of_type(values, slot):
+        return F.filter(values, lambda x: x.startswith(slot))
+
+    same = F.col("v").isNull() | (of_type(F.col("v"), UNIT) == of_type(F.col("b_v"), UNIT))
     covered = hits.groupBy(*one).agg(
         F.first("doc_id").alias("doc_id"), F.max("n_items").alias("n_items"),
-        F.max("n_windows").alias("n_windows"), F.countDistinct("b_at").alias("n_matched"))
-    accepted = (covered.where(F.col("n_matched") >= cover * F.col("n_windows"))
-                .join(agreed, one, "left").where(F.coalesce(F.col("consistent"), F.lit(True))))
+        F.max("n_windows").alias("n_windows"), F.countDistinct("b_at").alias("n_matched"),
+        F.countDistinct(F.when(same, F.col("b_at"))).alias("n_same"))
+    least = cover * F.col("n_windows")
+    accepted = covered.where(F.col("n_matched") >= least).join(agreed, one, "left").where(
+        F.coalesce(F.col("names"), F.lit(True)) & (F.coalesce(F.col("units"), F.lit(True)) | (F.col("n_same") >= least)))
     return accepted.groupBy(*key).agg(
         F.first("doc_id").alias("doc_id"), F.max("n_items").alias("n_items"), F.max("n_windows").alias("n_windows"),
         F.max("n_matched").alias("n_matched"), F.min(F.coalesce(F.col("renamed"), F.lit(0))).alias("renamed")).select(

@@ -102,3 +102,20 @@ def test_an_opening_word_that_changed_does_not_reject_a_copy(spark):
     item = "Then " + ITEMS[1][1] + ". Then all of them went home to sleep until the next morning came along."
     got = contained(spark, item, item.replace(". Then", ". Now"), "One Two Three Four Five Six Seven Eight Nine Ten. " * 9)
     assert set(got) == {0}
+
+
+def test_numbers_are_free_and_one_altered_unit_does_not_reject(spark):
+    item, other = OPENING
+    pays = "a man buys 3 apples for 3 dollars and then walks home with all of them in a bag"
+    got = contained(spark, item, other.replace("31", "6").replace("9 pears", "6 pears"), item.replace("7", "12"))
+    assert set(got) == {0, 1}
+    assert set(contained(spark, pays, pays.replace("3 apples for 3", "4 apples for 5"))) == {0}
+    runs = " ".join(["she runs 3 miles on the first of the days before noon,", "then after a long rest in the shade and a "
+                     "glass of water she runs 5 miles more and goes home to sleep until the next morning comes along"])
+    assert set(contained(spark, runs, runs.replace("5 miles", "5 km"))) == {0}
+
+
+def test_numbers_alone_are_no_question(spark):
+    row = "1 2 3 4 5 6 7 8 9 10 11 12"
+    got = contained(spark, row, row, "21 22 23 24 25 26 27 28 29 30 31 32", "7 7 7 7 7 7 7 7 7 7 7 7")
+    assert set(got) == {0}
