@@ -24,6 +24,7 @@ SCOPE = 240
 
 _ASSIGN = (r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
            r"([A-Za-z0-9+/_.=-]+)")
+_URL = r"""(?:jdbc:)?[a-z][a-z0-9+]{1,31}+://[^\s"'<>]{3,}"""
 #: name, pattern, group whose length counts, least length, role, always reported.
 #: A maximal run that is too short cannot hold a long one, so for access and hex
 #: the least length is part of the pattern; a short assign match still uses up
@@ -36,11 +37,11 @@ BASE = [
 WEAK = [
     ("user", r"""(?i)\b(?:user(?:name|_?id)?|login|account|client_?id)["']?\x20{0,4}[:=]\x20{0,4}["']?[A-Za-z0-9@._-]{3,}""",
      0, 0, "identifier"),
-    ("bare", r"(?<![A-Za-z0-9+/])(?=[A-Za-z+/]{0,64}[0-9])(?=[a-z0-9+/]{0,64}[A-Z])(?=[A-Z0-9+/]{0,64}[a-z])"
-     r"[A-Za-z0-9+/]{20,64}(?![A-Za-z0-9+/])",
+    ("bare", r"(?<![A-Za-z0-9+/])(?=[A-Za-z+/]*+[0-9])(?=[a-z0-9+/]*+[A-Z])(?=[A-Z0-9+/]*+[a-z])"
+     r"[A-Za-z0-9+/]{20,}+",
      0, 0, "secret"),
-    ("endpoint", r"""(?:https?|ftp|jdbc:[a-z0-9]{1,16}|postgres(?:ql)?|mongodb|redis|amqps?)://[^\s"'<>]{3,}""",
-     0, 0, "endpoint"),
+    ("endpoint", rf"""(?i){_URL}|(?<![a-z0-9])(?:host(?:_?name)?|server(?:_?name)?|endpoint)["']?\x20{{0,4}}[:=]\x20{{0,4}}["']?"""
+     rf"""(?:{_URL}|[a-z0-9\[][a-z0-9._:\]-]{{2,}})""", 0, 0, "endpoint"),
 ]
 KINDS = [k[0] for k in BASE + WEAK]
 

@@ -71,3 +71,27 @@ def test_spans_text_and_empty_table(spark, tmp_path):
 def test_plan_is_native(spark):
     plan = secrets.scan(frame(spark, awkward()))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+LONG = "Ab3/" * 21 + "Zz"
+
+
+@pytest.mark.parametrize("text, linked", [
+    (f"https://store.example {LONG}==", ["bare", "endpoint"]),
+    (f"user = someone {LONG[:65]}", ["bare", "user"]),
+    pytest.param(f"user = someone {LONG * 2000}", ["bare", "user"], id="very long"),
+    (f"host = db.internal {BARE}", ["bare", "endpoint"]),
+    (f"DB_HOST=10.0.0.7:5432 {BARE}", ["bare", "endpoint"]),
+    (f'"server": "db.internal" {BARE}', ["bare", "endpoint"]),
+    (f"endpoint: https://a.example/x?y=z {BARE}", ["bare", "endpoint"]),
+    (f"mysql://db.example/x {BARE}", ["bare", "endpoint"]),
+    (f"jdbc:oracle://db.example/x {BARE}", ["bare", "endpoint"]),
+    ("host = db.internal and no more", []),
+    (f"ghost = nobody {BARE}", []),
+])
+def test_long_secrets_and_named_endpoints(spark, text, linked):
+    r = secrets.scan(frame(spark, [(1, text, None, None, 1)])).first()
+    weak = sorted((x for x in r["found"] if x["kind"] >= 3), key=lambda x: secrets.KINDS[x["kind"]])
+    assert [secrets.KINDS[x["kind"]] for x in weak] == linked
+    if linked:
+        assert text[weak[0]["s"]:weak[0]["e"]] in (BARE, LONG, LONG[:65], LONG * 2000)
