@@ -6,7 +6,7 @@ an identifier (``user = ...``), a bare secret (a long mixed token) and an
 endpoint (a URL or ``host = ...``).  Candidates are joined as intervals within
 a scope of code points: a weak candidate is reported only when parts of all
 the other roles that make up a credential (identifier + secret, or endpoint +
-secret) start within its scope; base findings take part as secrets (assign,
+secret) lie within its scope, measured between the nearer ends; base findings take part as secrets (assign,
 hex) and identifiers (access).
 """
 
@@ -106,10 +106,15 @@ def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
         F.monotonically_increasing_id().alias("row"), "doc_id", candidates(F.col("text")).alias("c"))
     rows = numbered.select("row", "doc_id", F.explode_outer("c").alias("c")).select(
         "row", "doc_id", "c.s", "c.e", "c.kind", "c.role")
-    near = Window.partitionBy("row").orderBy("s").rangeBetween(-scope, scope)
+    # the gap to earlier candidates (greatest end so far) and to later ones (least start)
+    earlier = Window.partitionBy("row").orderBy("s").rangeBetween(Window.unboundedPreceding, 0)
+    later = Window.partitionBy("row").orderBy(F.desc("s")).rangeBetween(Window.unboundedPreceding, 0)
 
     def close(role):
-        return F.max((F.col("role") == role).cast("int")).over(near) == 1
+        own = F.col("role") == role
+        before = F.col("s") - F.max(F.when(own, F.col("e"))).over(earlier) <= scope
+        after = F.min(F.when(own, F.col("s"))).over(later) - F.col("e") <= scope
+        return F.coalesce(before, F.lit(False)) | F.coalesce(after, F.lit(False))
 
     rows = rows.withColumns({"i": close("identifier"), "x": close("secret"), "p": close("endpoint")})
     base = F.col("kind") < len(BASE)
