@@ -407,7 +407,7 @@ def cv_contract(spark, sf):
     train, _, _ = _fitted(spark, sf)
     points = sw.grid(spark, [RANK], [0.1, 1.0], [1.0])
     folds = sw.with_folds(train, 5)
-    each = sw.cross_validate(train, points, folds=5, k=K, max_iter=2, per_fold=True).cache()
+    each = sw.cross_validate(train, points, folds=5, k=K, max_iter=ITERS, per_fold=True).cache()
     rows = each.collect()  # ten result rows
     by = {}
     for r in rows:
