@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import (
+    alignment,
     decontaminate,
     exact_dedup,
     language_id,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_suffix_dedup": repeats.query,
     "op9_exact_dedup": exact_dedup.query,
     "op10_ngram_join": ngram_join.query,
+    "op13_token_alignment": alignment.query,
 }
 
 ORACLES = {"op9_exact_dedup": exact_dedup.ORACLE_SQL}
