@@ -15,13 +15,13 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import itertools
 import json
 import os
 import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,8 +31,8 @@ from . import common
 BYTE_LEVEL, RANKS, PIECES = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
 #: Tokens of A whose ends are in a dictionary at once.
 STEP = 1 << 16
-#: Characters of text encoded in one call.
-_GROUP_CHARS = 1 << 19
+#: Bytes of text encoded in one call.
+_GROUP_BYTES = 1 << 19
 #: Id pairs whose counts are broadcast (17 bytes each); counts of rarer pairs
 #: are joined by a shuffle.
 BROADCAST_PAIRS = 1 << 20
@@ -92,6 +92,17 @@ class Tokenizers:
                 a[i] = e.ids
         return a, self.pieces.encode(texts, num_threads=1)
 
+    def aligned(self, texts: list[str | None], step: int = STEP):
+        """(ids of A, of B, their byte ends, common cuts) of each text."""
+        encoded = zip(*self.encode([t for t in texts if t]), strict=True)
+        for text in texts:
+            a, b = next(encoded) if text else ((), ())
+            if not text or not self.faithful(text, a, b):
+                yield (), (), (), (), ((), (), ())
+                continue
+            ends_a, ends_b = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b])
+            yield a, b, ends_a, ends_b, common_cuts(ends_a, ends_b, step)
+
     def faithful(self, text: str, a: list[int], b: list[int]) -> bool:
         """Whether the joined bytes of either encoding are space + text."""
         raw = b" " + text.encode()
@@ -115,34 +126,38 @@ def _piece_bytes(piece: str) -> bytes:
     return bytes([int(byte[1], 16)]) if byte else piece.replace("▁", " ").encode()
 
 
-def common_cuts(ends_a: np.ndarray, ends_b: np.ndarray, step: int = STEP) -> list[tuple[int, int, int]]:
-    """(end, tokens of A up to it, tokens of B up to it) of every byte offset at
-    which tokens of both end, ascending.  The ends must not decrease."""
-    out, i, j = [], 0, 0
+def common_cuts(ends_a: np.ndarray, ends_b: np.ndarray, step: int = STEP,
+                ) -> tuple[list[int], list[int], list[int]]:
+    """Every byte offset at which tokens of both end, ascending, with the
+    number of A tokens and of B tokens up to it.  The ends must not decrease."""
+    ends, cuts_a, cuts_b, i, j = [], [], [], 0, 0
     while i < len(ends_a):
         to = int(np.searchsorted(ends_a, ends_a[min(i + step, len(ends_a)) - 1], "right"))
         to_b = int(np.searchsorted(ends_b, ends_a[to - 1], "right"))
         at_a = dict(zip(ends_a[i:to].tolist(), range(i + 1, to + 1), strict=True))
         at_b = dict(zip(ends_b[j:to_b].tolist(), range(j + 1, to_b + 1), strict=True))
-        out += [(key, at_a[key], at_b[key]) for key in sorted(at_a.keys() & at_b.keys())]
+        keys = sorted(at_a.keys() & at_b.keys())
+        ends += keys
+        cuts_a += map(at_a.__getitem__, keys)
+        cuts_b += map(at_b.__getitem__, keys)
         i, j = to, to_b
-    return out
+    return ends, cuts_a, cuts_b
 
 
-def links(ids_a, ids_b, ends_a, ends_b, cuts) -> list[tuple[int, int]]:
-    """Every pair of an A token and a B token that end together, per slice."""
-    out = []
-    for key, i, j in cuts:
-        last_a, last_b = i - 1, j - 1
-        if (i < 2 or ends_a[i - 2] != key) and (j < 2 or ends_b[j - 2] != key):
-            out.append((ids_a[last_a], ids_b[last_b]))
-            continue
-        while last_a and ends_a[last_a - 1] == key:  # tokens of no bytes end there too
-            last_a -= 1
-        while last_b and ends_b[last_b - 1] == key:
-            last_b -= 1
-        out += itertools.product(ids_a[last_a:i], ids_b[last_b:j])
-    return out
+def links(ids_a, ids_b, ends_a, ends_b, cuts) -> np.ndarray:
+    """Every pair (A id high, B id low, in 64 bits) of an A token and a B token
+    that end together, per slice."""
+    ids_a, ids_b = np.asarray(ids_a, np.int64), np.asarray(ids_b, np.int64)
+    ends, cuts_a, cuts_b = (np.asarray(c, np.int64) for c in cuts)
+    # the tokens of a slice that end at its key: one, and any of no bytes after it
+    first_a, first_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+    wide, high = cuts_b - first_b, cuts_a - first_a
+    if not len(ends) or (wide.max() == 1 and high.max() == 1):
+        return ids_a[first_a] << 32 | ids_b[first_b]
+    slices = np.repeat(np.arange(len(ends)), wide * high)
+    within = np.arange(len(slices)) - np.repeat(np.cumsum(wide * high) - wide * high, wide * high)
+    return (ids_a[first_a[slices] + within // wide[slices]] << 32
+            | ids_b[first_b[slices] + within % wide[slices]])
 
 
 _LOADED: dict[tuple, Tokenizers] = {}
@@ -171,31 +186,34 @@ def align(docs: DataFrame, byte_level: str | None = None, pieces: str | None = N
     matter; empty table: no rows.  ``byte_level`` and ``pieces`` are paths that
     every executor can read (default: the public vocabularies).
     """
-    def make(array):
+    schema = T.StructType(list(docs.schema.fields) + [
+        T.StructField(common.free_name(docs, n), _INTS) for n in ADDED])
+    at = docs.columns.index("text")
+
+    def run(batches):
         both = _tokenizers(byte_level, pieces)
-        rows = []
-        values = array.to_pylist()
-        sizes = np.cumsum([0] + [len(v or "") for v in values])
-        for lo, hi in common.steps(sizes, _GROUP_CHARS):
-            texts = [v for v in values[lo:hi] if v]
-            encoded = zip(*both.encode(texts), strict=True) if texts else iter(())
-            for text in values[lo:hi]:
-                a, b = next(encoded) if text else ((), ())
-                if not text or not both.faithful(text, a, b):
-                    rows.append(((), (), (), ()))
-                    continue
-                cuts = common_cuts(np.cumsum(both.sizes_a[a]), np.cumsum(both.sizes_b[b]), step)
-                rows.append((a, b, [c[1] for c in cuts], [c[2] for c in cuts]))
-        return [pa.array(column, pa.list_(pa.int32())) for column in zip(*rows, strict=True)]
-
-    return common.append_columns(docs, make, [(common.free_name(docs, n), _INTS) for n in ADDED])
+        for batch in batches:
+            for lo, hi in common.steps(_sizes(batch.column(at)), _GROUP_BYTES):
+                part = batch.slice(lo, hi - lo)
+                rows = [(a, b, *cuts[1:]) for a, b, _, _, cuts in both.aligned(part.column(at).to_pylist(), step)]
+                new = [pa.array(column, pa.list_(pa.int32())) for column in zip(*rows, strict=True)]
+                yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[
+                    str(i) for i in range(len(schema))]).rename_columns(schema.names)
+
+    return docs.mapInArrow(run, schema)
+
+
+def _sizes(column) -> np.ndarray:
+    """Offsets of the texts of a batch, in bytes."""
+    return np.cumsum(np.concatenate([[0], pa.compute.fill_null(pa.compute.binary_length(column), 0)]))
 
 
 def group_text(ids_a, ids_b, cuts_a, cuts_b) -> str:
     """``a1,a2|b1;a3|b2,b3``: the ids of every group, in order."""
     a, b = list(map(str, ids_a)), list(map(str, ids_b))
-    return ";".join([f"{','.join(a[i:k])}|{','.join(b[j:m])}" for i, k, j, m in zip(
-        [0, *cuts_a], cuts_a, [0, *cuts_b], cuts_b, strict=False)])
+    return ";".join([
+        f"{a[i]}|{b[j]}" if k - i == 1 == m - j else f"{','.join(a[i:k])}|{','.join(b[j:m])}"
+        for i, k, j, m in zip([0, *cuts_a], cuts_a, [0, *cuts_b], cuts_b, strict=False)])
 
 
 _DIGEST = T.StructType([
@@ -206,36 +224,31 @@ _DIGEST = T.StructType([
     T.StructField("pairs", T.BinaryType()), T.StructField("times", T.BinaryType())])
 
 
-def digests(aligned: DataFrame, byte_level: str | None = None, pieces: str | None = None) -> DataFrame:
-    """One row per aligned document (columns of ``align`` and doc_id): counts,
-    the SHA-256 of its groups, and its distinct linked id pairs (64-bit words:
-    A id high, B id low, ascending) with how often each is linked."""
+def digests(docs: DataFrame, byte_level: str | None = None, pieces: str | None = None) -> DataFrame:
+    """One row per document (doc_id, text): counts of its alignment, the
+    SHA-256 of its groups, and its distinct linked id pairs (64-bit words: A id
+    high, B id low, ascending) with how often each is linked."""
     def run(batches):
         from pyspark import TaskContext
 
         both = _tokenizers(byte_level, pieces)
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            out = []
-            columns = [c.to_pylist() for c in batch.columns]
-            for doc, a, b, cuts_a, cuts_b in zip(*columns, strict=True):
-                pairs, times, sha = np.zeros(0, np.int64), np.zeros(0, np.int64), ""
-                if cuts_a:
-                    ends_a, ends_b = np.cumsum(both.sizes_a[a]), np.cumsum(both.sizes_b[b])
-                    cuts = zip(ends_a[np.array(cuts_a) - 1].tolist(), cuts_a, cuts_b, strict=True)
-                    found = np.array(links(a, b, ends_a.tolist(), ends_b.tolist(), cuts), np.int64)
-                    pairs, times = np.unique(found[:, 0] << 32 | found[:, 1], return_counts=True)
-                if a:
-                    sha = hashlib.sha256(group_text(a, b, cuts_a, cuts_b).encode()).hexdigest()
-                out.append((doc, row, len(a), len(b), len(cuts_a), int(times.sum()), sha,
-                            pairs.tobytes(), times.astype("<u4").tobytes()))
-                row += 1
-            if out:
+            for lo, hi in common.steps(_sizes(batch.column(1)), _GROUP_BYTES):
+                part = batch.slice(lo, hi - lo)
+                out = []
+                for doc, (a, b, ends_a, ends_b, cuts) in zip(
+                        part.column(0).to_pylist(), both.aligned(part.column(1).to_pylist()), strict=True):
+                    pairs, times = np.unique(links(a, b, ends_a, ends_b, cuts), return_counts=True)
+                    sha = hashlib.sha256(group_text(a, b, *cuts[1:]).encode()).hexdigest() if a else ""
+                    out.append((doc, row, len(a), len(b), len(cuts[0]), int(times.sum()), sha,
+                                pairs.tobytes(), times.astype("<u4").tobytes()))
+                    row += 1
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*out, strict=True), _ARROW, strict=True)],
                     names=_DIGEST.names)
 
-    return aligned.select(F.col("doc_id").cast("long"), *ADDED).mapInArrow(run, _DIGEST)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _DIGEST)
 
 
 _ARROW = [pa.int64()] * 6 + [pa.string(), pa.binary(), pa.binary()]
@@ -356,8 +369,7 @@ def corpus_alignment(docs: DataFrame, byte_level: str | None = None, pieces: str
     n_links, n_best, count_sum (long) and groups_sha256, as in ``align``,
     ``pair_counts`` and ``scored``.  A null doc_id stays null; repeated rows are
     documents of their own."""
-    aligned = align(docs.select("doc_id", "text"), byte_level, pieces)
-    digest = common.written(digests(aligned, byte_level, pieces), "aligned")
+    digest = common.written(digests(docs, byte_level, pieces), "aligned")
     counts = common.written(pair_counts(digest), "aligned-pairs")
     return scored(digest, counts, broadcast_pairs)
 
