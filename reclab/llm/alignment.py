@@ -8,16 +8,21 @@ and a token of B end together, and slices both id lists into groups.  Links
 are expanded per slice: every A token with every B token that ends at its key.
 
 A text's dictionaries are built for ``STEP`` tokens of A at a time, so a very
-long text costs no more memory than its ids.
+long text costs no more memory than its ids.  Both vocabularies start a new
+token at a single space before a word, so every such word's end is a common
+key: words of common characters are aligned once, many in one text, and their
+slices are remembered (a memo bounded in words and in bytes of a word).
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import json
 import os
 import re
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +38,8 @@ BYTE_LEVEL, RANKS, PIECES = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "piece
 STEP = 1 << 16
 #: Bytes of text encoded in one call.
 _GROUP_BYTES = 1 << 19
+#: Aligned words that a worker remembers, and the longest such word (characters).
+MEMO_WORDS, MEMO_CHARS = 200_000, 64
 #: Id pairs whose counts are broadcast (17 bytes each); counts of rarer pairs
 #: are joined by a shuffle.
 BROADCAST_PAIRS = 1 << 20
@@ -61,6 +68,9 @@ class Tokenizers:
         self.tokenizer.encode_special_tokens = True  # their strings are plain text
         # characters whose class is beyond doubt in either library
         self.rare = re.compile(r"[^\t\n\r -~¡-ɏ]")
+        # words of these, each after a single space
+        self.plain = re.compile(r"(?!\s)[\t\n\r!-~¡-ɏ]+(?: (?!\s)[\t\n\r!-~¡-ɏ]+)*+")
+        self.words: dict[str, tuple | None] = {}
         with open(byte_level, encoding="utf-8") as f:
             vocabulary = json.load(f)["model"]["vocab"]
         letters = _byte_letters()
@@ -73,6 +83,11 @@ class Tokenizers:
             model_file=pieces or public_tokenizers.path(PIECES))
         self.bytes_b = [_piece_bytes(self.pieces.id_to_piece(i))
                         for i in range(self.pieces.get_piece_size())]
+        if self.ranks is None or pieces is not None or any("▁" in p[1:] and p.strip("▁") for p in map(
+                self.pieces.id_to_piece, range(len(self.bytes_b)))):
+            self.plain = None  # another vocabulary may merge across a space
+        self.text_a = list(map(str, range(len(self.bytes_a))))
+        self.text_b = list(map(str, range(len(self.bytes_b))))
         self.sizes_a = np.array([len(b) for b in self.bytes_a], np.int64)
         self.sizes_b = np.array([len(b) for b in self.bytes_b], np.int64)
 
@@ -92,16 +107,85 @@ class Tokenizers:
                 a[i] = e.ids
         return a, self.pieces.encode(texts, num_threads=1)
 
+    def slices(self, text: str, a: list[int], b: list[int], step: int = STEP) -> tuple | None:
+        """``_Slices`` of an encoded text; None if it is not faithful."""
+        if not self.faithful(text, a, b):
+            return None
+        a, b = np.array(a, "<i4"), np.array(b, "<i4")
+        ends_a, ends_b = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b])
+        cuts = common_cuts(ends_a, ends_b, step)
+        return _Slices(a, b, np.array(cuts[0], np.int64), np.array(cuts[1], "<i4"), np.array(cuts[2], "<i4"),
+                       links(a, b, ends_a, ends_b, cuts), self.group_texts(a, b, *cuts[1:]))
+
+    def group_texts(self, a: np.ndarray, b: np.ndarray, cuts_a, cuts_b) -> list[str]:
+        """``a1,a2|b1`` of every group."""
+        a = list(map(self.text_a.__getitem__, a.tolist()))
+        b = list(map(self.text_b.__getitem__, b.tolist()))
+        return [f"{a[i]}|{b[j]}" if k - i == 1 == m - j else f"{','.join(a[i:k])}|{','.join(b[j:m])}"
+                for i, k, j, m in zip([0, *cuts_a], cuts_a, [0, *cuts_b], cuts_b, strict=False)]
+
+    def _learn(self, words: list[str]) -> None:
+        """Align new words in one text and remember the slices of each."""
+        if len(self.words) > MEMO_WORDS:
+            for word in list(itertools.islice(self.words, MEMO_WORDS // 2)):  # the oldest
+                del self.words[word]
+        text = " ".join(words)
+        whole = self.slices(text, *(ids[0] for ids in self.encode([text])))
+        if whole is None:  # some word is changed by an encoder: find which
+            if len(words) == 1:
+                self.words[words[0]] = None
+                return
+            half = len(words) // 2
+            self._learn(words[:half])
+            self._learn(words[half:])
+            return
+        ends = np.cumsum([len(w.encode()) + 1 for w in words])
+        to = (np.searchsorted(whole.ends, ends) + 1).tolist()
+        starts = [0, *to[:-1]]  # groups before each word
+        counts = np.subtract(to, starts)
+        a, b, linked, columns = whole.a.tobytes(), whole.b.tobytes(), whole.links.tobytes(), []
+        for cuts in (whole.cuts_a, whole.cuts_b):
+            before = np.concatenate([np.zeros(1, "<i4"), cuts])[starts]
+            columns += [(before * 4).tolist() + [4 * int(cuts[-1])],
+                        (cuts - np.repeat(before, counts)).astype("<i4").tobytes()]
+        at_a, cuts_a, at_b, cuts_b = columns
+        texts = whole.texts
+        for word, g, h, i, k, j, m in zip(words, starts, to, at_a, at_a[1:], at_b, at_b[1:], strict=False):
+            self.words[word] = (a[i:k], b[j:m], cuts_a[4 * g:4 * h], cuts_b[4 * g:4 * h],
+                                linked[8 * g:8 * h], texts[g] if h - g == 1 else ";".join(texts[g:h]))
+
     def aligned(self, texts: list[str | None], step: int = STEP):
-        """(ids of A, of B, their byte ends, common cuts) of each text."""
-        encoded = zip(*self.encode([t for t in texts if t]), strict=True)
-        for text in texts:
-            a, b = next(encoded) if text else ((), ())
-            if not text or not self.faithful(text, a, b):
-                yield (), (), (), (), ((), (), ())
-                continue
-            ends_a, ends_b = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b])
-            yield a, b, ends_a, ends_b, common_cuts(ends_a, ends_b, step)
+        """The parts of each text, in order: (ids of A, of B, cuts of A, of B,
+        links, text of its groups), all but the last as bytes; no part for a
+        text without tokens."""
+        split = [None if not t or self.plain is None or not self.plain.fullmatch(t)
+                 else t.split(" ") for t in texts]
+        used = set().union(*filter(None, split))
+        fresh = sorted(used.difference(self.words))
+        known = {w: self.words[w] for w in used.difference(fresh)} if len(
+            self.words) > MEMO_WORDS else None  # old words may be forgotten now
+        if fresh:
+            self._learn(fresh)
+        if known is None:
+            known = self.words
+        else:
+            known.update((w, self.words[w]) for w in fresh)
+        direct = [t for t, parts in zip(texts, split, strict=True) if t and parts is None]
+        encoded = zip(direct, *self.encode(direct), strict=True)
+        for text, words in zip(texts, split, strict=True):
+            if not text:
+                yield []
+            elif words is None:
+                found = self.slices(*next(encoded), step)
+                yield [] if found is None else [(
+                    found.a.tobytes(), found.b.tobytes(), found.cuts_a.tobytes(), found.cuts_b.tobytes(),
+                    found.links.tobytes(), ";".join(found.texts))]
+            else:
+                parts = list(map(known.__getitem__, words))
+                yield [] if None in parts else parts
+        for w in fresh:
+            if len(w) > MEMO_CHARS:
+                del self.words[w]
 
     def faithful(self, text: str, a: list[int], b: list[int]) -> bool:
         """Whether the joined bytes of either encoding are space + text."""
@@ -113,6 +197,19 @@ class Tokenizers:
             return False
 
 
+class _Slices(NamedTuple):
+    """An aligned text: ids of A and B, its common ends, the tokens of A and of
+    B up to each, the links, and the text of each group."""
+
+    a: np.ndarray
+    b: np.ndarray
+    ends: np.ndarray
+    cuts_a: np.ndarray
+    cuts_b: np.ndarray
+    links: np.ndarray
+    texts: list
+
+
 def _byte_letters() -> dict[str, int]:
     """The letter of each byte in a byte-level vocabulary: printable Latin-1
     characters stand for themselves, the other bytes for U+0100 onwards."""
@@ -195,7 +292,7 @@ def align(docs: DataFrame, byte_level: str | None = None, pieces: str | None = N
         for batch in batches:
             for lo, hi in common.steps(_sizes(batch.column(at)), _GROUP_BYTES):
                 part = batch.slice(lo, hi - lo)
-                rows = [(a, b, *cuts[1:]) for a, b, _, _, cuts in both.aligned(part.column(at).to_pylist(), step)]
+                rows = [_joined(parts) for parts in both.aligned(part.column(at).to_pylist(), step)]
                 new = [pa.array(column, pa.list_(pa.int32())) for column in zip(*rows, strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[
                     str(i) for i in range(len(schema))]).rename_columns(schema.names)
@@ -203,19 +300,22 @@ def align(docs: DataFrame, byte_level: str | None = None, pieces: str | None = N
     return docs.mapInArrow(run, schema)
 
 
+def _joined(parts) -> list[np.ndarray]:
+    """ids_a, ids_b, cuts_a and cuts_b of a text from its parts."""
+    ids = [np.frombuffer(b"".join(p[i] for p in parts), "<i4") for i in (0, 1)]
+    cuts = []
+    for i in (0, 1):
+        moved = np.cumsum([0] + [len(p[i]) // 4 for p in parts])[:-1]
+        cuts.append(np.frombuffer(b"".join(p[i + 2] for p in parts), "<i4")
+                    + np.repeat(moved, [len(p[i + 2]) // 4 for p in parts]).astype("<i4"))
+    return ids + cuts
+
+
 def _sizes(column) -> np.ndarray:
     """Offsets of the texts of a batch, in bytes."""
     return np.cumsum(np.concatenate([[0], pa.compute.fill_null(pa.compute.binary_length(column), 0)]))
 
 
-def group_text(ids_a, ids_b, cuts_a, cuts_b) -> str:
-    """``a1,a2|b1;a3|b2,b3``: the ids of every group, in order."""
-    a, b = list(map(str, ids_a)), list(map(str, ids_b))
-    return ";".join([
-        f"{a[i]}|{b[j]}" if k - i == 1 == m - j else f"{','.join(a[i:k])}|{','.join(b[j:m])}"
-        for i, k, j, m in zip([0, *cuts_a], cuts_a, [0, *cuts_b], cuts_b, strict=False)])
-
-
 _DIGEST = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("row", T.LongType()),
     T.StructField("n_a", T.LongType()), T.StructField("n_b", T.LongType()),
@@ -237,11 +337,13 @@ def digests(docs: DataFrame, byte_level: str | None = None, pieces: str | None =
             for lo, hi in common.steps(_sizes(batch.column(1)), _GROUP_BYTES):
                 part = batch.slice(lo, hi - lo)
                 out = []
-                for doc, (a, b, ends_a, ends_b, cuts) in zip(
+                for doc, parts in zip(
                         part.column(0).to_pylist(), both.aligned(part.column(1).to_pylist()), strict=True):
-                    pairs, times = np.unique(links(a, b, ends_a, ends_b, cuts), return_counts=True)
-                    sha = hashlib.sha256(group_text(a, b, *cuts[1:]).encode()).hexdigest() if a else ""
-                    out.append((doc, row, len(a), len(b), len(cuts[0]), int(times.sum()), sha,
+                    a, b, cuts, _, linked, groups = zip(*parts, strict=True) if parts else ((),) * 6
+                    pairs, times = np.unique(np.frombuffer(b"".join(linked), np.int64), return_counts=True)
+                    sha = hashlib.sha256(";".join(groups).encode()).hexdigest() if parts else ""
+                    out.append((doc, row, sum(map(len, a)) // 4, sum(map(len, b)) // 4,
+                                sum(map(len, cuts)) // 4, int(times.sum()), sha,
                                 pairs.tobytes(), times.astype("<u4").tobytes()))
                     row += 1
                 yield pa.RecordBatch.from_arrays(
