@@ -7,6 +7,7 @@ from . import (
     decontaminate,
     exact_dedup,
     language_id,
+    lexical,
     ngram_join,
     packing,
     quality,
@@ -27,7 +28,11 @@ QUERIES = {
     "op8_suffix_dedup": repeats.query,
     "op9_exact_dedup": exact_dedup.query,
     "op10_ngram_join": ngram_join.query,
+    "op12_lexical_search": lexical.query,
     "op13_token_alignment": alignment.query,
 }
 
-ORACLES = {"op9_exact_dedup": exact_dedup.ORACLE_SQL}
+ORACLES = {
+    "op9_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op12_lexical_search": lexical.ORACLE_SQL,
+}
