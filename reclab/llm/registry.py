@@ -8,6 +8,7 @@ from . import (
     exact_dedup,
     language_id,
     lexical,
+    neighbours,
     ngram_join,
     packing,
     quality,
@@ -28,11 +29,13 @@ QUERIES = {
     "op8_suffix_dedup": repeats.query,
     "op9_exact_dedup": exact_dedup.query,
     "op10_ngram_join": ngram_join.query,
+    "op11_nearest_neighbours": neighbours.query,
     "op12_lexical_search": lexical.query,
     "op13_token_alignment": alignment.query,
 }
 
 ORACLES = {
     "op9_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op11_nearest_neighbours": neighbours.query,
     "op12_lexical_search": lexical.ORACLE_SQL,
 }
