@@ -94,7 +94,8 @@ def evaluate(spark: SparkSession, data_dir: str, models_dir: str, results_path:
             if not io.model_exists(spark, path):
                 return None
             out = sw.result_row(io.load_model(path), held, _point(row, variant), setting, key, started)
-            io.append_results(spark.createDataFrame([out], RESULTS), results_path)
+            io.append_results(spark.createDataFrame([out], RESULTS), results_path,
+                              io.result_key(dict(zip(RESULTS.names, out, strict=True))))
             return out
 
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
