@@ -22,7 +22,7 @@ def register(sql: str | None = None):
 
 
 def load_all():
-    from reclab.plans import catalog, contracts, extensions, logs, oracle, updates  # noqa: F401
+    from reclab.plans import catalog, contracts, extensions, indexed, logs, oracle, updates  # noqa: F401
 
     for name, sql in oracle.ORACLE.items():
         ORACLE.setdefault(name, sql)
