@@ -40,72 +40,95 @@ NAME, NUMBER, UNIT = "\u0001", "\u0002", "\u0003"
 UNITS = ["mm", "cm", "m", "km", "mg", "g", "kg", "ml", "l", "s", "min", "h", "hours", "hour", "minutes",
          "minute", "seconds", "second", "days", "day", "weeks", "week", "years", "year", "meters", "metres",
          "miles", "feet", "inches", "pounds", "dollars", "euros", "cents", "percent", "kmh", "mph"]
-_PLAIN = r"[\p{L}\p{M}]+|\p{Nd}+(?:[.,]\p{Nd}+)*"
+_UNIT = "|".join(sorted(UNITS, key=len, reverse=True))
+#: Slots of the filter that windows pass before anything else is made of them
+#: (a byte each; a larger benchmark only lets more windows through).
+FILTER = 1 << 18
+#: Bits of a hash from which its slots are taken.
+SHIFTS = (0, 24)
+
+
+def _marked(text: Column, names: bool) -> Column:
+    """The words of a text, in order: letter runs and numbers, the latter behind
+    a NUMBER mark, names inside a sentence behind NAME, and units after a number
+    behind UNIT (null: none)."""
+    text = F.coalesce(text, F.lit(""))
+    for mark in (NAME, NUMBER, UNIT):  # the marks themselves are no part of any word
+        text = F.when(text.contains(mark), F.regexp_replace(text, mark, " ")).otherwise(text)
+    if names:  # a capital after a lower-case letter or a comma, in the same sentence
+        text = F.regexp_replace(text, r"([\p{Ll}\p{Nd},;:]\x20)(?=\p{Lu})", "$1" + NAME)
+    text = F.regexp_replace(text, rf"(?i)(\p{{Nd}}\x20?)(?=(?:{_UNIT})(?![\p{{L}}\p{{M}}]))", "$1" + UNIT)
+    text = F.regexp_replace(text, r"\p{Nd}+(?:[.,]\p{Nd}+)*", NUMBER + "$0")
+    return F.regexp_extract_all(text, F.lit(
+        r"[\x01\x03]?[\p{L}\p{M}]+|\x02\p{Nd}+(?:[.,]\p{Nd}+)*"), F.lit(0))
+
+
+def _tokenised(df: DataFrame, names: bool = True) -> DataFrame:
+    """``df`` with ``raw`` (its marked words) and, from that one pass, tokens
+    (placeholders for the marked ones) with their hashes, openers (the places of
+    capitals that may be names), and the hashes with names there
+    (``hashes_o``, the second form)."""
+    def slot(x):
+        return F.substring(x, 1, 1).isin(NAME, NUMBER, UNIT)
+
+    out = df.withColumn("raw", _marked(F.col("text"), names))
+    out = out.withColumn("tokens", F.transform("raw", lambda x: F.when(
+        slot(x), F.substring(x, 1, 1)).otherwise(F.lower(x))))
+    out = out.withColumn("hashes", F.transform("tokens", lambda t: F.xxhash64(t)))
+    if not names:
+        return out.withColumns({"openers": F.array().cast("array<int>"), "hashes_o": F.col("hashes")})
+    opens = F.transform("raw", lambda x: x.rlike(r"^\p{Lu}"))
+    out = out.withColumn("opens", opens)
+    return out.withColumns({
+        "hashes_o": F.zip_with("hashes", "opens", lambda h, o: F.when(o, F.xxhash64(F.lit(NAME))).otherwise(h)),
+        "openers": F.filter(F.transform("opens", lambda o, i: F.when(o, i)), lambda i: i.isNotNull())}).drop("opens")
 
 
 def words(text: Column) -> Column:
     """Letter runs and numbers of a text, in order (null: none)."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(_PLAIN), F.lit(0))
+    return F.transform(_marked(text, False), lambda x: F.regexp_replace(x, r"^[\x01-\x03]", ""))
 
 
-def template(text: Column, names: bool = True, openers: bool = False) -> Column:
-    """Template tokens of a text, one for each of its ``words``; with
-    ``openers`` every other capitalised word is a name too."""
-    marked = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x01-\x03]", " ")
-    if names:  # a capital after a lower-case letter or a comma, in the same sentence
-        marked = F.regexp_replace(marked, r"(?<=[\p{Ll}\p{Nd},;:]\x20)\p{Lu}[\p{L}\p{M}]*", NAME)
-    marked = F.regexp_replace(marked, r"\p{Nd}+(?:[.,]\p{Nd}+)*", NUMBER)
-    units = "|".join(sorted(UNITS, key=len, reverse=True))
-    marked = F.regexp_replace(marked, rf"(?i)(?<=\u0002\x20?)(?:{units})(?![\p{{L}}\p{{M}}])", UNIT)
-    if openers:
-        marked = F.regexp_replace(marked, r"(?<![\p{L}\p{M}])\p{Lu}[\p{L}\p{M}]*", NAME)
-    parts = F.regexp_extract_all(F.lower(marked), F.lit(r"[\p{L}\p{M}]+|[\x01\x02\x03]"), F.lit(0))
-    return parts
-
-
-def _marks(tokens: Column, values: Column) -> Column:
-    """The placeholders with their words, null elsewhere (null: no placeholder)."""
-    any_ = F.array_contains(tokens, NAME) | F.array_contains(tokens, NUMBER) | F.array_contains(tokens, UNIT)
-    return F.when(any_, F.zip_with(tokens, values, lambda t, w: F.when(
-        t.isin(NAME, NUMBER, UNIT), F.concat(t, F.lower(w)))))
-
-
-def _windows(width: int) -> Column:
-    """array<struct<at, h, v, form>> over the columns of ``_tokenised``: of
-    every ``width`` tokens their start, their hash, and the words in their
-    slots (null without any); form 1 is the second form, of windows that have
-    one."""
+def _mark_at(i: Column, second: bool) -> Column:
+    """The word in the slot at ``i`` behind its type, null where there is none."""
+    x = F.get(F.col("raw"), i)
+    own = F.when(F.substring(x, 1, 1).isin(NAME, NUMBER, UNIT), F.lower(x))
+    return F.coalesce(own, F.when(F.array_contains("openers", i), F.concat(F.lit(NAME), F.lower(x)))) if second else own
+
+
+def _windows(width: int, slots_used: bytes | None = None) -> Column:
+    """array<struct<at, h, v, form, width>> over the columns of ``_tokenised``:
+    of every ``width`` tokens their start, their hash, and the words in their
+    slots (null elsewhere); form 1 is the second form, of windows that have
+    one.  ``slots_used``: only windows whose hash passes this filter."""
     n = F.size("tokens")
+    offsets = [F.lit(k) for k in range(width)]
 
-    def built(starts, tokens, marks, form):
+    def built(starts, second, form):
+        def hashed(i):
+            return F.xxhash64(F.slice("hashes_o" if second else "hashes", i + 1, width))
+
+        if slots_used is not None:
+            def used(i, shift):
+                slot = F.shiftrightunsigned(hashed(i), shift).bitwiseAND(FILTER - 1).cast("int")
+                return F.substring(F.lit(slots_used), slot + 1, F.lit(1)) == F.lit(b"\x01")
+
+            starts = F.filter(F.filter(starts, lambda i: used(i, SHIFTS[0])), lambda i: used(i, SHIFTS[1]))
         return F.transform(starts, lambda i: F.struct(
-            i.alias("at"), F.xxhash64(F.slice(tokens, i + 1, width)).alias("h"),
-            F.slice(marks, i + 1, width).alias("v"), F.lit(form).alias("form")))
+            i.alias("at"), hashed(i).alias("h"), slots(i, second).alias("v"), F.lit(form).alias("form"),
+            F.lit(width).alias("width")))
+
+    def slots(i, second):
+        return F.transform(F.array(*offsets), lambda k: _mark_at(i + k, second))
 
-    first = built(F.sequence(F.lit(0), F.greatest(n - width, F.lit(0))), F.col("tokens"), F.col("marks"), 0)
+    first = built(F.sequence(F.lit(0), F.greatest(n - width, F.lit(0))), False, 0)
     around = F.array_distinct(F.flatten(F.transform("openers", lambda i: F.sequence(
         F.greatest(i - width + 1, F.lit(0)), F.least(i, n - width)))))
-    second = built(around, F.col("tokens_o"), F.col("marks_o"), 1)
-    none = F.array().cast("array<struct<at:int,h:bigint,v:array<string>,form:int>>")
+    second = built(around, True, 1)
+    none = F.array().cast("array<struct<at:int,h:bigint,v:array<string>,form:int,width:int>>")
     return F.when(n < width, none).when(F.size("openers") == 0, first).otherwise(F.concat(first, second))
 
 
-def _tokenised(df: DataFrame, names: bool = True) -> DataFrame:
-    """``df`` with tokens and marks (the words in their slots) in the first
-    form, the same in the second form (``_o``), and openers (where they differ)."""
-    text = F.col("text")
-    out = df.withColumns({"words": words(text), "tokens": template(text, names)})
-    if names:
-        out = out.withColumn("tokens_o", template(text, openers=True))
-        out = out.withColumn("openers", F.filter(
-            F.sequence(F.lit(0), F.greatest(F.size("tokens") - 1, F.lit(0))),
-            lambda i: F.get(F.col("tokens"), i) != F.get(F.col("tokens_o"), i)))
-    else:
-        out = out.withColumns({"tokens_o": F.col("tokens"), "openers": F.array().cast("array<int>")})
-    return out.withColumns({"marks": _marks(F.col("tokens"), F.col("words")),
-                            "marks_o": _marks(F.col("tokens_o"), F.col("words"))})
-
-
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     """One row per window and form of each distinct item text: h, width,
     item_id (the smallest of equal items), n_items, b_at (start), n_windows,
@@ -145,13 +168,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cover: float = COVER,
     keyed = docs.select(F.xxhash64("doc_id", "text").alias("key_a"),
                         F.xxhash64(F.lit(1), "text", "doc_id").alias("key_b"), "doc_id", "text")
     hashes = F.broadcast(known) if sum(r["n"] for r in sizes) <= broadcast_windows else known
-    tokens = _tokenised(keyed)
-    hits = None
-    for width in sorted(r["width"] for r in sizes):
-        windows = tokens.select("key_a", "key_b", "doc_id", F.explode(_windows(width)).alias("w")).select(
-            "key_a", "key_b", "doc_id", "w.at", "w.h", "w.v", "w.form", F.lit(width).alias("width"))
-        found = windows.join(hashes, ["h", "width"]).drop("h", "width")
-        hits = found if hits is None else hits.unionByName(found)
+    slots_used = bytearray(FILTER)
+    used = F.explode(F.array(*[F.shiftrightunsigned("h", k).bitwiseAND(FILTER - 1) for k in SHIFTS])).alias("slot")
+    for row in known.select(used).distinct().toLocalIterator():  # FILTER at most
+        slots_used[row["slot"]] = 1
+    windows = F.concat(*[_windows(r["width"], bytes(slots_used)) for r in sizes])
+    hits = (_tokenised(keyed).select("key_a", "key_b", "doc_id", F.explode(windows).alias("w"))
+            .select("key_a", "key_b", "doc_id", "w.*").join(hashes, ["h", "width"]).drop("h", "width"))
     key = ["key_a", "key_b", "item_id"]
     # a window of slots alone says nothing, unless they are unchanged or name
     # slots of the first form, which must agree

@@ -26,6 +26,8 @@ from . import common
 
 #: Trigrams are hashed to so many values.
 BUCKETS = 1 << 14
+#: Letters from which on the pipeline rejects a text that no language explains.
+JUDGED = 40
 SMOOTHING = 0.05
 ITERATIONS = 6
 #: Log likelihood that a further language must bring, times the log of the trigrams.
@@ -205,8 +207,12 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that a learned language explains stay."""
+    """Pipeline stage: documents that a learned language explains stay, and so do
+    those with letters, but fewer than JUDGED, that chance explains no worse: a few
+    trigrams not seen in training decide nothing."""
     columns = docs.columns
     model = train(docs.where(~held_out()))
     pred, size = common.free_name(docs, "lang_pred"), common.free_name(docs, "n_langs")
-    return identify(docs, model).where((F.col(pred) != "und") & (F.col(size) > 0)).select(*columns)
+    return identify(docs, model).where(
+        (F.col(pred) != "und") & ((F.col(size) > 0) | (F.length(F.regexp_replace(
+            "text", r"[^\p{L}\p{M}]", "")) < JUDGED))).select(*columns)

@@ -31,9 +31,11 @@ different components is lost.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -53,6 +55,9 @@ HELD = 2_000_000
 REMEMBER = 100_000
 
 _HASH = common.RollingHash(10)
+#: Longer words (bytes) are hashed whole: a polynomial modulo 2^64 loses bits on
+#: long words of a regular build, whatever its base.
+LONG_WORD = 32
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 _NOT_SPACE = (~common.SPACE).astype(np.uint8)
@@ -71,6 +76,8 @@ def shingle_sets(array, width: int):
         own = _LOWER[data[offsets[i]:offsets[j]]]
         starts, ends, doc = common.runs(_NOT_SPACE[own], offsets[i:j + 1] - offsets[i])
         word = _HASH.spans(_HASH.prefix(own), starts, ends)
+        for k in np.flatnonzero(ends - starts > LONG_WORD).tolist():
+            word[k] = int.from_bytes(hashlib.blake2b(own[starts[k]:ends[k]].tobytes(), digest_size=8).digest(), "big")
         words = np.bincount(doc, minlength=j - i)
         first = np.r_[0, np.cumsum(words)[:-1]]
         total = np.zeros(max(0, len(word) - width + 1), np.uint64)
@@ -570,8 +577,14 @@ def node_links(docs: DataFrame, survey: DataFrame, width: int, percent: int) ->
     split = held.groupBy("token").agg(F.min("comp").alias("t0"), F.max("comp").alias("t1")).where(
         "t0 != t1").select("token")
     matrix = held.join(split, "token", "left_semi")
-    cells = matrix.select("token", "home", F.col("comp").alias("group_comp")).distinct().join(crowd, "home")
-    asking = matrix.select("token", "node", "comp", "pool", F.col("home").alias("from")).join(
+    # a node and a group meet in a run of tokens (a passage that both hold) once, at
+    # its first: where the token before is the same on both sides they met there
+    matrix = common.written(matrix.withColumn("before", F.lag("token").over(
+        Window.partitionBy("node").orderBy("token"))), "matrix")
+    cells = matrix.groupBy("token", "home", F.col("comp").alias("group_comp")).agg(F.when(
+        (F.count("before") == F.count(F.lit(1))) & (F.min("before") == F.max("before")), F.min("before")).alias(
+            "group_before")).join(crowd, "home")
+    asking = matrix.select("token", "before", "node", "comp", "pool", F.col("home").alias("from")).join(
         crowd.select(F.col("home").alias("from"), F.col("crowd").alias("mine")), "from")
     full = F.lit(int(_SIZE))
     n = _size("node")
@@ -580,6 +593,7 @@ def node_links(docs: DataFrame, survey: DataFrame, width: int, percent: int) ->
                < F.struct(F.col("crowd").alias("m"), F.col("home").alias("h")))
     queries = asking.join(cells, "token").where(
         (F.col("comp") != F.col("group_comp")) & smaller
+        & ~F.coalesce(F.col("before") == F.col("group_before"), F.lit(False))
         & ~((F.col("mine") == 1) & (F.col("crowd") == 1) & (F.col("pool") == F.col("group_pool"))) & (meets | (n >= full) | (F.col("n1") >= full))).select(
             "node", "home", "crowd").distinct()
     # a group of one is its centre; members of a larger one are near theirs

@@ -21,6 +21,8 @@ from . import common
 
 #: Code points on either side within which parts belong together.
 SCOPE = 240
+#: Matches of a text that are placed one after another at a time.
+WALK = 256
 
 _ASSIGN = (r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
            r"([A-Za-z0-9+/_.=-]+)")
@@ -55,15 +57,34 @@ def matches(text: Column, pattern: str) -> Column:
     steps = F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
                        lambda gap, found: F.struct(gap.alias("gap"), found.alias("m")))
 
+    steps = F.filter(steps, lambda x: x["m"].isNotNull())
+
     def place(state, step):
         start = state["at"] + F.length(step["gap"])
         end = start + F.length(step["m"])
         return F.struct(end.alias("at"), F.concat(state["out"], F.array(F.struct(
             start.alias("s"), end.alias("e"), step["m"].alias("m")))).alias("out"))
 
-    walked = F.aggregate(F.filter(steps, lambda x: x["m"].isNotNull()),
-                         F.struct(F.lit(0).alias("at"), empty.alias("out")), place, lambda st: st["out"])
-    return F.when(text.rlike(pattern), walked).otherwise(empty)
+    def walked(some, at):
+        return F.aggregate(some, F.struct(at.alias("at"), empty.alias("out")), place, lambda st: st["out"])
+
+    # a growing array is copied at each step, so many matches are walked in
+    # blocks, each from the sum of the lengths before it
+    blocks = F.transform(F.sequence(F.lit(0), F.ceil(F.size(steps) / WALK).cast("int") - 1),
+                         lambda i: F.slice(steps, i * WALK + 1, WALK))
+
+    def add(state, block):
+        size = F.aggregate(block, F.lit(0), lambda n, x: n + F.length(x["gap"]) + F.length(x["m"]))
+        return F.struct((state["at"] + size).alias("at"), F.concat(
+            state["out"], F.array(F.struct(state["at"].alias("at"), block.alias("block")))).alias("out"))
+
+    def many(dealt):
+        starts = F.aggregate(dealt, F.struct(F.lit(0).alias("at"), F.array().cast(
+            "array<struct<at:int,block:array<struct<gap:string,m:string>>>>").alias("out")), add, lambda st: st["out"])
+        return F.flatten(F.transform(starts, lambda x: walked(x["block"], x["at"])))
+
+    return F.when(~text.rlike(pattern), empty).when(F.size(steps) <= WALK, walked(steps, F.lit(0))).otherwise(
+        many(blocks))
 
 
 def _long_enough(found: Column, pattern: str, group: int, least: int) -> Column:

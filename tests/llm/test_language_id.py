@@ -68,3 +68,13 @@ def test_foreign_script_is_explained_by_no_language(spark, model):
     text = " ".join("".join(chr(rng.randrange(0x3041, 0x3090)) for _ in range(5)) for _ in range(80))
     r = li.identify(frame(spark, [(1, text, None, None, 1)]), model).first()
     assert r["n_langs"] == 0 and r["lang_pred"] in model[0]
+
+
+def test_the_stage_keeps_what_it_cannot_judge(spark):
+    short = ["Hello world", "Good night and thanks.", "Zürich", "OK", "A.\nAll rights reserved."]
+    noise = "ქართული ენა და დამწერლობა ძველია და ლამაზი, ამბობენ მეცნიერები ყოველთვის"
+    docs = common.documents(spark, SF)
+    rows = spark.createDataFrame([(10**6 + i, t, None, None, 1) for i, t in enumerate([*short, noise, "123", "", None])],
+                                 docs.schema)
+    kept = {r.doc_id - 10**6 for r in li.stage(spark, docs.unionByName(rows), SF).collect() if r.doc_id >= 10**6}
+    assert kept == {0, 1, 2, 3, 4}

@@ -101,3 +101,29 @@ def test_components_of_a_long_path(spark):
         F.struct((F.col("id") + 1).alias("a"), F.lit(0).cast("long").alias("c")).alias("v"))
     rows = nj.components(links).collect()
     assert len(rows) == 60 and {r["comp"]["a"] for r in rows} == {0}
+
+
+def test_long_regular_words_do_not_collide(spark):
+    """A Thue-Morse word and its complement share nothing, at any length."""
+    rows, want = [], {}
+    for n in (64, 1024, 8192):
+        bits = [bin(i).count("1") & 1 for i in range(n)]
+        word = "".join("ab"[b] for b in bits)
+        other = "".join("ba"[b] for b in bits)
+        rows += [(n, word, None, None, 1), (n + 1, other, None, None, 1), (n + 2, word.upper(), None, None, 1)]
+        want |= {n: n, n + 1: n + 1, n + 2: n}
+    found = {r.doc_id: r.component_id for r in nj.linked_components(frame(spark, rows)).collect()}
+    assert found == want
+
+
+def test_a_passage_in_unlike_documents_makes_few_pairs(spark):
+    """Documents that share one passage, but are not similar, and some that are."""
+    rng = random.Random(9)
+    passage = [f"p{i}" for i in range(30)]
+    rows = []
+    for i in range(60):
+        own = [f"d{i}x{j}" for j in range(rng.choice([12, 14, 20]))]
+        rows.append((i, " ".join(own[:6] + passage + own[6:]), None, None, 1))
+        if i % 7 == 0:
+            rows.append((100 + i, " ".join(own[:6] + passage + own[6:-1]), None, None, 1))
+    assert got(nj.linked_components(frame(spark, rows))) == brute(rows, 5, 80)

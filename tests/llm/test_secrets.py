@@ -122,3 +122,20 @@ def test_links_equal_a_plain_comparison_of_intervals(spark):
         want = {(x["s"], x["kind"]) for x in c if x["kind"] < 3 or (
             near(x, "identifier") or near(x, "endpoint") if x["role"] == "secret" else near(x, "secret"))}
         assert {(x["s"], x["kind"]) for x in r["found"]} == want
+
+
+def test_many_matches_take_time_in_proportion(spark):
+    import time
+
+    def took(n):
+        text = " ".join(f"{i:016x}" for i in range(n))
+        rows = [(1, text, None, None, 1)]
+        start = time.time()
+        found = secrets.scan(frame(spark, rows, 1)).select("n_hex", "base").first()
+        assert found.n_hex == n and [tuple(b)[::2] for b in found.base[:2]] == [(0, 16), (17, 33)]
+        assert (found.base[-1].s, found.base[-1].e) == (17 * (n - 1), 17 * n - 1)
+        return time.time() - start
+
+    took(100)
+    few, many = min(took(8_000), took(8_000)), took(32_000)
+    assert many < 8 * few + 2  # sixteen times as long if it grew with the square
