@@ -3,7 +3,8 @@
 Id sets never travel through the driver: set difference is a left-anti join,
 membership a left-semi join, union a ``unionByName`` + ``distinct``.
 Samples are exact-size and deterministic: the ``n`` users with the smallest
-``md5(salt || user)``, which an SQL engine can reproduce.
+``md5(salt || user)``, which an SQL engine can reproduce; a histogram of hash
+prefixes finds the boundary, so users are filtered and never sorted.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reclab.functions.hashing import bucket
-from reclab.operators.ordering import global_index
+from reclab.operators.selection import smallest
 
 SPLITS = ("train", "val", "test")
 
@@ -44,14 +45,8 @@ def sample_users(users: DataFrame, fraction: float | None = None, n: int | None
                  salt: str = "", user_col: str = "user_id") -> DataFrame:
     """Exactly ``n`` (or ``round(fraction * |users|)``) users: those first in
     ``(md5(salt || user), user)`` order.  ``users`` must hold distinct ids."""
-    if (fraction is None) == (n is None):
-        raise ValueError("give exactly one of fraction and n")
-    if n is None:
-        n = sample_size(users.count(), fraction)
     key = F.md5(F.concat(F.lit(salt), F.col(user_col).cast("string")))
-    ranked = global_index(users.select(user_col, key.alias("_h")), [F.col("_h"), F.col(user_col)],
-                          idx_col="_r")
-    return ranked.where(F.col("_r") < n).select(user_col)
+    return smallest(users.select(user_col), key, user_col, n=n, fraction=fraction)
 
 
 def filter_users(df: DataFrame, users: DataFrame, user_col: str = "user_id") -> DataFrame:
