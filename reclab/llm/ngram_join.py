@@ -22,7 +22,8 @@ centre can only be within 1 - t of a query if the centre is within 2 (1 - t).
 Groups that qualify are opened in blocks of bounded size; a block stores the
 union of its members' tokens, which bounds the overlap of a query with each of
 them once more, and only then are exact overlaps counted.  Nodes that are
-similar to no centre are pooled by the centre they share most with; a pool's
+similar to no centre are pooled by the centre they share most with, and once
+more by each token that many of them hold; a pool's
 blocks are compared sketch by sketch first, and only nodes that could link
 bring their sets.  Copies and near
 copies meet at their centre instead of in pairs, and no link between
@@ -49,6 +50,9 @@ _PARTS = 64
 FREQUENT, MARKS = 8, 1 << 24
 #: Members in a block of a group.
 BLOCK = 400
+#: A token that so many nodes outside groups hold has them compared in blocks
+#: instead of in pairs; the links found are the same either way.
+BUSY = 16
 #: Tokens of queries that a task holds before it answers them.
 HELD = 2_000_000
 #: Sets remembered by a task so that copies are indexed once.
@@ -568,9 +572,6 @@ def node_links(docs: DataFrame, survey: DataFrame, width: int, percent: int) ->
         F.min("pool").alias("group_pool")), "groups")
     alone = homes.join(crowd.where("crowd = 1").select("home"), "home", "left_semi").select(
         "node", F.col("pool").alias("home"))
-    could = common.written(_open(sketches.withColumnRenamed("sketch", "tokens"), _self_roles(alone), percent,
-                                 sketched=True), "pooled")
-    pooled = _open(_sets(docs, survey, could.select("node"), width), common.written(_self_roles(could), "roles"), percent)
     # the token-group matrix (members of a group are one component), only where
     # a token still sees two components
     held = posts.join(homes, "node")
@@ -581,9 +582,24 @@ def node_links(docs: DataFrame, survey: DataFrame, width: int, percent: int) ->
     # its first: where the token before is the same on both sides they met there
     matrix = common.written(matrix.withColumn("before", F.lag("token").over(
         Window.partitionBy("node").orderBy("token"))), "matrix")
+    # nodes that are groups of their own and hold a common token are compared in
+    # blocks, like a pool; not where all of them met at the token before
+    singles = matrix.join(alone.select("node"), "node", "left_semi")
+    busy = common.written(singles.groupBy("token").agg(
+        F.count(F.lit(1)).alias("n"), F.count("before").alias("n_before"), F.min("before").alias("b0"),
+        F.max("before").alias("b1")).where(F.col("n") > BUSY), "busy-tokens")
+    opened = busy.where(~F.coalesce((F.col("n_before") == F.col("n")) & (F.col("b0") == F.col("b1")), F.lit(False)))
+    alone = alone.unionByName(singles.join(opened.select("token"), "token").select(
+        "node", F.struct(F.col("token").alias("a"), F.lit(-1).cast("long").alias("c")).alias("home")))
+    could = common.written(_open(sketches.withColumnRenamed("sketch", "tokens"), _self_roles(alone), percent,
+                                 sketched=True), "pooled")
+    pooled = _open(_sets(docs, survey, could.select("node"), width), common.written(_self_roles(could), "roles"), percent)
     cells = matrix.groupBy("token", "home", F.col("comp").alias("group_comp")).agg(F.when(
         (F.count("before") == F.count(F.lit(1))) & (F.min("before") == F.max("before")), F.min("before")).alias(
             "group_before")).join(crowd, "home")
+    # where a token is busy its cells of one node have been compared: they go before the join
+    cells = cells.join(busy.select("token", F.lit(True).alias("busy")), "token", "left").where(
+        (F.col("crowd") > 1) | F.col("busy").isNull()).drop("busy")
     asking = matrix.select("token", "before", "node", "comp", "pool", F.col("home").alias("from")).join(
         crowd.select(F.col("home").alias("from"), F.col("crowd").alias("mine")), "from")
     full = F.lit(int(_SIZE))

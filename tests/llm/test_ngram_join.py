@@ -127,3 +127,24 @@ def test_a_passage_in_unlike_documents_makes_few_pairs(spark):
         if i % 7 == 0:
             rows.append((100 + i, " ".join(own[:6] + passage + own[6:-1]), None, None, 1))
     assert got(nj.linked_components(frame(spark, rows))) == brute(rows, 5, 80)
+
+
+@pytest.mark.parametrize("busy", [1, 6, 1000])
+def test_common_tokens_in_blocks_or_in_pairs_give_the_same_links(spark, monkeypatch, busy):
+    """Passages of several lengths over unlike texts, some of which are similar."""
+    monkeypatch.setattr(nj, "BLOCK", 7)
+    monkeypatch.setattr(nj, "BUSY", busy)
+    rng = random.Random(busy)
+    passages = [[f"p{k}x{i}" for i in range(n)] for k, n in enumerate((6, 12, 25))]
+    rows = []
+    for i in range(70):
+        own = [f"d{i}x{j}" for j in range(rng.choice([4, 9, 16]))]
+        for p in rng.sample(passages, rng.randint(1, 3)):
+            own = own[:3] + p + own[3:]
+        rows.append((i, " ".join(own), None, None, 1))
+        if i % 5 == 0:
+            own[rng.randrange(len(own))] = "other"
+            rows.append((100 + i, " ".join(own), None, None, 1))
+    want = brute(rows, 5, 60)
+    assert len({eval(w)[2] for w in want}) < len(rows)
+    assert got(nj.linked_components(frame(spark, rows), 5, 60)) == want
