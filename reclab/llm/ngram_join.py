@@ -686,5 +686,21 @@ def one_per_component(docs: DataFrame, width: int = SHINGLE, percent: int = PERC
     return once.unionByName(repeated).unionByName(empty)
 
 
+#: The query's rows by an inverted list of shingles and the closure of the links.
+ORACLE_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+  ELSE list_distinct([array_to_string(w[i : i + 3], ' ') for i in range(1, len(w) - 2)]) END AS s FROM words),
+held AS (SELECT doc_id, len(s) AS n, md5(unnest(s)) AS shingle FROM sets),
+pairs AS (SELECT x.doc_id AS a, y.doc_id AS b FROM held x JOIN held y USING (shingle) WHERE x.doc_id <> y.doc_id
+  GROUP BY x.doc_id, y.doc_id, x.n, y.n HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))),
+reached AS (SELECT a, b FROM pairs UNION SELECT r.a, p.b FROM reached r JOIN pairs p ON r.b = p.a)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles,
+  least(doc_id, coalesce((SELECT min(b) FROM reached WHERE a = doc_id), doc_id)) AS component_id FROM sets
+"""
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked_components(common.documents(spark, sf_dir), 4, 85).drop("a", "c")

@@ -35,7 +35,8 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op8_suffix_dedup": repeats.ORACLE_SQL,
     "op9_exact_dedup": exact_dedup.ORACLE_SQL,
-    "op11_nearest_neighbours": neighbours.query,
+    "op10_ngram_join": ngram_join.ORACLE_SQL,
     "op12_lexical_search": lexical.ORACLE_SQL,
 }

@@ -292,5 +292,25 @@ def remove_repeats(docs: DataFrame, match: int = MATCH, keep_text: bool = True)
             "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if keep_text else []))
 
 
+#: The query's rows by grouping every 100-byte string (hexadecimal, by md5).
+ORACLE_SQL = r"""
+WITH raw AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+starts AS (SELECT doc_id, unnest(range(0, len(h) // 2 - 99)) AS p, h FROM raw WHERE len(h) >= 200),
+keyed AS (SELECT doc_id, p, md5(substr(h, 2 * p + 1, 200)) AS k FROM starts),
+late AS (SELECT doc_id, p FROM keyed QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, p) > 1),
+steps AS (SELECT doc_id, p, lag(p) OVER d AS before, lead(p) OVER d AS after FROM late
+  WINDOW d AS (PARTITION BY doc_id ORDER BY p)),
+edges AS (SELECT doc_id, CAST(sum(least(100, coalesce(after - p, 100))) AS BIGINT) AS n_removed,
+  CAST(count(*) FILTER (before IS NULL OR p - before > 100) AS BIGINT) AS n_spans FROM steps GROUP BY doc_id),
+kept AS (SELECT doc_id, p + 100 AS lo, after AS hi FROM steps WHERE after IS NULL OR after > p + 100
+  UNION ALL SELECT doc_id, 0, p FROM steps WHERE before IS NULL),
+texts AS (SELECT doc_id, string_agg(substr(h, 2 * lo + 1, 2 * (coalesce(hi, len(h) // 2) - lo)), '' ORDER BY lo) AS left_over
+  FROM kept JOIN raw USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+  coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(left_over, h))) AS kept_sha256
+FROM raw LEFT JOIN edges USING (doc_id) LEFT JOIN texts USING (doc_id)
+"""
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(common.documents(spark, sf_dir), keep_text=False)
