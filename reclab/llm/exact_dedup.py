@@ -171,14 +171,15 @@ def deduplicate(docs: DataFrame, width: int = IDENTIFIER) -> DataFrame:
     names = [common.free_name(docs, n) for n in ("recipe", "text_sha256", "n_points")]
     width = verified_width(docs.select("doc_id", "text"), width)
     narrow = with_recipes(docs.select("doc_id", "text"), width).drop("text")
-    found = common.written(groups(narrow), "recipe-groups").select(*[F.col(c).alias(f"_dedup_{c}") for c in (
-        "recipe", "keep_id", "keep_points", "keep_rows")])
+    kept_names = {c: common.free_name(docs, f"dedup_{c}") for c in ("recipe", "keep_id", "keep_points", "keep_rows")}
+    found = common.written(groups(narrow), "recipe-groups").select(
+        *[F.col(c).alias(own) for c, own in kept_names.items()])
+    recipe, keep_id, keep_points, keep_rows = (F.col(own) for own in kept_names.values())
     rows = with_recipes(docs, width, names)
-    kept = rows.join(found, (F.col(names[0]) == F.col("_dedup_recipe"))
-                     & F.col("doc_id").eqNullSafe(F.col("_dedup_keep_id"))
-                     & (F.col(names[2]) == F.col("_dedup_keep_points")))
-    once = kept.where("_dedup_keep_rows = 1").select(*docs.columns)
-    repeated = kept.where("_dedup_keep_rows > 1").dropDuplicates([names[0]]).select(*docs.columns)
+    kept = rows.join(found, (F.col(names[0]) == recipe) & F.col("doc_id").eqNullSafe(keep_id)
+                     & (F.col(names[2]) == keep_points))
+    once = kept.where(keep_rows == 1).select(*docs.columns)
+    repeated = kept.where(keep_rows > 1).dropDuplicates([names[0]]).select(*docs.columns)
     return once.unionByName(repeated)
 
 

@@ -661,14 +661,16 @@ def one_per_component(docs: DataFrame, width: int = SHINGLE, percent: int = PERC
     doc_id is the component's (of several such rows, one with the least set
     name).  Rows without words all stay."""
     names = [common.free_name(docs, n) for n in ("set_a", "set_c")]
+    keep_id, keep_a, keep_c, copies = (common.free_name(docs, n) for n in ("keep_id", "keep_a", "keep_c", "keep_rows"))
     found = linked_components(docs, width, percent).where("n_shingles > 0")
-    keep = (found.groupBy("component_id").agg(
-        F.min(F.when(F.col("doc_id").eqNullSafe(F.col("component_id")), F.struct("a", "c"))).alias("s"),
-        ).select(F.col("component_id").alias("_keep_id"), F.col("s.a").alias("_keep_a"), F.col("s.c").alias("_keep_c")))
-    copies = found.groupBy("doc_id", "a", "c").agg(F.count(F.lit(1)).alias("_keep_rows")).select(
-        F.col("doc_id").alias("_row_id"), F.col("a").alias("_row_a"), F.col("c").alias("_row_c"), "_keep_rows")
-    keep = keep.join(copies, F.col("_keep_id").eqNullSafe(F.col("_row_id")) & (F.col("_keep_a") == F.col("_row_a"))
-                     & (F.col("_keep_c") == F.col("_row_c"))).select("_keep_id", "_keep_a", "_keep_c", "_keep_rows")
+    least = found.groupBy("component_id").agg(
+        F.min(F.when(F.col("doc_id").eqNullSafe(F.col("component_id")), F.struct("a", "c"))).alias("s")).select(
+            "component_id", F.col("s.a").alias("least_a"), F.col("s.c").alias("least_c"))
+    counted = found.groupBy("doc_id", "a", "c").agg(F.count(F.lit(1)).alias("rows"))
+    keep = least.join(counted, F.col("component_id").eqNullSafe(F.col("doc_id")) & (F.col("least_a") == F.col("a"))
+                      & (F.col("least_c") == F.col("c"))).select(
+        F.col("component_id").alias(keep_id), F.col("a").alias(keep_a), F.col("c").alias(keep_c),
+        F.col("rows").alias(copies))
     keep = common.written(keep, "kept-sets")
 
     def make(array):
@@ -679,10 +681,10 @@ def one_per_component(docs: DataFrame, width: int = SHINGLE, percent: int = PERC
 
     rows = common.append_columns(docs, make, [(n, T.LongType()) for n in names])
     empty = rows.where(F.col(names[1]).bitwiseAND((1 << 24) - 1) == 0).select(*docs.columns)
-    kept = rows.join(keep, F.col("doc_id").eqNullSafe(F.col("_keep_id")) & (F.col(names[0]) == F.col("_keep_a"))
-                     & (F.col(names[1]) == F.col("_keep_c")))
-    once = kept.where("_keep_rows = 1").select(*docs.columns)
-    repeated = kept.where("_keep_rows > 1").dropDuplicates(names).select(*docs.columns)
+    kept = rows.join(keep, F.col("doc_id").eqNullSafe(F.col(keep_id)) & (F.col(names[0]) == F.col(keep_a))
+                     & (F.col(names[1]) == F.col(keep_c)))
+    once = kept.where(F.col(copies) == 1).select(*docs.columns)
+    repeated = kept.where(F.col(copies) > 1).dropDuplicates(names).select(*docs.columns)
     return once.unionByName(repeated).unionByName(empty)
 
 

@@ -33,6 +33,8 @@ BLOCK_WINDOWS = 192
 TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 #: Words whose ids a worker remembers; the set before it is kept as long again.
 MEMO_WORDS = 300_000
+#: And the characters and id bytes it may hold by then.
+MEMO_BYTES = 64 << 20
 
 
 def differencing(sizes, parts: int) -> list[list[int]]:
@@ -149,6 +151,7 @@ class Encoder:
         self.rare = re.compile(r"[^\t\n\r!-~\u00a1-\u024f]")
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.held = 0
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         batch = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -156,8 +159,8 @@ class Encoder:
 
     def _learn(self, words: list[str]) -> None:
         """Put the ids of new words (without their space) into the memo."""
-        if len(self.words) > MEMO_WORDS:
-            self.words, self.older = {}, self.words
+        if len(self.words) > MEMO_WORDS or self.held > MEMO_BYTES:
+            self.words, self.older, self.held = {}, self.words, 0
         fresh = []
         for w in words:
             known = self.older.get(w)
@@ -188,6 +191,7 @@ class Encoder:
             before = memo
             self._learn(list(fresh))
             memo = self.words
+            self.held += sum(len(w) + len(memo[w]) for w in fresh)
             if memo is not before:  # a new memo: words of this batch come along
                 for parts in split:
                     if parts:

@@ -31,6 +31,9 @@ TOLERANCE = 0.001
 PROBES = 16
 #: Bytes that one range of the final exchange should hold (one task sorts it).
 RANGE_BYTES = 256 << 20
+#: Ranges of all shards together: beyond them ranges grow (a task's sort spills),
+#: so that what the driver keeps of the search never grows with the data.
+MAX_RANGES = 1 << 14
 
 _KEY, _ROW, _SIZE = "shard_key", "shard_row", "shard_size"
 _TOP = 1 << 128
@@ -135,24 +138,24 @@ def shard(docs: DataFrame, size: Column | str, shards: int = SHARDS, by: Column
     hash of ``text``, null a value like others); rows with the same key, and
     repeated rows, are told apart by the number they get when the table is
     written once, so a key holding any share of the rows is cut exactly.  An
-    empty table gives an empty result; with fewer rows than shards some shards
+    empty table gives an empty result; no text is read or moved in parts, however
+    long; with fewer rows than shards some shards
     stay empty.
     """
     if shards < 1:
         raise ValueError("shards must be positive")
     by = F.xxhash64("text") if by is None else by
     size = F.col(size) if isinstance(size, str) else size
-    for name in (_KEY, _ROW, _SIZE):
-        if name in docs.columns:
-            raise ValueError(f"column {name} is reserved")
     shard_name, slot_name = common.free_name(docs, "shard"), common.free_name(docs, "slot")
-    table = common.written(docs.withColumns({
-        _KEY: by.cast("long"), _SIZE: size.cast("long"), _ROW: F.monotonically_increasing_id()}),
-        "shard-rows")
+    # the caller's columns travel in one struct, so that no name can clash
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    table = common.written(docs.select(
+        by.cast("long").alias(_KEY), size.cast("long").alias(_SIZE), F.monotonically_increasing_id().alias(_ROW),
+        own.alias("own")), "shard-rows")
     all_ = table.agg(F.sum(_SIZE).alias("b"), F.count(F.lit(1)).alias("n")).first()
     total, count = all_["b"] or 0, all_["n"]
     each = total / shards
-    parts = max(1, -(-int(each) // range_bytes))  # ranges in a shard
+    parts = max(1, min(-(-int(each) // range_bytes), MAX_RANGES // shards))  # ranges in a shard
     targets = [(each * j / parts, each * (tolerance if j % parts == 0 else 0.05))
                for j in range(1, shards * parts)]
     cuts = boundaries(table, total, count, targets) if count else []
@@ -166,10 +169,9 @@ def shard(docs: DataFrame, size: Column | str, shards: int = SHARDS, by: Column
     from pyspark.sql import Window
 
     place = F.row_number().over(Window.partitionBy("shard_range").orderBy(_KEY, _ROW))
-    return ranged.withColumns({
-        shard_name: F.floor(F.col("shard_range") / parts).cast("int"),
-        slot_name: offset + place - 1,
-    }).drop(_KEY, _ROW, _SIZE, "shard_range")
+    return ranged.select("own", F.floor(F.col("shard_range") / parts).cast("int").alias("shard_out"),
+                         (offset + place - 1).alias("slot_out")).select(
+        "own.*", F.col("shard_out").alias(shard_name), F.col("slot_out").alias(slot_name))
 
 
 def write_shards(docs: DataFrame, path: str, size: Column | str, **options) -> None:

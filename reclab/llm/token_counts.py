@@ -26,6 +26,8 @@ from . import common
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Word lengths remembered by a worker before it forgets them all (memory bound).
 MEMO_WORDS = 400_000
+#: Longer words are counted anew each time.
+MEMO_BYTES = 64
 
 
 def load_vocabulary(path: str | None = None) -> list[bytes]:
@@ -100,10 +102,11 @@ class _Memo(dict):
         self.automaton = automaton
 
     def __missing__(self, word):
-        if len(self) >= MEMO_WORDS:
-            self.clear()
         n = self.automaton.length(b" " + word)
-        self[word] = n
+        if len(word) <= MEMO_BYTES:
+            if len(self) >= MEMO_WORDS:
+                self.clear()
+            self[word] = n
         return n
 
 
@@ -115,7 +118,8 @@ def token_counts(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     (long) added; names already taken get an underscore.
 
     Null or empty text: all 0.  Each row is counted by itself, so order, ties
-    and repeated rows do not matter.  ``vocabulary``: path of a rank file that
+    and repeated rows do not matter.  Texts and words of any length are counted
+    whole, in time linear in their bytes.  ``vocabulary``: path of a rank file that
     every executor can read (default: the public byte-level one).
     """
     def make(array):

@@ -63,3 +63,9 @@ def test_hot_group_and_empty_table(spark):
     assert {(r["keep_id"], r["group_size"]) for r in got} == {(2, 500)}
     assert ed.exact_duplicates(empty(spark)).count() == 0
     assert ed.deduplicate(empty(spark)).count() == 0
+
+
+def test_own_names_do_not_clash(spark):
+    docs = clashing(spark, awkward(), "dedup_recipe", "dedup_keep_id", "_dedup_keep_rows")
+    got = ed.deduplicate(docs)
+    assert got.columns == docs.columns and got.count() == len(brute(awkward()))

@@ -148,3 +148,9 @@ def test_common_tokens_in_blocks_or_in_pairs_give_the_same_links(spark, monkeypa
     want = brute(rows, 5, 60)
     assert len({eval(w)[2] for w in want}) < len(rows)
     assert got(nj.linked_components(frame(spark, rows), 5, 60)) == want
+
+
+def test_own_names_do_not_clash(spark):
+    docs = clashing(spark, awkward(), "_keep_id", "keep_id", "component_id", "rows")
+    got = nj.one_per_component(docs, 4, 85)
+    assert got.columns == docs.columns and got.count() == nj.one_per_component(frame(spark, awkward()), 4, 85).count()

@@ -81,3 +81,15 @@ def test_fast_words_equal_the_tokenizer():
     finally:
         packing.MEMO_WORDS = old
     assert got == e._encode(texts)
+
+
+def test_memo_is_bounded_by_bytes(monkeypatch):
+    import public_tokenizers
+
+    monkeypatch.setattr(packing, "MEMO_BYTES", 2000)
+    path = public_tokenizers.path(packing.TOKENIZER)
+    memo, plain = packing.Encoder(path), tokenizer()
+    for i in range(30):
+        texts = [f"start {'x' * 400}{i} end{i}"]
+        assert memo.encode(texts) == [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+        assert sum(len(w) for w in memo.words) + sum(len(w) for w in memo.older) < 8000

@@ -51,3 +51,29 @@ def test_files_hold_every_row(spark, tmp_path):
     rows = awkward()
     sharding.write_shards(frame(spark, rows), str(tmp_path / "out"), sharding.text_bytes() + 16, shards=4)
     assert spark.read.parquet(str(tmp_path / "out")).count() == len(rows)
+
+
+def test_own_names_do_not_clash(spark):
+    rows = awkward()
+    docs = clashing(spark, rows, "shard_key", "shard_row", "shard_size", "shard_range", "own")
+    got = sharding.shard(docs, sharding.text_bytes() + 16, shards=5)
+    assert got.columns == [*docs.columns, "shard", "slot"]
+    check(got.collect(), 5, lambda r: len((r["text"] or "").encode()) + 16)
+
+
+def test_ranges_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "MAX_RANGES", 8)
+    rows = [(i, f"text {i}", "en", "a", 1) for i in range(500)]
+    check(sharding.shard(frame(spark, rows), F.lit(10), shards=3, range_bytes=20).collect(), 3, lambda r: 10)
+
+
+def test_query_states_sizes_and_checksums(spark, tmp_path):
+    import zlib
+
+    rows = awkward()
+    frame(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = sharding.query(spark, str(tmp_path)).collect()
+    assert sorted(repr((r["doc_id"], r["size"], r["text_crc32"])) for r in got) == sorted(
+        repr((d, len((t or "").encode()) + 16, zlib.crc32((t or "").encode()))) for d, t, *_ in rows)
+    assert {(r["law"], r["grown_shard"]) for r in got} == {("bytes", None)}
+    check(got, 40, lambda r: r["size"])

@@ -47,3 +47,13 @@ def test_unknown_words_empty_table_and_clashing_names(spark, tmp_path):
     r = tc.token_counts(clashing(spark, rows, "n_words", "n_tokens"), str(path)).first()
     assert r["n_words_"] == 3 and r["n_unknown_words"] == 1 and r["n_tokens_"] == 2 + 1 + 4
     assert tc.token_counts(empty(spark)).count() == 0
+
+
+def test_long_words_are_not_remembered():
+    class Fixed:
+        def length(self, word):
+            return len(word)
+
+    memo = tc._Memo(Fixed())
+    assert memo[b"a" * 5000] == 5001 and memo[b"short"] == 6
+    assert list(memo) == [b"short"]
