@@ -3,8 +3,6 @@ text buffers, and vectorised rolling hashes."""
 
 from __future__ import annotations
 
-import gc
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,14 +41,6 @@ def text_fold(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))
 
 
-def release(spark: SparkSession) -> None:
-    """Let go of the shuffle files of finished steps: Spark removes them once the
-    driver has collected the plans that made them, which a driver with memory to
-    spare may not do for long while the executors' disks fill."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def append_columns(df: DataFrame, make, fields: list[tuple[str, T.DataType]], text: str = "text",
                    ) -> DataFrame:
     """``df`` with columns added by ``make(array) -> list of Arrow arrays``,

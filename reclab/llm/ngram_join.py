@@ -534,9 +534,7 @@ def node_links(docs: DataFrame, survey: DataFrame, width: int, percent: int) ->
     would."""
     tiers = _tiers(survey)
     marks = _frequent(_index(docs, tiers, None, width, percent))
-    common.release(docs.sparkSession)
     posts = common.written(_postings(_index(docs, tiers, marks, width, percent)), "postings")
-    common.release(docs.sparkSession)
     # the centre of a token: the node that shares the largest part of its index
     size = _size("node")
     indexed = size - F.ceil(size * percent / 100) + 1
@@ -556,7 +554,6 @@ def node_links(docs: DataFrame, survey: DataFrame, width: int, percent: int) ->
                      F.lit(False).alias("query")).distinct())
     roles = common.written(roles, "roles")
     first = common.written(_open(_sets(docs, survey, roles.select("node"), width), roles, percent), "links")
-    common.release(docs.sparkSession)
     comps = components(first)
     # a node's group: itself if a centre, else the least centre it is similar to,
     # else itself; its pool: the centre it shares most with
@@ -585,7 +582,6 @@ def node_links(docs: DataFrame, survey: DataFrame, width: int, percent: int) ->
     # its first: where the token before is the same on both sides they met there
     matrix = common.written(matrix.withColumn("before", F.lag("token").over(
         Window.partitionBy("node").orderBy("token"))), "matrix")
-    common.release(docs.sparkSession)
     # nodes that are groups of their own and hold a common token are compared in
     # blocks, like a pool; not where all of them met at the token before
     singles = matrix.join(alone.select("node"), "node", "left_semi")
@@ -620,7 +616,6 @@ def node_links(docs: DataFrame, survey: DataFrame, width: int, percent: int) ->
     queries = queries.withColumn("least", F.when(F.col("crowd") == 1, percent).otherwise(
         max(0, 2 * percent - 100)).cast("long"))
     queries = common.written(_bounded(queries, sketches, "node", "home"), "queries")
-    common.release(docs.sparkSession)
     blocks = F.ceil(F.col("crowd") / BLOCK).cast("int")
     asked = queries.select("home", "crowd").distinct()
     members = homes.join(asked, "home").select(
