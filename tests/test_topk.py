@@ -78,3 +78,23 @@ def test_unseen_lists_skip_in_place(spark):
         assert {i for _, i in got[u]} == set(range(u + 1, 6))
     assert all(sorted(p for p, _ in v) == list(range(len(v))) for v in got.values())
 
+
+
+def test_search_sends_a_query_once_per_pass(spark):
+    """What the passes of the exact search write does not grow with the clusters visited."""
+    from reclab.operators import search as S
+
+    x = np.random.RandomState(2).standard_normal((400, 4))
+    items = frame(spark, x)
+    part = S.fit_partitions(items, n_clusters=40)
+    found = S.mips_partition(items, part, 3, probes=40, exclude_self=True)
+    assert "FlatMapCoGroups" not in found._jdf.queryExecution().toString()  # one row per (query, cluster) went into those
+    sent = T.cells(S._queries(items).select(F.lit("0").alias("key"), F.lit(0).alias("kind"), F.lit(0).cast("long").alias("label"),
+                                            F.col("qid").alias("id"), F.col("q").alias("v"),
+                                            F.array().cast("array<double>").alias("aux")))
+    assert sent.agg(F.sum(F.length("ids"))).first()[0] == 8 * 400
+    exact = S.mips_exact(items, part, 3, exclude_self=True, digits=1)
+    want = set()
+    for i, s in enumerate(T.rounded(x @ x.T, 1)):
+        want |= {(i, j) for j in [j for j in np.lexsort((np.arange(400), -s)) if j != i][:3]}
+    assert {(r.qid, r.id) for r in exact.collect()} == want
