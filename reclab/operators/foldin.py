@@ -9,7 +9,9 @@ small linear system, the one that an ALS half-step solves:
 ``G``, the Gramian of all fixed factors, is shared: partial matrices per task
 are summed by position, so only rank^2 numbers reach the driver.  The sums of
 a key are taken over chunks of at most ``chunk`` of its rows and then over its
-chunks, so a key with a large share of all rows is many small groups.
+chunks, so a key with a large share of all rows is spread.  Rows sorted by key
+stream through the tasks: all runs of a batch are summed, and all systems of a
+batch solved, by one array operation each, with no call per key.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ from pyspark.sql import functions as F
 
 CHUNK = 4096
 
+STEP = 1 << 20  # matrix values of the rows that are summed at a time
+
 _PARTIAL = "id int, n long, matrix binary, vector binary"
 _FACTORS = "id int, features array<float>"
 
@@ -63,33 +67,67 @@ def _sums(interactions: DataFrame, factors: DataFrame, key: str, other: str, rat
     rows = rows.join(sizes, "id").withColumn(
         "chunk", F.pmod(F.xxhash64("other", "r"), F.col("chunks")).cast("int"))
 
-    def add(table):
-        y, r = _matrix(table.column("y")), table.column("r").to_numpy()
+    def add(batch):
+        y, r = _matrix(pa.chunked_array([batch.column(3)])), batch.column(2).to_numpy()
+        outer = y[:, :, None] * y[:, None, :]
         if implicit:
-            c = alpha * np.abs(r)
-            liked = r > 0
-            matrix, vector, n = (y * c[:, None]).T @ y, y.T @ np.where(liked, 1.0 + c, 0.0), int(liked.sum())
-        else:
-            matrix, vector, n = y.T @ y, y.T @ r, len(r)
-        return pa.table({"id": pa.array([table.column("id")[0].as_py()], pa.int32()),
-                         "n": pa.array([n], pa.int64()), "matrix": [matrix.tobytes()], "vector": [vector.tobytes()]})
-
-    return rows.select("id", "chunk", "r", "y").groupBy("id", "chunk").applyInArrow(add, _PARTIAL)
+            c, liked = alpha * np.abs(r), r > 0
+            return liked.astype(np.int64), outer * c[:, None, None], y * np.where(liked, 1.0 + c, 0.0)[:, None]
+        return np.ones(len(r), np.int64), outer, y * r[:, None]
+
+    def emit(ids, n, matrix, vector):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(ids, pa.int32()), pa.array(n, pa.int64()), pa.array([m.tobytes() for m in matrix], pa.binary()),
+             pa.array([v.tobytes() for v in vector], pa.binary())], names=["id", "n", "matrix", "vector"])
+
+    return (rows.select("id", "chunk", "r", "y").repartition("id", "chunk").sortWithinPartitions("id", "chunk")
+            .mapInArrow(_run_sums(2, lambda batch: len(batch.column(3)[0]), add, emit), _PARTIAL))
+
+
+def _run_sums(n_keys: int, rank_of, rows, emit):
+    """mapInArrow body over rows sorted by their first ``n_keys`` columns: the
+    sums of every run of equal keys, of (count, matrix, vector) per row."""
+    def run(batches):
+        last = None
+        for whole in batches:
+            if not whole.num_rows:
+                continue
+            step = max(1, STEP // max(1, rank_of(whole)) ** 2)
+            for lo in range(0, whole.num_rows, step):
+                batch = whole.slice(lo, step)
+                keys = np.stack([batch.column(j).to_numpy() for j in range(n_keys)], axis=1)
+                starts = np.concatenate([[0], np.flatnonzero((np.diff(keys, axis=0) != 0).any(axis=1)) + 1])
+                sums = [np.add.reduceat(a, starts, axis=0) for a in rows(batch)]
+                keys = keys[starts]
+                if last is not None:
+                    if (last[0][0] == keys[0]).all():
+                        for total, before in zip(sums, last[1:], strict=True):
+                            total[0] += before[0]
+                    else:
+                        yield emit(last[0][:, 0], *last[1:])
+                if len(keys) > 1:
+                    yield emit(keys[:-1, 0], *(a[:-1] for a in sums))
+                last = [keys[-1:], *(a[-1:] for a in sums)]
+        if last is not None:
+            yield emit(last[0][:, 0], *last[1:])
+    return run
 
 
 def _systems(partial: DataFrame, gram: np.ndarray | None, reg: float, solve, schema: str) -> DataFrame:
-    """One call of ``solve(id, matrix, vector)`` per key, on its summed chunks."""
-    rank_eye = None if gram is None else np.eye(len(gram))
+    """``solve(ids, matrices, vectors)`` over the summed chunks of many keys at a time."""
+    def rank_of(batch):
+        return len(batch.column(3)[0].as_py()) // 8
+
+    def rows(batch):
+        k, rank = batch.num_rows, rank_of(batch)
+        return (batch.column(1).to_numpy(), np.frombuffer(b"".join(batch.column(2).to_pylist())).reshape(k, rank, rank),
+                np.frombuffer(b"".join(batch.column(3).to_pylist())).reshape(k, rank))
 
-    def one(table):
-        matrix = sum(np.frombuffer(m.as_py()) for m in table.column("matrix"))
-        vector = sum(np.frombuffer(v.as_py()) for v in table.column("vector"))
-        rank = len(vector)
-        matrix = matrix.reshape(rank, rank) + reg * sum(table.column("n").to_pylist()) * (
-            np.eye(rank) if rank_eye is None else rank_eye)
-        return solve(table, matrix if gram is None else matrix + gram, vector)
+    def emit(ids, n, matrix, vector):
+        matrix = matrix + reg * n[:, None, None] * np.eye(vector.shape[1])
+        return solve(ids, matrix if gram is None else matrix + gram, vector)
 
-    return partial.groupBy("id").applyInArrow(one, schema)
+    return partial.repartition("id").sortWithinPartitions("id").mapInArrow(_run_sums(1, rank_of, rows, emit), schema)
 
 
 def fold_in(interactions: DataFrame, factors: DataFrame, reg_param: float, alpha: float = 1.0,
@@ -106,17 +144,25 @@ def fold_in(interactions: DataFrame, factors: DataFrame, reg_param: float, alpha
         gram = gramian(factors)
     partial = _sums(interactions, factors, key, other, rating, alpha, implicit, chunk)
 
-    def solve(table, matrix, vector):
+    def solve(ids, matrix, vector):
         try:
-            x = np.linalg.solve(matrix, vector)
+            x = np.linalg.solve(matrix, vector[:, :, None])[:, :, 0]
         except np.linalg.LinAlgError:  # reg 0 and dependent factors: the smallest solution
-            x = np.linalg.lstsq(matrix, vector, rcond=None)[0]
-        return pa.table({"id": table.column("id").slice(0, 1),
-                         "features": pa.array([x.astype(np.float32)], pa.list_(pa.float32()))})
+            x = np.stack([_solution(m, v) for m, v in zip(matrix, vector, strict=True)])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(ids, pa.int32()), pa.array(list(x.astype(np.float32)), pa.list_(pa.float32()))],
+            names=["id", "features"])
 
     return _systems(partial, gram if implicit else None, reg_param, solve, _FACTORS)
 
 
+def _solution(matrix: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    try:
+        return np.linalg.solve(matrix, vector)
+    except np.linalg.LinAlgError:
+        return np.linalg.lstsq(matrix, vector, rcond=None)[0]
+
+
 def gradients(folded: DataFrame, interactions: DataFrame, factors: DataFrame, reg_param: float,
               alpha: float = 1.0, implicit: bool = True, key: str = "user", other: str = "item",
               rating: str = "count", chunk: int = CHUNK) -> DataFrame:
@@ -125,22 +171,24 @@ def gradients(folded: DataFrame, interactions: DataFrame, factors: DataFrame, re
     gram = gramian(factors) if implicit else None
     partial = _sums(interactions, factors, key, other, rating, alpha, implicit, chunk)
 
-    def keep(table, matrix, vector):
-        return pa.table({"id": table.column("id").slice(0, 1), "matrix": [matrix.tobytes()],
-                         "vector": [vector.tobytes()]})
+    def keep(ids, matrix, vector):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(ids, pa.int32()), pa.array([m.tobytes() for m in matrix], pa.binary()),
+             pa.array([v.tobytes() for v in vector], pa.binary())], names=["id", "matrix", "vector"])
 
     systems = _systems(partial, gram, reg_param, keep, "id int, matrix binary, vector binary")
 
     def slope(batches):
         for batch in batches:
-            ids, features, matrices, vectors = (batch.column(i).to_pylist() for i in range(4))
-            out = []
-            for x, m, v in zip(features, matrices, vectors, strict=True):
-                v = np.frombuffer(v)
-                m = np.frombuffer(m).reshape(len(v), len(v))
-                scale = max(1.0, np.abs(v).max(), np.abs(m).max() * np.abs(x).max())
-                out.append(float(np.abs(m @ np.array(x) - v).max() / scale))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(out, pa.float64())],
+            if not batch.num_rows:
+                continue
+            k, x = batch.num_rows, _matrix(pa.chunked_array([batch.column(1)]))
+            v = np.frombuffer(b"".join(batch.column(3).to_pylist())).reshape(k, -1)
+            m = np.frombuffer(b"".join(batch.column(2).to_pylist())).reshape(k, v.shape[1], -1)
+            scale = np.maximum(np.maximum(1.0, np.abs(v).max(axis=1)),
+                               np.abs(m).max(axis=(1, 2)) * np.abs(x).max(axis=1))
+            out = np.abs(np.einsum("kij,kj->ki", m, x) - v).max(axis=1) / scale
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())],
                                              names=["id", "gradient"])
 
     return (folded.select("id", "features").join(systems, "id").select("id", "features", "matrix", "vector")

@@ -134,3 +134,22 @@ def test_compare_tells_luck_from_gain(spark):
     assert rows["better"].p_value == 0.0 and 0.19 < rows["better"].diff_low < rows["better"].diff_high < 0.21
     assert rows["noise"].diff_low < rows["noise"].mean_diff < rows["noise"].diff_high
     assert rows["same"].n_users == 400 and rows["same"].n_replicates == 200
+
+
+def test_fold_in_makes_no_group_call_per_key(spark):
+    """Runs of sorted rows are summed and solved many at a time, over batch borders too."""
+    rng = np.random.RandomState(3)
+    factors = spark.createDataFrame([(i, [float(a) for a in rng.standard_normal(3)]) for i in range(9)],
+                                    "id int, features array<float>")
+    rows = [(u, int(i), float(rng.randint(0, 5))) for u in range(40) for i in rng.choice(9, 1 + u % 9, replace=False)]
+    rows += [(99, int(i), 2.0) for i in rng.randint(0, 9, 500)]  # a heavy key
+    got = fi.fold_in(spark.createDataFrame(rows, "user int, item int, count double"), factors, 0.1, chunk=7)
+    assert "FlatMapGroups" not in got._jdf.queryExecution().toString()
+    y = {r.id: np.array(r.features, float) for r in factors.collect()}
+    gram = sum(np.outer(a, a) for a in y.values())
+    found = {r.id: np.array(r.features) for r in got.collect()}
+    assert found.keys() == {u for u, _, _ in rows}
+    for u in found:
+        own = [(y[i], r) for v, i, r in rows if v == u]
+        a = gram + sum(r * np.outer(z, z) for z, r in own) + 0.1 * sum(r > 0 for _, r in own) * np.eye(3)
+        assert np.allclose(found[u], np.linalg.solve(a, sum((z * (1 + r) * (r > 0) for z, r in own))), atol=1e-5)
