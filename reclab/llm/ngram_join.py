@@ -353,8 +353,10 @@ def _bounded(pairs: DataFrame, sketches: DataFrame, left: str, right: str) -> Da
     return joined.mapInArrow(run, pairs.schema)
 
 
-def _sets(docs: DataFrame, survey: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """(node, tokens binary) of the wanted nodes, from one document of each."""
+def _texts(docs: DataFrame, survey: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """(node, text) of the wanted nodes, from one document of each.  A text is
+    moved instead of its set, whose hashes take several times its space; the
+    task that compares sets makes them again."""
     ids = common.written(_chosen(survey, nodes).select("z", "i").distinct(), "set-ids")
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
@@ -364,9 +366,9 @@ def _sets(docs: DataFrame, survey: DataFrame, nodes: DataFrame, width: int) -> D
     def run(batches):
         seen = set()
         for batch in batches:
-            for _, hashes, counts in shingle_sets(batch.column(0), width):
+            at = 0
+            for n, hashes, counts in shingle_sets(batch.column(0), width):
                 a, c = _name(hashes, counts)
-                ends = np.cumsum(counts)
                 if len(seen) > REMEMBER:
                     seen = set()
                 keep = []
@@ -376,22 +378,32 @@ def _sets(docs: DataFrame, survey: DataFrame, nodes: DataFrame, width: int) -> D
                         keep.append(k)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(a[keep]), pa.array(c[keep]),
-                     pa.array([hashes[ends[k] - counts[k]:ends[k]].tobytes() for k in keep], pa.binary())],
-                    names=["a", "c", "tokens"])
+                     batch.column(0).take(pa.array([at + k for k in keep], pa.int64()))],
+                    names=["a", "c", "text"])
+                at += n
+
+    return texts.select("text").mapInArrow(run, "a long, c long, text string").select(
+        F.struct("a", "c").alias("node"), "text")
 
-    return texts.select("text").mapInArrow(run, "a long, c long, tokens binary").select(
-        F.struct("a", "c").alias("node"), "tokens")
+
+def _each_set(texts, width: int):
+    """The sorted shingle hashes of every text of a column, one after another."""
+    for _, hashes, counts in shingle_sets(texts, width):
+        ends = np.cumsum(counts)
+        for start, end in zip((ends - counts).tolist(), ends.tolist(), strict=True):
+            yield hashes[start:end].copy()  # of its own: a member outlives its step
 
 
 _OPENED = "qa long, qc long, ma long, mc long"
 
 
-def _open(sets: DataFrame, roles: DataFrame, percent: int, sketched: bool = False) -> DataFrame:
-    """Links (u, v) between the queries and members of each block.  ``roles``:
-    node, home, block, query (boolean); members are bounded in number.
+def _open(held_by: DataFrame, roles: DataFrame, percent: int, width: int, sketched: bool = False) -> DataFrame:
+    """Links (u, v) between the queries and members of each block.  ``held_by``:
+    node and its text; ``roles``: node, home, block, query (boolean; null: both
+    a query and a member); members are bounded in number.
 
-    ``sketched``: the sets are sketches, and the result is (node, home) of the
-    nodes whose sketch allows a link with another of their block."""
+    ``sketched``: sketches come instead of texts, and the result is (node, home)
+    of the nodes whose sketch allows a link with another of their block."""
     kind = "<u2" if sketched else np.uint64
 
     def links(members, queries):
@@ -443,18 +455,21 @@ def _open(sets: DataFrame, roles: DataFrame, percent: int, sketched: bool = Fals
 
         for batch in batches:
             col = [batch.column(i).to_pylist() for i in range(6)]
-            sets_ = batch.column(6)
-            for i in range(batch.num_rows):
+            sets = ((np.frombuffer(v.as_buffer(), kind) for v in batch.column(6)) if sketched
+                    else _each_set(batch.column(6), width))
+            for i, own in enumerate(sets):
                 here = (col[0][i], col[1][i], col[2][i])
                 if here != key:
                     out = flush()
                     if out is not None:
                         yield out
                     key, members, waiting, held = here, [], [], 0
-                entry = ((col[4][i], col[5][i]), np.frombuffer(sets_[i].as_buffer(), kind))
+                entry = ((col[4][i], col[5][i]), own)
                 if not col[3][i]:
                     if not members or members[-1][0] != entry[0]:  # a repeated row gives its set again
                         members.append(entry)
+                        if col[3][i] is None:
+                            waiting.append(entry)
                 elif not waiting or waiting[-1][0] != entry[0]:
                     waiting.append(entry)
                     held += len(entry[1])
@@ -467,9 +482,9 @@ def _open(sets: DataFrame, roles: DataFrame, percent: int, sketched: bool = Fals
         if out is not None:
             yield out
 
-    placed = roles.join(sets, "node").select(
+    placed = roles.join(held_by, "node").select(
         F.col("home.a").alias("ha"), F.col("home.c").alias("hc"), "block", "query",
-        F.col("node.a").alias("a"), F.col("node.c").alias("c"), "tokens")
+        F.col("node.a").alias("a"), F.col("node.c").alias("c"), "sketch" if sketched else "text")
     found = placed.repartition("ha", "hc", "block").sortWithinPartitions(
         "ha", "hc", "block", "query", "a", "c").mapInArrow(run, _OPENED)
     if sketched:
@@ -518,14 +533,28 @@ def _compatible(percent, a, b):
     return (a >= full) | (b >= full) | ((100 * a >= percent * b) & (100 * b >= percent * a))
 
 
+def _distinct_groups(groups: DataFrame) -> DataFrame:
+    """Rows (node, home) without the groups that hold the same nodes as another:
+    documents with several passages in common meet at tokens of each."""
+    held = groups.groupBy("home").agg(F.count(F.lit(1)).alias("n"), *[
+        F.sum(F.xxhash64(F.lit(k), "node").cast("decimal(38,0)")).alias(f"s{k}") for k in (0, 1)])
+    kept = held.groupBy("n", "s0", "s1").agg(F.min("home").alias("home")).select("home")
+    return groups.join(kept, "home", "left_semi")
+
+
 def _self_roles(groups: DataFrame) -> DataFrame:
     """Roles that compare the nodes of each group (node, home) with each other:
-    members dealt to blocks, every node a query to all blocks of its group."""
+    in a group of one block a row stands for both roles (``query`` is null); of
+    a larger one, members are dealt to blocks and every node is a query to all
+    of them."""
     sized = groups.join(groups.groupBy("home").agg(F.count(F.lit(1)).alias("crowd")).where("crowd > 1"), "home")
+    both = sized.where(F.col("crowd") <= BLOCK).select(
+        "node", "home", F.lit(0).alias("block"), F.lit(None).cast("boolean").alias("query"))
+    sized = sized.where(F.col("crowd") > BLOCK)
     blocks = F.ceil(F.col("crowd") / BLOCK).cast("int")
     members = sized.select("node", "home", F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"),
                            F.lit(False).alias("query"))
-    return members.unionByName(sized.select(
+    return both.unionByName(members).unionByName(sized.select(
         "node", "home", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.lit(True).alias("query")))
 
 
@@ -553,7 +582,7 @@ def node_links(docs: DataFrame, survey: DataFrame, width: int, percent: int) ->
         tries.select(F.col("centre").alias("node"), F.col("centre").alias("home"), block,
                      F.lit(False).alias("query")).distinct())
     roles = common.written(roles, "roles")
-    first = common.written(_open(_sets(docs, survey, roles.select("node"), width), roles, percent), "links")
+    first = common.written(_open(_texts(docs, survey, roles.select("node"), width), roles, percent, width), "links")
     comps = components(first)
     # a node's group: itself if a centre, else the least centre it is similar to,
     # else itself; its pool: the centre it shares most with
@@ -591,9 +620,10 @@ def node_links(docs: DataFrame, survey: DataFrame, width: int, percent: int) ->
     opened = busy.where(~F.coalesce((F.col("n_before") == F.col("n")) & (F.col("b0") == F.col("b1")), F.lit(False)))
     alone = alone.unionByName(singles.join(opened.select("token"), "token").select(
         "node", F.struct(F.col("token").alias("a"), F.lit(-1).cast("long").alias("c")).alias("home")))
-    could = common.written(_open(sketches.withColumnRenamed("sketch", "tokens"), _self_roles(alone), percent,
-                                 sketched=True), "pooled")
-    pooled = _open(_sets(docs, survey, could.select("node"), width), common.written(_self_roles(could), "roles"), percent)
+    could = common.written(_distinct_groups(_open(
+        sketches, _self_roles(_distinct_groups(alone)), percent, width, sketched=True)), "pooled")
+    pooled = _open(_texts(docs, survey, could.select("node"), width), common.written(_self_roles(could), "roles"),
+                   percent, width)
     cells = matrix.groupBy("token", "home", F.col("comp").alias("group_comp")).agg(F.when(
         (F.count("before") == F.count(F.lit(1))) & (F.min("before") == F.max("before")), F.min("before")).alias(
             "group_before")).join(crowd, "home")
@@ -623,7 +653,7 @@ def node_links(docs: DataFrame, survey: DataFrame, width: int, percent: int) ->
     callers = queries.select("node", "home", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"),
                              F.lit(True).alias("query"))
     roles = common.written(members.unionByName(callers), "roles")
-    second = _open(_sets(docs, survey, roles.select("node"), width), roles, percent)
+    second = _open(_texts(docs, survey, roles.select("node"), width), roles, percent, width)
     return first.unionByName(common.written(pooled.unionByName(second), "links"))
 
 

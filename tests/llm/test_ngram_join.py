@@ -154,3 +154,33 @@ def test_own_names_do_not_clash(spark):
     docs = clashing(spark, awkward(), "_keep_id", "keep_id", "component_id", "rows")
     got = nj.one_per_component(docs, 4, 85)
     assert got.columns == docs.columns and got.count() == nj.one_per_component(frame(spark, awkward()), 4, 85).count()
+
+
+def test_pools_move_each_node_once(spark):
+    """Groups of the same nodes are compared once, and a node of a small group
+    is sent once as text, not once a role as hashes."""
+    from pyspark.sql import functions as F
+
+    rows = [(n, home) for home in (1, 2, 3) for n in range(4)] + [(n, 4) for n in range(3)]
+    groups = spark.createDataFrame(rows, "n long, h long").select(
+        F.struct(F.col("n").alias("a"), F.col("n").alias("c")).alias("node"),
+        F.struct(F.col("h").alias("a"), F.col("h").alias("c")).alias("home"))
+    once = nj._distinct_groups(groups)
+    assert sorted(r["h"] for r in once.select(F.col("home.a").alias("h")).collect()) == [1] * 4 + [4] * 3
+    assert nj._self_roles(once).count() == 7
+    words = [f"w{i}" for i in range(40)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words + ["x"]))], "doc_id long, text string")
+    survey = nj._survey(docs, 4)
+    nodes = survey.where("n > 0").select(F.struct("a", "c").alias("node"))
+    assert {r["text"] for r in nj._texts(docs, survey, nodes, 4).collect()} == {
+        r["text"] for r in docs.collect()}
+
+
+def test_finished_steps_leave_no_shuffle_files(spark):
+    from reclab.llm import common
+
+    tracker = spark.sparkContext._jsc.sc().env().mapOutputTracker()
+    before = tracker.shuffleStatuses().size()
+    common.written(spark.range(1000).repartition(7, "id"), "step")
+    assert tracker.shuffleStatuses().size() <= before
+    assert spark.conf.get(common._CLEANUP) == "false"
