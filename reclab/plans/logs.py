@@ -17,6 +17,20 @@ from reclab.sources import io
 from reclab.sources.schema import RESULTS
 
 WRITERS = 8
+THRESHOLDS = range(1, 9)
+
+
+def _thresholds(splits) -> list[tuple]:
+    """(split, least count, users, mean count) of the rows with at least that
+    count, where there are any.  A user has such a row if the greatest count
+    does, so a row enters once and not once for every threshold."""
+    means = splits.groupBy("split").agg(*[
+        F.round(F.avg(F.when(F.col("count") >= m, F.col("count"))), 5).alias(f"m{m}") for m in THRESHOLDS]).collect()
+    top = splits.where("user_id IS NOT NULL").groupBy("split", "user_id").agg(F.max("count").alias("top"))
+    users = {r["split"]: r for r in top.groupBy("split").agg(*[
+        F.count(F.when(F.col("top") >= m, True)).alias(f"u{m}") for m in THRESHOLDS]).collect()}  # a row per split
+    return [(r["split"], float(m), users[r["split"]][f"u{m}"] if r["split"] in users else 0, r[f"m{m}"])
+            for r in means for m in THRESHOLDS if r[f"m{m}"] is not None]
 
 
 @register(with_(SPLIT) + """
@@ -29,13 +43,10 @@ def results_log(spark, sf):
     back: one commit of each is there."""
     path = scratch_path(spark, "log")
     splits = data.split_table(spark, sf)
-    grown = splits.select("split", "user_id", "count", F.explode(F.array(
-        *[F.lit(float(m)) for m in range(1, 9)])).alias("min_count")).where(F.col("count") >= F.col("min_count"))
-    rows = grown.groupBy("split", "min_count").agg(
-        F.countDistinct("user_id").alias("users"), F.round(F.avg("count"), 5).alias("mean")).collect()  # 24 at most
     filled = [{**dict.fromkeys(RESULTS.names), "variant": "drop", "rank": 0, "reg_param": 0.0, "alpha": 0.0, "k": 0,
-               "split": r["split"], "labels": "full", "max_iter": 0, "seed": 0, "min_count": r["min_count"],
-               "cap": 0.0, "n_users_scored": r["users"], "rmse_counts": r["mean"], "data_key": sf} for r in rows]
+               "split": split, "labels": "full", "max_iter": 0, "seed": 0, "min_count": least,
+               "cap": 0.0, "n_users_scored": users, "rmse_counts": mean, "data_key": sf}
+              for split, least, users, mean in _thresholds(splits)]
 
     def put(row):
         one = spark.createDataFrame([tuple(row[n] for n in RESULTS.names)], RESULTS)

@@ -68,3 +68,15 @@ def test_reads_a_log_of_plain_files(spark, tmp_out):
     spark.createDataFrame([row(7)], RESULTS).write.parquet(path)
     put(spark, path, 8)
     assert sorted(r.k for r in io.read_results(spark, path).collect()) == [7, 8]
+
+
+def test_thresholds_enter_each_row_once(spark):
+    from reclab.plans.logs import _thresholds
+
+    rows = [("train", "U1", 3), ("train", "U1", 1), ("train", "U2", 1), ("train", None, 9), ("val", "U3", 0),
+            ("val", None, 2), ("test", "U1", None)]
+    got = {(s, m): (n, mean) for s, m, n, mean in _thresholds(
+        spark.createDataFrame(rows, "split string, user_id string, count long"))}
+    want = {("train", 1.0): (2, 3.5), ("train", 2.0): (1, 6.0), ("train", 3.0): (1, 6.0),
+            **{("train", float(m)): (0, 9.0) for m in range(4, 9)}, ("val", 1.0): (0, 2.0), ("val", 2.0): (0, 2.0)}
+    assert got == want
