@@ -30,10 +30,17 @@ def splits(spark: SparkSession, sf_dir: str):
     return sp.split_frames(split_table(spark, sf_dir))
 
 
+_FORMATTED: dict = {}
+
+
 def formatted(spark: SparkSession, sf_dir: str, fit_on: str = "all"):
-    """(users_map, items_map, (train, val, test)) with dense int ids."""
-    train, val, test = splits(spark, sf_dir)
-    return ix.index_splits(train, val, test, fit_on=fit_on)
+    """(users_map, items_map, (train, val, test)) with dense int ids; the two
+    maps are tables that are fitted and written once per session and data."""
+    key = (spark.sparkContext.applicationId, sf_dir, fit_on)
+    if key not in _FORMATTED:
+        train, val, test = splits(spark, sf_dir)
+        _FORMATTED[key] = ix.index_splits(train, val, test, fit_on=fit_on)
+    return _FORMATTED[key]
 
 
 def string_labels(df: DataFrame) -> DataFrame:

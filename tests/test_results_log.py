@@ -80,3 +80,9 @@ def test_thresholds_enter_each_row_once(spark):
     want = {("train", 1.0): (2, 3.5), ("train", 2.0): (1, 6.0), ("train", 3.0): (1, 6.0),
             **{("train", float(m)): (0, 9.0) for m in range(4, 9)}, ("val", 1.0): (0, 2.0), ("val", 2.0): (0, 2.0)}
     assert got == want
+
+
+def test_ids_are_fitted_once_a_session(spark):
+    from reclab.plans import data
+
+    assert data.formatted(spark, "/root/testdata/sf0.001")[0] is data.formatted(spark, "/root/testdata/sf0.001")[0]
