@@ -72,6 +72,13 @@ _SIZE = np.uint64((1 << 24) - 1)
 BROADCAST_IDS = 200_000
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written and read back.  Its joins shuffle both sides: the driver
+    would hold every side that Spark finds small enough to broadcast, and one
+    thread for each, through some sixty joins of which none stays small."""
+    return common.written(df, name, common.SHUFFLED_JOINS)
+
+
 def shingle_sets(array, width: int):
     """For each step of texts: (number of texts, sorted distinct shingle hashes
     of all, number of them per text)."""
@@ -357,7 +364,7 @@ def _texts(docs: DataFrame, survey: DataFrame, nodes: DataFrame, width: int) ->
     """(node, text) of the wanted nodes, from one document of each.  A text is
     moved instead of its set, whose hashes take several times its space; the
     task that compares sets makes them again."""
-    ids = common.written(_chosen(survey, nodes).select("z", "i").distinct(), "set-ids")
+    ids = _written(_chosen(survey, nodes).select("z", "i").distinct(), "set-ids")
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("i"),
@@ -400,7 +407,11 @@ _OPENED = "qa long, qc long, ma long, mc long"
 def _open(held_by: DataFrame, roles: DataFrame, percent: int, width: int, sketched: bool = False) -> DataFrame:
     """Links (u, v) between the queries and members of each block.  ``held_by``:
     node and its text; ``roles``: node, home, block, query (boolean; null: both
-    a query and a member); members are bounded in number.
+    a query and a member); members are bounded in number.  Every query is
+    compared with every member; of the links of a query, one to each set of
+    members that the links before it do not connect yet is returned, so a
+    block gives no more links than it has queries and members, and connects
+    what all its links would.
 
     ``sketched``: sketches come instead of texts, and the result is (node, home)
     of the nodes whose sketch allows a link with another of their block."""
@@ -418,6 +429,7 @@ def _open(held_by: DataFrame, roles: DataFrame, percent: int, width: int, sketch
         tokens, owner = tokens[by], owner[by]
         edge = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1], True])
         union = tokens[edge[:-1]]
+        tied = np.arange(len(members))  # members with the same number are connected
         for name, own in queries:
             at = np.minimum(np.searchsorted(union, own), len(union) - 1)
             at = at[union[at] == own]
@@ -433,11 +445,15 @@ def _open(held_by: DataFrame, roles: DataFrame, percent: int, width: int, sketch
             fits = 100 * both >= percent * (sizes + n_own - both)
             if sketched:
                 fits |= (sizes >= int(_SIZE)) | (n_own >= int(_SIZE))
-            for k in np.flatnonzero(fits).tolist():
-                if (names[k] != name).any():
-                    yield (*name, *names[k].tolist())
-                    if sketched:
-                        break
+            near = np.flatnonzero(fits & (names != name).any(1))
+            if sketched:
+                near = near[:1]
+            elif len(near):
+                sets, first = np.unique(tied[near], return_index=True)
+                tied[np.isin(tied, sets)] = sets[0]
+                near = near[first]
+            for k in near.tolist():
+                yield (*name, *names[k].tolist())
 
     def run(batches):
         key, members, waiting, held = None, [], [], 0
@@ -503,7 +519,7 @@ def components(links: DataFrame) -> DataFrame:
     rounds that grows with the logarithm of the component's size).
     """
     low, high = F.least("u", "v"), F.greatest("u", "v")
-    edges = common.written(links.where("u != v").select(high.alias("u"), low.alias("v")).distinct(), "edges")
+    edges = _written(links.where("u != v").select(high.alias("u"), low.alias("v")).distinct(), "edges")
 
     def summary():
         return edges.agg(F.count(F.lit(1)).alias("n"),
@@ -520,7 +536,7 @@ def components(links: DataFrame) -> DataFrame:
             F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")),
                               F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select(
             "e.u", "e.v").where("u != v").distinct()
-        edges = common.written(small, "edges")
+        edges = _written(small, "edges")
         now = summary()
         if now == state:  # stars only
             return edges.select(F.col("u").alias("node"), F.col("v").alias("comp"))
@@ -563,7 +579,7 @@ def node_links(docs: DataFrame, survey: DataFrame, width: int, percent: int) ->
     would."""
     tiers = _tiers(survey)
     marks = _frequent(_index(docs, tiers, None, width, percent))
-    posts = common.written(_postings(_index(docs, tiers, marks, width, percent)), "postings")
+    posts = _written(_postings(_index(docs, tiers, marks, width, percent)), "postings")
     # the centre of a token: the node that shares the largest part of its index
     size = _size("node")
     indexed = size - F.ceil(size * percent / 100) + 1
@@ -571,18 +587,18 @@ def node_links(docs: DataFrame, survey: DataFrame, width: int, percent: int) ->
     rated = share.select("node", F.floor(F.least(F.lit(1000), 1000 * F.col("shared") / indexed)).alias("rate"))
     centre = posts.join(rated, "node").groupBy("token").agg(
         F.max(F.struct("rate", "node")).alias("m")).select("token", F.col("m.node").alias("centre"))
-    stars = common.written(posts.join(centre, "token").groupBy("node", "centre").agg(
+    stars = _written(posts.join(centre, "token").groupBy("node", "centre").agg(
         F.count(F.lit(1)).alias("common")), "stars")
-    sketches = common.written(_sketch_table(survey, share.select("node")), "sketches")
+    sketches = _written(_sketch_table(survey, share.select("node")), "sketches")
     tries = stars.select("node", "centre").where((F.col("node") != F.col("centre")) & _compatible(percent, _size("node"), _size("centre")))
-    tries = common.written(_bounded(
+    tries = _written(_bounded(
         tries.withColumn("least", F.lit(percent).cast("long")), sketches, "node", "centre"), "tries")
     block = F.lit(0).alias("block")
     roles = tries.select("node", F.col("centre").alias("home"), block, F.lit(True).alias("query")).unionByName(
         tries.select(F.col("centre").alias("node"), F.col("centre").alias("home"), block,
                      F.lit(False).alias("query")).distinct())
-    roles = common.written(roles, "roles")
-    first = common.written(_open(_texts(docs, survey, roles.select("node"), width), roles, percent, width), "links")
+    roles = _written(roles, "roles")
+    first = _written(_open(_texts(docs, survey, roles.select("node"), width), roles, percent, width), "links")
     comps = components(first)
     # a node's group: itself if a centre, else the least centre it is similar to,
     # else itself; its pool: the centre it shares most with
@@ -591,12 +607,12 @@ def node_links(docs: DataFrame, survey: DataFrame, width: int, percent: int) ->
         F.min("home").alias("near"))
     pools = stars.groupBy("node").agg(F.max(F.struct("common", F.col("centre").alias("pool"))).alias("p")).select(
         "node", F.col("p.pool").alias("pool"))
-    homes = common.written(
+    homes = _written(
         pools.join(centres, "node", "left").join(joined, "node", "left").join(comps, "node", "left")
         .select("node", "pool",
                 F.when(F.col("is_centre"), F.col("node")).otherwise(F.coalesce("near", "node")).alias("home"),
                 F.coalesce("comp", "node").alias("comp")), "homes")
-    crowd = common.written(homes.groupBy("home").agg(
+    crowd = _written(homes.groupBy("home").agg(
         F.count(F.lit(1)).alias("crowd"), F.min(_size("node")).alias("n0"), F.max(_size("node")).alias("n1"),
         F.min("pool").alias("group_pool")), "groups")
     alone = homes.join(crowd.where("crowd = 1").select("home"), "home", "left_semi").select(
@@ -609,20 +625,20 @@ def node_links(docs: DataFrame, survey: DataFrame, width: int, percent: int) ->
     matrix = held.join(split, "token", "left_semi")
     # a node and a group meet in a run of tokens (a passage that both hold) once, at
     # its first: where the token before is the same on both sides they met there
-    matrix = common.written(matrix.withColumn("before", F.lag("token").over(
+    matrix = _written(matrix.withColumn("before", F.lag("token").over(
         Window.partitionBy("node").orderBy("token"))), "matrix")
     # nodes that are groups of their own and hold a common token are compared in
     # blocks, like a pool; not where all of them met at the token before
     singles = matrix.join(alone.select("node"), "node", "left_semi")
-    busy = common.written(singles.groupBy("token").agg(
+    busy = _written(singles.groupBy("token").agg(
         F.count(F.lit(1)).alias("n"), F.count("before").alias("n_before"), F.min("before").alias("b0"),
         F.max("before").alias("b1")).where(F.col("n") > BUSY), "busy-tokens")
     opened = busy.where(~F.coalesce((F.col("n_before") == F.col("n")) & (F.col("b0") == F.col("b1")), F.lit(False)))
     alone = alone.unionByName(singles.join(opened.select("token"), "token").select(
         "node", F.struct(F.col("token").alias("a"), F.lit(-1).cast("long").alias("c")).alias("home")))
-    could = common.written(_distinct_groups(_open(
+    could = _written(_distinct_groups(_open(
         sketches, _self_roles(_distinct_groups(alone)), percent, width, sketched=True)), "pooled")
-    pooled = _open(_texts(docs, survey, could.select("node"), width), common.written(_self_roles(could), "roles"),
+    pooled = _open(_texts(docs, survey, could.select("node"), width), _written(_self_roles(could), "roles"),
                    percent, width)
     cells = matrix.groupBy("token", "home", F.col("comp").alias("group_comp")).agg(F.when(
         (F.count("before") == F.count(F.lit(1))) & (F.min("before") == F.max("before")), F.min("before")).alias(
@@ -645,16 +661,16 @@ def node_links(docs: DataFrame, survey: DataFrame, width: int, percent: int) ->
     # a group of one is its centre; members of a larger one are near theirs
     queries = queries.withColumn("least", F.when(F.col("crowd") == 1, percent).otherwise(
         max(0, 2 * percent - 100)).cast("long"))
-    queries = common.written(_bounded(queries, sketches, "node", "home"), "queries")
+    queries = _written(_bounded(queries, sketches, "node", "home"), "queries")
     blocks = F.ceil(F.col("crowd") / BLOCK).cast("int")
     asked = queries.select("home", "crowd").distinct()
     members = homes.join(asked, "home").select(
         "node", "home", F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"), F.lit(False).alias("query"))
     callers = queries.select("node", "home", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"),
                              F.lit(True).alias("query"))
-    roles = common.written(members.unionByName(callers), "roles")
+    roles = _written(members.unionByName(callers), "roles")
     second = _open(_texts(docs, survey, roles.select("node"), width), roles, percent, width)
-    return first.unionByName(common.written(pooled.unionByName(second), "links"))
+    return first.unionByName(_written(pooled.unionByName(second), "links"))
 
 
 def linked_components(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -671,12 +687,12 @@ def linked_components(docs: DataFrame, width: int = SHINGLE, percent: int = PERC
     """
     if not 1 <= percent <= 100 or not 1 <= width <= 32:
         raise ValueError("percent must be from 1 to 100, width from 1 to 32")
-    survey = common.written(_survey(docs, width), "shingle-sets")
+    survey = _written(_survey(docs, width), "shingle-sets")
     comps = components(node_links(docs, survey, width, percent))
     rows = survey.where("part IS NULL").select("doc_id", "n", "a", "c", F.struct("a", "c").alias("node"))
     best = F.min(F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("i"))).alias("k")
     nodes = rows.where("n > 0").groupBy("node").agg(best)
-    placed = common.written(nodes.join(comps, "node", "left").select(
+    placed = _written(nodes.join(comps, "node", "left").select(
         "node", "k", F.coalesce("comp", "node").alias("comp")), "components")
     least = placed.groupBy("comp").agg(F.min("k").alias("least"))
     ids = placed.join(least, "comp").select("node", F.col("least.i").alias("component"), F.lit(True).alias("known"))
@@ -701,7 +717,7 @@ def one_per_component(docs: DataFrame, width: int = SHINGLE, percent: int = PERC
                       & (F.col("least_c") == F.col("c"))).select(
         F.col("component_id").alias(keep_id), F.col("a").alias(keep_a), F.col("c").alias(keep_c),
         F.col("rows").alias(copies))
-    keep = common.written(keep, "kept-sets")
+    keep = _written(keep, "kept-sets")
 
     def make(array):
         got = [_name(h, c) for _, h, c in shingle_sets(array, width)]

@@ -184,3 +184,28 @@ def test_finished_steps_leave_no_shuffle_files(spark):
     common.written(spark.range(1000).repartition(7, "id"), "step")
     assert tracker.shuffleStatuses().size() <= before
     assert spark.conf.get(common._CLEANUP) == "false"
+
+
+def test_links_of_a_block_grow_with_its_nodes(spark):
+    """Of 60 texts that all link with each other, no more links come than there
+    are queries and members; they connect what all links would."""
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join([*words[:i], "x", *words[i + 1:]]) for i in range(50)]
+    apart = [" ".join(f"v{k}_{i}" for i in range(40)) for k in range(10)]
+    rows = [(k, k + 1, 0, t) for k, t in enumerate(texts + apart)]
+    df = spark.createDataFrame(rows, "a long, c long, block int, text string").selectExpr(
+        "struct(a, c) AS node", "struct(0L AS a, 0L AS c) AS home", "block", "CAST(NULL AS BOOLEAN) AS query", "text")
+    pairs = [(r.u.a, r.v.a) for r in nj._open(df.select("node", "text"), df.drop("text"), 60, 4).collect()]
+    assert len(pairs) <= 2 * len(rows)
+    reached, more = {0}, True
+    while more:
+        more = {x for p in pairs if set(p) & reached for x in p} - reached
+        reached |= more
+    assert reached == set(range(50)) and all(u < 50 and v < 50 for u, v in pairs)
+
+
+def test_written_keeps_the_settings_of_the_session(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    assert nj._written(spark.range(3).toDF("u"), "three").count() == 3
+    assert spark.conf.get(key) == before
