@@ -110,3 +110,17 @@ def test_grouped_lists_equal_separate_runs(spark):
                                       for i, it in enumerate(items)], "g string, user int, pos int, item int")
     pu = {x["g"]: x.asDict() for x in mt.ranking_metrics(per_user, lab, ks=(2,), group_col="g").collect()}
     assert pu == both
+
+
+def test_leads_and_hits_score_as_the_whole_lists(spark):
+    """Users 0..3 of 30 items each; user 3 hits nothing; labels repeat, hold an
+    item outside the lists and a user without one."""
+    recs = spark.createDataFrame([(u, p, (p * 7 + u) % 30) for u in range(4) for p in range(30)],
+                                 "user int, pos int, item int")
+    labels = spark.createDataFrame([(0, 3), (0, 3), (0, 9), (1, 1), (2, 28), (2, 99), (3, 77), (9, 4)],
+                                   "user int, item int")
+    kept = mt.leads_and_hits(recs, labels)
+    assert kept.count() == 4 + 4 - 1  # four leads and four hits; one hit leads its list
+    for lab in (labels, labels.where("item > 5"), labels.where("item > 1000")):
+        assert (mt.ranking_metrics(kept, lab, ks=(5, 30)).collect()
+                == mt.ranking_metrics(recs, lab, ks=(5, 30)).collect())
