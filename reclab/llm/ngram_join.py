@@ -564,14 +564,16 @@ def _self_roles(groups: DataFrame) -> DataFrame:
     a larger one, members are dealt to blocks and every node is a query to all
     of them."""
     sized = groups.join(groups.groupBy("home").agg(F.count(F.lit(1)).alias("crowd")).where("crowd > 1"), "home")
-    both = sized.where(F.col("crowd") <= BLOCK).select(
-        "node", "home", F.lit(0).alias("block"), F.lit(None).cast("boolean").alias("query"))
-    sized = sized.where(F.col("crowd") > BLOCK)
     blocks = F.ceil(F.col("crowd") / BLOCK).cast("int")
-    members = sized.select("node", "home", F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"),
-                           F.lit(False).alias("query"))
-    return both.unionByName(members).unionByName(sized.select(
-        "node", "home", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.lit(True).alias("query")))
+
+    def role(block, query):
+        return F.struct(block.cast("int").alias("block"), F.lit(query).cast("boolean").alias("query"))
+
+    dealt = F.concat(F.array(role(F.pmod(F.xxhash64("node"), blocks), False)),
+                     F.transform(F.sequence(F.lit(0), blocks - 1), lambda b: role(b, True)))
+    return sized.select("node", "home", F.explode(
+        F.when(F.col("crowd") <= BLOCK, F.array(role(F.lit(0), None))).otherwise(dealt)).alias("r")).select(
+            "node", "home", "r.block", "r.query")
 
 
 def node_links(docs: DataFrame, survey: DataFrame, width: int, percent: int) -> DataFrame:
@@ -634,12 +636,14 @@ def node_links(docs: DataFrame, survey: DataFrame, width: int, percent: int) ->
         F.count(F.lit(1)).alias("n"), F.count("before").alias("n_before"), F.min("before").alias("b0"),
         F.max("before").alias("b1")).where(F.col("n") > BUSY), "busy-tokens")
     opened = busy.where(~F.coalesce((F.col("n_before") == F.col("n")) & (F.col("b0") == F.col("b1")), F.lit(False)))
-    alone = alone.unionByName(singles.join(opened.select("token"), "token").select(
-        "node", F.struct(F.col("token").alias("a"), F.lit(-1).cast("long").alias("c")).alias("home")))
-    could = _written(_distinct_groups(_open(
-        sketches, _self_roles(_distinct_groups(alone)), percent, width, sketched=True)), "pooled")
-    pooled = _open(_texts(docs, survey, could.select("node"), width), _written(_self_roles(could), "roles"),
-                   percent, width)
+    # each step here reads its input several times: written in between, else the
+    # plan of the last would hold that of the first some twenty times over
+    alone = _written(alone.unionByName(singles.join(opened.select("token"), "token").select(
+        "node", F.struct(F.col("token").alias("a"), F.lit(-1).cast("long").alias("c")).alias("home"))), "alone")
+    pools = _written(_self_roles(_written(_distinct_groups(alone), "pools")), "roles")
+    could = _written(_open(sketches, pools, percent, width, sketched=True), "could-link")
+    roles = _written(_self_roles(_written(_distinct_groups(could), "pooled")), "roles")
+    pooled = _open(_texts(docs, survey, roles.select("node"), width), roles, percent, width)
     cells = matrix.groupBy("token", "home", F.col("comp").alias("group_comp")).agg(F.when(
         (F.count("before") == F.count(F.lit(1))) & (F.min("before") == F.max("before")), F.min("before")).alias(
             "group_before")).join(crowd, "home")

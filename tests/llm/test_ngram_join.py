@@ -209,3 +209,18 @@ def test_written_keeps_the_settings_of_the_session(spark):
     before = spark.conf.get(key)
     assert nj._written(spark.range(3).toDF("u"), "three").count() == 3
     assert spark.conf.get(key) == before
+
+
+def test_no_step_repeats_the_plan_of_another(spark, monkeypatch):
+    """Every written step has the joins of its own work only: the plan of the
+    last pools had 84 of them, which the driver held with all their stages."""
+    joins = {}
+
+    def written(df, name):
+        joins[name] = max(joins.get(name, 0), df._jdf.queryExecution().analyzed().toString().count("Join "))
+        return first(df, name)
+
+    first = nj._written
+    monkeypatch.setattr(nj, "_written", written)
+    assert got(nj.linked_components(frame(spark, awkward()), 4, 85)) == brute(awkward(), 4, 85)
+    assert max(joins.values()) <= 12, joins
