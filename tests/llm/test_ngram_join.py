@@ -213,7 +213,7 @@ def test_written_keeps_the_settings_of_the_session(spark):
 
 def test_no_step_repeats_the_plan_of_another(spark, monkeypatch):
     """Every written step has the joins of its own work only: the plan of the
-    last pools had 84 of them, which the driver held with all their stages."""
+    last pools had 117 of them, which the driver held with all their stages."""
     joins = {}
 
     def written(df, name):
