@@ -15,7 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reclab.session import scratch_path
+from reclab.session import scratch_path, shuffles_released
+
 
 def global_index(df: DataFrame, order: list, idx_col: str = "idx",
                  num_partitions: int | None = None, range_col: str | None = None) -> DataFrame:
@@ -30,10 +31,11 @@ def global_index(df: DataFrame, order: list, idx_col: str = "idx",
     ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
               else df.repartitionByRange(*order))
     path = scratch_path(spark, "order")
-    (ranged.sortWithinPartitions(*order)
-     .select("*", F.spark_partition_id().alias("_gi_pid"),
-             F.monotonically_increasing_id().alias("_gi_mid"))
-     .write.parquet(path))
+    with shuffles_released(spark):
+        (ranged.sortWithinPartitions(*order)
+         .select("*", F.spark_partition_id().alias("_gi_pid"),
+                 F.monotonically_increasing_id().alias("_gi_mid"))
+         .write.parquet(path))
     tagged = spark.read.parquet(path)
     # one row per range: the only thing that a single task orders
     before = Window.orderBy("_gi_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -5,6 +5,8 @@ from __future__ import annotations
 
 import atexit
 import tempfile
+import threading
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -83,16 +85,105 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not _SCRATCH:
         atexit.register(clear_scratch)
     _SCRATCH.append((spark, path))
+    for made in getattr(_OWN, "made", ()):
+        made.append((spark, path))
     return path
 
 
 def materialise(df, name: str):
-    """``df`` written once under the checkpoint folder and read back."""
+    """``df`` written once under the checkpoint folder and read back.  The
+    shuffle files of the write go when it has ended."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with shuffles_released(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored(df, name: str):
+    """``df`` itself where reading it takes no shuffle, else its copy under the
+    checkpoint folder: for tables that are scanned several times."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return materialise(df, name) if "Exchange" in plan else df
+
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_LOCK = threading.Lock()
+_RELEASING: dict = {}
+
+
+@contextmanager
+def shuffles_released(spark: SparkSession):
+    """The shuffle files of a query that is run inside go when it has ended, not
+    when the driver happens to collect its plan.  Threads share the setting: the
+    last one that leaves restores what was set before."""
+    key = id(spark._jsparkSession)
+    with _LOCK:
+        n, before = _RELEASING.get(key, (0, None))
+        if not n:
+            before = spark.conf.get(_CLEANUP, None)
+            spark.conf.set(_CLEANUP, "true")
+        _RELEASING[key] = n + 1, before
+    try:
+        yield
+    finally:
+        with _LOCK:
+            n, before = _RELEASING.pop(key)
+            if n > 1:
+                _RELEASING[key] = n - 1, before
+            elif before is None:
+                spark.conf.unset(_CLEANUP)
+            else:
+                spark.conf.set(_CLEANUP, before)
+
+
+#: Seconds between two collections of the driver's garbage.
+COLLECT_EVERY = 5.0
+
+
+@contextmanager
+def collected(spark: SparkSession):
+    """While a long call runs in the driver's JVM, its garbage is collected every
+    few seconds: shuffle files and cached blocks that nothing refers to any more
+    go only then (as with ``spark.cleaner.periodicGC.interval``, which waits half
+    an hour)."""
+    ended, runs = threading.Event(), []
+    gc = spark.sparkContext._jvm.System.gc
+
+    def run():
+        while not ended.wait(COLLECT_EVERY):
+            gc()
+            runs.append(1)
+
+    thread = threading.Thread(target=run, daemon=True)
+    thread.start()
+    try:
+        yield
+    finally:
+        ended.set()
+        thread.join()
+        if runs:  # what the call itself has left
+            gc()
+
+
+_OWN = threading.local()
+
+
+@contextmanager
+def scratch_released():
+    """Intermediate tables that this thread makes inside are deleted at the end,
+    not only at that of the process."""
+    stack = _OWN.__dict__.setdefault("made", [])
+    stack.append(made := [])
+    try:
+        yield
+    finally:
+        stack.pop()
+        for entry in made:
+            if entry in _SCRATCH:
+                _SCRATCH.remove(entry)
+                _delete(*entry)
+
+
 _SCRATCH: list[tuple[SparkSession, str]] = []
 
 
@@ -100,10 +191,12 @@ def clear_scratch() -> None:
     """Delete the intermediate tables of this process (also done at its end).
     DataFrames that still read them become unusable."""
     while _SCRATCH:
-        spark, path = _SCRATCH.pop()
         try:
-            jvm = spark.sparkContext._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+            _delete(*_SCRATCH.pop())
         except Exception:  # the session is gone already: its folder stays for the cluster's cleaner
             return
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
