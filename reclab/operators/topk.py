@@ -4,8 +4,14 @@ while the items it may meet pass by in small cells.
 Queries are dealt into chunks whose state (vectors and the best ``k`` so far)
 has a bounded size; every chunk reads the item cells once.  Queries are sent
 once, items once per chunk, and a task never holds more than its chunk and one
-batch of cells, so what is written grows with items x queries / chunk size,
-not with items x queries.  Only the final ``k`` rows of a query leave its task.
+batch of cells.  The chunks run in waves of two for each core, each of which
+sends the items to its own chunks only and releases them when it ends: what is
+on disk at a time grows with items x cores, not with items x queries.  Only the
+final ``k`` rows of a query leave its task.
+
+Where no labels are given the longest items pass first.  A query whose length
+times that of the longest item of a tile stays below its k-th best score so far
+is not scored against the tile (Cauchy-Schwarz), which changes no result.
 
 A *selector* may name the queries of a chunk that visit a label (a cluster, a
 bucket); the other queries are not scored against its cells.
@@ -21,9 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reclab.functions.vectors import dot
+from reclab.session import materialise, scratch_path, shuffles_released
+
 CHUNK_BYTES = 96 << 20    # vectors, best lists and visits of a chunk of queries
-MAX_CHUNK = 32_768        # queries of a chunk
-CELL_BYTES = 8192         # vectors of a cell: a batch of 10,000 cells stays below 100 MB
+MAX_CHUNK = 1 << 18       # queries of a chunk
+CELL_BYTES = 2048         # vectors of a cell: a batch of 10,000 cells stays below 25 MB
+RUN_CELLS = 1024          # cells that a task unpacks at a time
 TILE = 1 << 21            # scores computed at a time
 
 CELL_SCHEMA = "key string, kind int, label long, ids binary, vals binary, aux binary"
@@ -31,17 +41,19 @@ LIST_SCHEMA = "qid long, ids array<long>, scores array<double>"
 QUERY, SKIP, ITEM = 0, 1, 2
 
 
-def chunk_rows(dims: int, k: int, extra: int = 0) -> int:
-    """Queries of a chunk: as many as ``CHUNK_BYTES`` hold, ``extra`` bytes each."""
-    return max(64, min(MAX_CHUNK, CHUNK_BYTES // (8 * dims + 48 * k + extra + 64)))
+def chunk_rows(dims: int, k: int, extra: int = 0, entry: int = 24) -> int:
+    """Queries of a chunk: as many as ``CHUNK_BYTES`` hold, ``extra`` bytes each and
+    ``entry`` bytes for each of the 2 ``k`` places of a list."""
+    return max(64, min(MAX_CHUNK, CHUNK_BYTES // (8 * dims + 2 * entry * k + extra + 64)))
 
 
 def n_chunks(queries: DataFrame, rows: int) -> int:
     """Chunks of at most ``rows`` queries, and two for each core while they hold
-    256 queries or more."""
+    256 queries or more; as many for each core where they take several waves."""
     n = queries.count()
     cores = queries.sparkSession.sparkContext.defaultParallelism
-    return max(1, math.ceil(n / rows), min(2 * cores, math.ceil(n / 256)))
+    least = max(1, math.ceil(n / rows), min(2 * cores, math.ceil(n / 256)))
+    return least if least <= 2 * cores else math.ceil(least / cores) * cores
 
 
 def matrix(column, dtype=np.float64) -> np.ndarray:
@@ -78,17 +90,19 @@ def cells(df: DataFrame, dtype: str = "f8") -> DataFrame:
 
 
 def runs(batches):
-    """``(key, kind, labels, ids, vals, aux)`` of each run of cells with one key
-    and kind; labels per row, the last two as flat arrays of bytes."""
+    """``(key, kind, labels, ids, vals, aux)`` of each run of cells (at most
+    ``RUN_CELLS``) with one key and kind; labels per row, the last two as flat arrays of bytes."""
     for batch in batches:
         keys, kinds, labels = (batch.column(j).to_pylist() for j in range(3))
         at = 0
         for (key, kind), part in groupby(zip(keys, kinds, strict=True)):
-            n = sum(1 for _ in part)
-            ids, vals, aux = (batch.column(j).slice(at, n).to_pylist() for j in (3, 4, 5))
-            each = np.repeat(np.array(labels[at:at + n], np.int64), [len(x) // 8 for x in ids])
-            yield key, kind, each, np.frombuffer(b"".join(ids), np.int64), b"".join(vals), b"".join(aux)
-            at += n
+            end = at + sum(1 for _ in part)
+            while at < end:
+                n = min(RUN_CELLS, end - at)
+                ids, vals, aux = (batch.column(j).slice(at, n).to_pylist() for j in (3, 4, 5))
+                each = np.repeat(np.array(labels[at:at + n], np.int64), [len(x) // 8 for x in ids])
+                yield key, kind, each, np.frombuffer(b"".join(ids), np.int64), b"".join(vals), b"".join(aux)
+                at += n
 
 
 def rounded(scores, digits: int | None):
@@ -99,6 +113,11 @@ def rounded(scores, digits: int | None):
     return np.sign(scores) * np.floor(np.abs(scores) * unit + 0.5) / unit
 
 
+def _lengths(x) -> np.ndarray:
+    x = x.astype(np.float64)
+    return np.sqrt((x * x).sum(axis=1))
+
+
 class Chunk:
     """Queries of one chunk with the best ``k`` items met so far, ordered by
     (rounded) score, then smaller id."""
@@ -113,6 +132,9 @@ class Chunk:
         self.least = np.full(n, -np.inf)                           # key of the k-th best
         self.least_id = np.full(n, np.iinfo(np.int64).max)         # and its id
         self.skip = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.half = 0.0 if digits is None else 0.5 * 10.0 ** -digits
+        # lengths of the queries, a little above what rounding of a score can hide
+        self.size = _lengths(q) * (1.0 + 4.0 * max(1, q.shape[1]) * np.finfo(q.dtype).eps)
 
     def skip_pairs(self, qids, items):
         """Pairs (query, item) that may not be found."""
@@ -159,18 +181,28 @@ class Chunk:
         columns)`` marks candidates that do not count."""
         n_items = max(64, min(8192, len(ids)))
         n_rows = max(1, TILE // n_items)
-        for a in range(0, len(rows), n_rows):
-            part = rows[a:a + n_rows]
-            q = self.q[part]
-            for b in range(0, len(ids), n_items):
-                self._tile(part, q, ids[b:b + n_items], x[b:b + n_items],
+        for b in range(0, len(ids), n_items):
+            near = self._near(rows, x[b:b + n_items])
+            for a in range(0, len(near), n_rows):
+                part = near[a:a + n_rows]
+                self._tile(part, self.q[part], ids[b:b + n_items], x[b:b + n_items],
                            None if drop is None else (lambda r, c, b=b: drop(r, c + b)))
 
+    def _floor(self, rows):
+        """A little below what rounding can lift to the k-th best."""
+        return self.least[rows] - self.half * (1 + 1e-6)
+
+    def _near(self, rows, x):
+        """The queries that an item of ``x`` could still be found for: no score
+        exceeds the product of both lengths."""
+        if not len(x) or np.isneginf(self.least[rows]).all():
+            return rows
+        with np.errstate(invalid="ignore"):
+            return rows[~(self.size[rows] * _lengths(x).max() < self._floor(rows))]
+
     def _tile(self, part, q, ids, x, drop):
         k, scores = self.k, q @ x.T
-        half = 0.0 if self.digits is None else 0.5 * 10.0 ** -self.digits
-        # a little below what rounding can lift to the k-th best
-        floor = self.least[part] - half * (1 + 1e-6)
+        half, floor = self.half, self._floor(part)
         if half:
             floor = np.where(floor < 0, floor * (1 + 1e-12), floor * (1 - 1e-12))
         # as many of this tile alone as surely hold k that count
@@ -293,7 +325,9 @@ def streamed_topk(queries: DataFrame, items: DataFrame, k: int, dims: int, digit
     turns a chunk into a function of (label, aux of its items) that gives the
     rows to score and a test for candidates to drop; ``skip(qid, id)`` pairs are
     not found."""
-    n = n_chunks(queries, chunk_rows(dims, k, extra))
+    entry = 12 if dtype == "f4" and digits is None else 16 if digits is None else 24
+    n = n_chunks(queries, chunk_rows(dims, k, extra, entry))
+    wave = 2 * queries.sparkSession.sparkContext.defaultParallelism
     none = F.array().cast("array<double>")
 
     def col(df, name, other):
@@ -305,19 +339,38 @@ def streamed_topk(queries: DataFrame, items: DataFrame, k: int, dims: int, digit
     left = cells(queries.select(
         chunk("qid").alias("key"), F.lit(QUERY).alias("kind"), F.lit(0).cast("long").alias("label"),
         F.col("qid").cast("long").alias("id"), F.col("q").alias("v"), col(queries, "aux", none).alias("aux")), dtype)
+    if "label" not in items.columns:
+        # the longest first, in steps of a sixteenth of a power of two
+        items = items.withColumn("label", F.coalesce(F.floor(-8 * F.log2(F.greatest(
+            dot(F.col("v").cast("array<double>"), F.col("v").cast("array<double>")), F.lit(1e-300)))), F.lit(0)))
     right = cells(items.select(
-        F.lit("").alias("key"), F.lit(ITEM).alias("kind"), col(items, "label", F.lit(0)).cast("long").alias("label"),
-        F.col("id").cast("long").alias("id"), "v", col(items, "aux", none).alias("aux")), dtype)
-    right = right.withColumn("key", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).withColumn(
-        "key", F.col("key").cast("string"))
-    rows = left.unionByName(right)
+        F.lit("").alias("key"), F.lit(ITEM).alias("kind"), F.col("label").cast("long").alias("label"),
+        F.col("id").cast("long").alias("id"), "v", col(items, "aux", none).alias("aux"))
+        .sortWithinPartitions("label"), dtype)
     if skip is not None:
-        rows = rows.unionByName(cells(skip.select(
+        left = left.unionByName(cells(skip.select(
             chunk("qid").alias("key"), F.lit(SKIP).alias("kind"), F.lit(0).cast("long").alias("label"),
             F.col("qid").cast("long").alias("id"), none.alias("v"),
             F.array(F.col("id").cast("double")).alias("aux"))))
-    return search_sorted(rows.repartitionById(n, F.col("key").cast("int")), k, digits, exclude_self, dtype,
-                         selector)
+
+    def lists(left, right, lo, hi):
+        to_each = right.withColumn("key", F.explode(F.transform(
+            F.sequence(F.lit(0), F.lit(hi - lo - 1)), lambda i: i.cast("string"))))
+        number = F.col("key").cast("int")
+        own = left if hi - lo == n else left.where((number >= lo) & (number < hi)).withColumn(
+            "key", (number - lo).cast("string"))
+        return search_sorted(own.unionByName(to_each).repartitionById(hi - lo, number), k, digits, exclude_self, dtype,
+                             selector)
+
+    if n <= wave:
+        return lists(left, right, 0, n)
+    spark = queries.sparkSession
+    left, right = materialise(left, "queries"), materialise(right, "items")
+    path = scratch_path(spark, "lists")
+    for lo in range(0, n, wave):
+        with shuffles_released(spark):
+            lists(left, right, lo, min(n, lo + wave)).write.mode("append").parquet(path)
+    return spark.read.schema(LIST_SCHEMA).parquet(path)
 
 
 class Visits:

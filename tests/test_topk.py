@@ -98,3 +98,61 @@ def test_search_sends_a_query_once_per_pass(spark):
     for i, s in enumerate(T.rounded(x @ x.T, 1)):
         want |= {(i, j) for j in [j for j in np.lexsort((np.arange(400), -s)) if j != i][:3]}
     assert {(r.qid, r.id) for r in exact.collect()} == want
+
+
+def test_many_chunks_run_in_waves(spark, data, monkeypatch):
+    """The items go to the chunks of one wave at a time, whatever the number of chunks."""
+    cores, sent = spark.sparkContext.defaultParallelism, []
+    real = T.search_sorted
+
+    def counted(rows, *a, **options):
+        sent.append(rows.rdd.getNumPartitions())
+        return real(rows, *a, **options)
+
+    monkeypatch.setattr(T, "search_sorted", counted)
+    monkeypatch.setattr(T, "n_chunks", lambda queries, rows: 5 * cores)
+    gone = {i: set(range(0, 600, 2 + i % 3)) for i in range(0, 150, 7)}
+    skip = spark.createDataFrame([(i, j) for i, s in gone.items() for j in s], "qid long, id long")
+    for digits in (None, 0):
+        del sent[:]
+        got = {r.qid: (list(r.ids), list(r.scores)) for r in T.streamed_topk(
+            queries(frame(spark, data[:150])), frame(spark, data), 9, 5, digits, skip=skip).collect()}
+        assert sent == [2 * cores, 2 * cores, cores] and len(got) == 150
+        for i, a in enumerate(data[:150]):
+            s = data @ a
+            want = [j for j in np.lexsort((np.arange(len(s)), -s)) if j not in gone.get(i, ())][:9]
+            assert got[i] == (want, [s[j] for j in want])
+
+
+@pytest.mark.parametrize("dtype, digits", [("f4", None), ("f8", None), ("f8", 1)])
+def test_short_items_are_passed_over(dtype, digits):
+    """Tiles of items too short for any list are not scored; nothing is lost."""
+    rng = np.random.RandomState(3)
+    x = (rng.standard_normal((4096, 6)) * np.exp(rng.standard_normal((4096, 1)))).astype(dtype)
+    x = x[np.argsort(-(x * x).sum(axis=1))]
+    q = rng.standard_normal((64, 6)).astype(dtype)
+    ids, scored = np.arange(len(x)), []
+    chunk = T.Chunk(np.arange(64), q, np.empty((64, 0)), 5, digits, False)
+    real = chunk._tile
+    chunk._tile = lambda part, *a: (scored.append(len(part)), real(part, *a))[1]
+    for lo in range(0, len(x), 256):
+        chunk.meet(np.arange(64), ids[lo:lo + 256], x[lo:lo + 256])
+    assert sum(scored) < 64 * 16 / 3
+    found = next(chunk.result())
+    for i, a in enumerate(q):
+        s = T.rounded(x @ a, digits)
+        assert found.column(1)[i].as_py() == [int(j) for j in np.lexsort((ids, -s))[:5]]
+
+
+def test_a_run_of_cells_is_unpacked_in_parts():
+    """A task holds a bounded part of a batch of cells besides the batch."""
+    import pyarrow as pa
+
+    n = 3 * T.RUN_CELLS + 5
+    one = np.arange(2, dtype=np.int64).tobytes()
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(["0"] * n), pa.array([2] * n, pa.int32()), pa.array(range(n), pa.int64()), pa.array([one] * n, pa.binary()),
+         pa.array([one] * n, pa.binary()), pa.array([b""] * n, pa.binary())], names=["key", "kind", "label", "ids", "vals", "aux"])
+    got = list(T.runs([batch]))
+    assert [len(g[2]) for g in got] == [2 * T.RUN_CELLS] * 3 + [10]
+    assert np.concatenate([g[2] for g in got]).tolist() == [i for i in range(n) for _ in range(2)]
