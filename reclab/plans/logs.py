@@ -12,7 +12,7 @@ from reclab.operators import sweep as sw
 from reclab.plans import data
 from reclab.plans.oracle import SPLIT, with_
 from reclab.plans.registry import register
-from reclab.session import scratch_path
+from reclab.session import materialise, scratch_path, scratch_released
 from reclab.sources import io
 from reclab.sources.schema import RESULTS
 
@@ -77,8 +77,8 @@ def train_skips_saved_model(spark, sf):
     """A point that is saved is loaded and not fitted again, and a point that is
     in the log is not evaluated again."""
     _, _, (train, val, _) = data.formatted(spark, sf)
-    train = train.cache()
-    try:
+    with scratch_released():
+        train, val = materialise(train, "train"), materialise(val, "val")
         models, log = scratch_path(spark, "models"), scratch_path(spark, "log")
         points = sw.grid(spark, [5], [0.1], [1.0])
         point, setting = points.first().asDict(), sw.Setting(k=50, max_iter=3)
@@ -101,5 +101,3 @@ def train_skips_saved_model(spark, sf):
             [(got["n"], not before and same_stamp and first.count() == 1, got["apart"] < 1e-4, left,
               io.read_results(spark, log).count())],
             "n_users long, fitted_once boolean, equal_factors boolean, n_pending long, n_results long")
-    finally:
-        train.unpersist()

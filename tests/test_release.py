@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from reclab import session
 from reclab.operators import als as A
+from reclab.operators import sweep as sw
 
 
 def shuffles(spark):
@@ -73,3 +74,14 @@ def test_tables_are_stored_where_reading_shuffles(spark):
     copy = session.stored(summed, "test")
     assert copy is not summed and "Exchange" not in copy._jdf.queryExecution().executedPlan().toString()
     assert copy.dtypes == summed.dtypes and sorted(copy.collect()) == sorted(summed.collect())
+
+
+def test_a_sweep_leaves_no_tables(spark, train):
+    held = train.where("(user + item) % 4 = 0")
+    points = sw.grid(spark, [2], [0.1, 0.2], [1.0])
+    before, blocks = len(session._SCRATCH), set(spark.sparkContext._jsc.getPersistentRDDs())
+    res = sw.run_sweep(train.repartition(2), held, points, k=5, max_iter=2)
+    cv = sw.cross_validate(train, points, folds=2, k=5, max_iter=2)
+    assert len(session._SCRATCH) == before and res.count() == 2 and cv.count() == 2
+    left(spark, shuffles(spark))
+    assert not set(spark.sparkContext._jsc.getPersistentRDDs()) - blocks
