@@ -61,11 +61,11 @@ def _sums(interactions: DataFrame, factors: DataFrame, key: str, other: str, rat
     rows = interactions.select(F.col(key).cast("int").alias("id"), F.col(other).cast("int").alias("other"),
                                F.col(rating).cast("double").alias("r"))
     rows = rows.where(F.col("id").isNotNull() & F.col("r").isNotNull() & ~F.isnan("r"))
-    known = factors.select(F.col("id").alias("other"), F.col("features").cast("array<double>").alias("y"))
-    rows = rows.join(known, "other")
+    # factors join last and as they are: each row carries one through one shuffle only
+    known = factors.select(F.col("id").alias("other"), F.col("features").alias("y"))
     sizes = rows.groupBy("id").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("chunks"))
     rows = rows.join(sizes, "id").withColumn(
-        "chunk", F.pmod(F.xxhash64("other", "r"), F.col("chunks")).cast("int"))
+        "chunk", F.pmod(F.xxhash64("other", "r"), F.col("chunks")).cast("int")).join(known, "other")
 
     def add(batch):
         y, r = _matrix(pa.chunked_array([batch.column(3)])), batch.column(2).to_numpy()

@@ -14,7 +14,7 @@ from reclab.plans import data
 from reclab.plans.contracts import _fitted
 from reclab.plans.oracle import SPLIT, with_
 from reclab.plans.registry import register
-from reclab.session import scratch_path
+from reclab.session import materialise, scratch_path, scratch_released
 
 BATCHES = ("train", "val", "test")
 REPLICATES = 200
@@ -118,15 +118,16 @@ def fold_in_contract(spark, sf):
             ("train users", train, "user", "item", model.itemFactors),
             ("held-out users", val, "user", "item", model.itemFactors),
             ("held-out items", val, "item", "user", model.userFactors)):
-        folded = fi.fold_in(rows, factors, reg, alpha, key=key, other=other)
-        slopes = fi.gradients(folded, rows, factors, reg, alpha, key=key, other=other)
-        got = slopes.agg(F.count(F.lit(1)).alias("n"), F.max("gradient").alias("g")).first()
-        equal = None
-        if kind == "train users":
-            apart = F.aggregate(F.zip_with("features", "f", lambda x, y: F.abs(x - y).cast("double")), F.lit(0.0),
-                                lambda s, x: F.greatest(s, x))
-            far = folded.join(model.userFactors.withColumnRenamed("features", "f"), "id").agg(
-                F.count(F.lit(1)).alias("n"), F.max(apart).alias("d")).first()
-            equal = bool(far["n"] == got["n"] and far["d"] < 1e-3)
+        with scratch_released():
+            folded = materialise(fi.fold_in(rows, factors, reg, alpha, key=key, other=other), "folded")
+            slopes = materialise(fi.gradients(folded, rows, factors, reg, alpha, key=key, other=other), "slopes")
+            got = slopes.agg(F.count(F.lit(1)).alias("n"), F.max("gradient").alias("g")).first()
+            equal = None
+            if kind == "train users":
+                apart = F.aggregate(F.zip_with("features", "f", lambda x, y: F.abs(x - y).cast("double")), F.lit(0.0),
+                                    lambda s, x: F.greatest(s, x))
+                far = folded.join(model.userFactors.withColumnRenamed("features", "f"), "id").agg(
+                    F.count(F.lit(1)).alias("n"), F.max(apart).alias("d")).first()
+                equal = bool(far["n"] == got["n"] and far["d"] < 1e-3)
         out.append((kind, got["n"], bool(got["g"] < 1e-6), equal))
     return spark.createDataFrame(out, "kind string, n_keys long, gradient_zero boolean, equals_fit boolean")

@@ -2,6 +2,7 @@
 intermediate tables."""
 
 import gc
+import re
 import time
 
 import pytest
@@ -85,3 +86,14 @@ def test_a_sweep_leaves_no_tables(spark, train):
     assert len(session._SCRATCH) == before and res.count() == 2 and cv.count() == 2
     left(spark, shuffles(spark))
     assert not set(spark.sparkContext._jsc.getPersistentRDDs()) - blocks
+
+
+def test_factors_fold_in_through_one_shuffle(spark):
+    """A row is dealt to its key's chunk before it carries a factor."""
+    from reclab.operators import foldin as fi
+
+    rows = spark.createDataFrame([(i % 7, i % 5, 1.0) for i in range(70)], "user int, item int, count double")
+    factors = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(5)], "id int, features array<float>")
+    plan = fi._sums(rows, factors, "user", "item", "count", 1.0, True, 4)._jdf.queryExecution().optimizedPlan().toString()
+    assert re.findall(r"Join Inner, \((\w+)#", plan) == ["other", "id"]  # the last join comes first
+    assert fi.fold_in(rows, factors, 0.1, chunk=4).count() == 7
