@@ -23,8 +23,10 @@ def error_by_group(recs: DataFrame, labels: DataFrame, side: DataFrame, group_co
     hits = lab.join(recs.select(*keys), keys)
 
     def counts(df, name):
-        return df.join(g, item_col, "left").rollup("grp").agg(
-            F.grouping("grp").alias("total"), F.count(F.lit(1)).alias(name))
+        # counted by item first: what is joined to the groups is a row per item
+        per_item = df.groupBy(item_col).agg(F.count(F.lit(1)).alias("_n"))
+        return per_item.join(g, item_col, "left").rollup("grp").agg(
+            F.grouping("grp").alias("total"), F.sum("_n").alias(name))
 
     def same(a, b):
         return a["grp"].eqNullSafe(b["grp"]) & (a["total"] == b["total"])
