@@ -156,3 +156,42 @@ def test_a_run_of_cells_is_unpacked_in_parts():
     got = list(T.runs([batch]))
     assert [len(g[2]) for g in got] == [2 * T.RUN_CELLS] * 3 + [10]
     assert np.concatenate([g[2] for g in got]).tolist() == [i for i in range(n) for _ in range(2)]
+
+
+def test_marked_items_come_with_their_places(spark, data, monkeypatch):
+    """Only marked items of a list leave its task; pairs of repeated query ids count in all their rows."""
+    rng, q = np.random.RandomState(6), data[:40]
+    want = {i: set(rng.choice(600, 80, replace=False).tolist()) for i in range(0, 40, 2)}
+    mark = spark.createDataFrame([(i, j) for i, s in want.items() for j in s] + [(999, 1)], "qid long, id long")
+    gone = spark.createDataFrame([(2, j) for j in range(300)], "qid long, id long")
+    twice = queries(frame(spark, q)).unionByName(queries(frame(spark, q)).where("qid = 4"))
+    for chunks in (1, 5 * spark.sparkContext.defaultParallelism):
+        monkeypatch.setattr(T, "n_chunks", lambda queries, rows: chunks)
+        got = T.streamed_topk(twice, frame(spark, data), 60, 5, skip=gone, mark=mark).collect()
+        assert len(got) == 41
+        for r in got:
+            s = data @ q[r.qid]
+            best = [j for j in np.lexsort((np.arange(600), -s)) if not (r.qid == 2 and j < 300)][:60]
+            assert list(zip(r.ids, r.places)) == [(j, p) for p, j in enumerate(best) if j in want.get(r.qid, ())]
+
+
+@pytest.mark.parametrize("with_seen", [False, True])
+def test_metrics_of_hits_are_those_of_the_lists(spark, with_seen):
+    from reclab.operators import labels as lb
+    from reclab.operators import metrics as mt
+    from reclab.plans.evaluate import evaluate_model
+
+    rows = [(u, i, float(1 + (u * i) % 5)) for u in range(14) for i in range(20) if (u + i) % 3]
+    train = spark.createDataFrame(rows, "user int, item int, count double")
+    held = spark.createDataFrame([(u, (u * 7 + j) % 22, 1.0) for u in range(16) for j in range(4)] + [(3, 21, 2.0), (3, 21, 2.0)],
+                                 "user int, item int, count double")
+    model = A.fit_als(train, rank=3, max_iter=2)
+    seen = train if with_seen else None
+    lists = A.recommend_unseen(model, 6, held, train) if with_seen else A.to_long(A.recommend_users(model, 6, held))
+    for how in ("full", "top_tied"):
+        lab = lb.labels(held, how)
+        want = mt.ranking_metrics(lists.select("user", "pos", "item"), lab, ks=(3, 6)).first()
+        got = evaluate_model(model, held, k=6, ks=(3, 6), labels_how=how, seen=seen).first()
+        assert got.asDict() == want.asDict() and got["n_users_cold"] == 2
+    hits = A.recommended_hits(model, 6, lb.labels(held), seen)
+    assert hits.count() == lists.join(held.select("user", "item").distinct(), ["user", "item"]).count()
